@@ -55,11 +55,11 @@ def fold_name(name: Column) -> Column:
     """Complete case fold, used as the sort key of document names."""
     single, expanding = _fold_table()
     expanded = name
-    for char, folded in expanding.items():
-        expanded = F.replace(expanded, F.lit(char), F.lit(folded))
-    expanded = F.translate(expanded, "".join(single), "".join(single.values()))
+    for char, replacement in expanding.items():
+        expanded = F.replace(expanded, F.lit(char), F.lit(replacement))
+    complete = F.translate(F.lower(expanded), "".join(single), "".join(single.values()))
     special = "".join(expanding) + "".join(single)
-    return F.lower(F.when(name.rlike(f"[{special}]"), expanded).otherwise(name))
+    return F.when(name.rlike(f"[{special}]"), complete).otherwise(F.lower(name))
 
 
 def folded(text: Column, mode: str = "full") -> Column:
@@ -70,8 +70,11 @@ def folded(text: Column, mode: str = "full") -> Column:
 
 
 def normalize(text: Column, mode: str = "full") -> Column:
-    """Fold, then turn each run of characters that belong to no word into a space."""
-    return F.regexp_replace(folded(text, mode), rf"[^{WORD_CLASS}\s]+", " ")
+    """Fold, then turn each run of characters that belong to no word into a space.
+
+    Whitespace of any script stays as it is.
+    """
+    return F.regexp_replace(folded(text, mode), rf"(?U)[^{WORD_CLASS}\s\x1c-\x1f]+", " ")
 
 
 def tokens(text: Column, mode: str = "full") -> Column:

@@ -23,7 +23,6 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexispan.functions.stopwords import CORE_STOPWORDS
 from lexispan.operators.keys import broadcast_if_small
@@ -36,15 +35,13 @@ from lexispan.sources.corpus import FINGERPRINT, Corpus, table_corpus
 # Parts per run; bounds what a commit lists and what the driver ever collects.
 MAX_PARTS = 1024
 
-STORE = T.StructType.fromDDL(
+STORE = (
     "doc_id string, line_no int, line string, searchable boolean, mtime timestamp, size bigint, "
     "content_hash bigint, index_version int, run bigint, kind string, part int"
 )
-POSTINGS = T.StructType.fromDDL(
-    "term string, doc_id string, line_no int, pos int, index_version int, run bigint, part int"
-)
-COMMITS = T.StructType.fromDDL("table string, data_run bigint, data_part int, run bigint")
-PLAN = T.StructType.fromDDL(
+POSTINGS = "term string, doc_id string, line_no int, pos int, index_version int, run bigint, part int"
+COMMITS = "table string, data_run bigint, data_part int, run bigint"
+PLAN = (
     "doc_id string, action string, known boolean, mtime timestamp, size bigint, content_hash bigint, "
     "old_run bigint, old_part int"
 )
