@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,7 +48,9 @@ def test_normalize(spark):
 
 def test_fold_name_is_a_complete_casefold(spark):
     values = ["ΣΊΣΥΦΟΣ", "ς", "Maße", "ᾳ", "ﬀ", "ꭰ", "B.txt", "a.txt"]
-    values += [f"x{chr(c)}y" for c in (*range(1, 0x2FFF), *range(0xA640, 0xAC00), *range(0xF900, 0xFFFE), *range(0x10400, 0x1E944))]
+    codes = (*range(1, 0x2FFF), *range(0xA640, 0xAC00), *range(0xF900, 0xFFFE), *range(0x10400, 0x1E944))
+    # Spark's Unicode tables may be newer than Python's.
+    values += [f"x{chr(c)}y" for c in codes if unicodedata.category(chr(c)) != "Cn"]
     assert column(spark, values, text.fold_name) == [v.casefold() for v in values]
 
 
