@@ -9,7 +9,7 @@ BREAKS = "\n\v\f\x1c\x1d\x1e\x85\u2028\u2029"
 
 def lines_of(text):
     text = text.replace("\r\n", "\n").replace("\r", "\n")
-    return re.sub(f"[{BREAKS}]$", "", re.sub(f"[{BREAKS}]", "\n", text)).split("\n") if text else []
+    return re.sub(rf"[{BREAKS}]\Z", "", re.sub(f"[{BREAKS}]", "\n", text)).split("\n") if text else []
 
 
 def words_of(line):
