@@ -134,10 +134,10 @@ GROUP_PHRASES = tuple(
     dict.fromkeys([("la", "la")] + [(a, *b) for a in ("ci", "de", "zzz") for b in (("n",), ("la", "la"))])
 )
 WORD_COUNTS = " UNION ALL ".join(
-    f"SELECT {i} AS ordinal, '{w}' AS label, {occurrences(word(w))} AS n" for i, w in enumerate(GROUP_WORDS, 1)
+    f"SELECT CAST({i} AS BIGINT) AS ordinal, '{w}' AS label, {occurrences(word(w))} AS n" for i, w in enumerate(GROUP_WORDS, 1)
 )
 PHRASE_COUNTS = " UNION ALL ".join(
-    f"SELECT {i} AS ordinal, '{' && '.join(p)}' AS label, {occurrences(adjacent(*map(word, p)))} AS n"
+    f"SELECT CAST({i} AS BIGINT) AS ordinal, '{' && '.join(p)}' AS label, {occurrences(adjacent(*map(word, p)))} AS n"
     for i, p in enumerate(GROUP_PHRASES, 1)
 )
 

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side may be broadcast only when it has at most this many rows and bytes.
-MAX_ROWS = 200_000
-MAX_BYTES = 32 << 20
+MAX_ROWS = 1_000_000
+MAX_BYTES = 64 << 20
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
+def is_small(df: DataFrame) -> bool:
     """Measure ``df`` with one aggregate that only moves partial counts."""
     strings = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
     width = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in strings), F.lit(16 * len(df.columns)))
     row = df.agg(F.count("*").alias("n"), F.sum(width.cast("long")).alias("bytes")).first()
-    return row["n"] <= max_rows and (row["bytes"] or 0) <= max_bytes
+    return row["n"] <= MAX_ROWS and (row["bytes"] or 0) <= MAX_BYTES
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

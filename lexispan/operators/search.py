@@ -253,10 +253,13 @@ def slot_anchors(postings: DataFrame, slots) -> DataFrame:
 
     ``anchor`` is where a phrase would start that has the word in this slot.
     """
-    filled = F.array_compact(
-        F.array(*[F.when(F.col("term").isin(sorted(words)), F.lit(i)) for i, words in enumerate(slots)])
-    )
-    rows = with_terms(postings, frozenset().union(*slots)).select(*LINE_KEY, "pos", "term", F.explode(filled).alias("slot"))
+    fills = [F.when(F.col("term").isin(sorted(words)), F.lit(i)) for i, words in enumerate(slots)]
+    wanted = frozenset().union(*slots)
+    if sum(map(len, slots)) == len(wanted):
+        slot = F.coalesce(*fills)
+    else:  # some word fills several slots
+        slot = F.explode(F.array_compact(F.array(*fills)))
+    rows = with_terms(postings, wanted).select(*LINE_KEY, "pos", "term", slot.alias("slot"))
     return rows.select(*LINE_KEY, (F.col("pos") - F.col("slot")).alias("anchor"), "slot", "term")
 
 

@@ -33,7 +33,11 @@ from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, sett
 from lexispan.sources.corpus import FINGERPRINT, Corpus, table_corpus
 
 # Parts per run; bounds what a commit lists and what the driver ever collects.
-MAX_PARTS = 1024
+# More parts mean less to rewrite when a document changes.
+MAX_PARTS = 16384
+
+# Text per part that compaction aims at.
+PART_BYTES = 256 << 20
 
 STORE = (
     "doc_id string, line_no int, line string, searchable boolean, mtime timestamp, size bigint, "
@@ -94,7 +98,7 @@ class TextIndex:
 
     def _current(self, table: str) -> DataFrame:
         rows = self._read(table, self._committed()[1][table])
-        return rows.where(F.col("index_version") == INDEX_VERSION)
+        return rows.where((F.col("index_version") == INDEX_VERSION) & F.col("doc_id").isNotNull())
 
     def _committed(self) -> tuple[int, dict[str, list[Part]]]:
         """The last committed run (0 if none) and the live parts of each table."""
@@ -109,7 +113,7 @@ class TextIndex:
         if run is None:
             return 0, parts
         # At most MAX_PARTS rows per table and live run.
-        for row in commits.where((F.col("run") == run) & F.col("table").isNotNull()).collect():
+        for row in self._commit_rows(run).collect():
             parts[row["table"]].append((row["data_run"], row["data_part"]))
         return run, parts
 
@@ -137,7 +141,11 @@ class TextIndex:
         last, live = self._committed()
         run = last + 1
         manifest = self._read("document", live["document"])
-        if not partial:
+        if partial:
+            # A few changes need no shuffle of the whole manifest.
+            listed = corpus.listing.select("doc_id")
+            manifest = manifest.join(broadcast_if_small(listed), "doc_id", "left_semi")
+        else:
             usable = _is_readable(lambda: self._read("line", live["line"]))
             manifest = manifest.withColumn("usable", F.lit(usable))
             if not usable:
@@ -167,10 +175,14 @@ class TextIndex:
         actions = self._materialize(settle_failures(plan, indexed), f"actions/run={run}")
 
         replaced = actions.where(F.col("action").isin("updated", "deleted"))
-        # At most the live parts.
-        affected = {(r.old_run, r.old_part) for r in replaced.select("old_run", "old_part").distinct().collect()}
+        # At most as many rows as there are live parts.
+        rewritten = replaced.select(F.col("old_run").alias("data_run"), F.col("old_part").alias("data_part")).distinct()
+        affected = {tuple(row) for row in rewritten.collect()}
         self._keep_others(live, affected, replaced.select("doc_id"), run, append=bool(todo.attempted))
-        self._commit(run, live, affected, wrote=bool(todo.attempted or affected))
+        keep = self._commit_rows(last if live["document"] else 0)
+        if affected:
+            keep = keep.join(F.broadcast(rewritten), ["data_run", "data_part"], "left_anti")
+        self._commit(run, keep, wrote=bool(todo.attempted or affected))
         return build_summary(actions)
 
     def apply_changes(self, changes: DataFrame) -> DataFrame:
@@ -187,8 +199,11 @@ class TextIndex:
         """Gather the parts of all runs into one run, for an index grown by many small ones."""
         last, live = self._committed()
         everything = set(live["document"])
-        self._keep_others(live, everything, self.spark.createDataFrame([], "doc_id string"), last + 1, append=False)
-        self._commit(last + 1, live, everything, wrote=bool(everything))
+        total = self.manifest.agg(F.sum("size")).first()[0] or 0
+        parts = min(MAX_PARTS, 1 + total // PART_BYTES)
+        nothing = self.spark.createDataFrame([], "doc_id string")
+        self._keep_others(live, everything, nothing, last + 1, append=False, gather_into=parts)
+        self._commit(last + 1, self._commit_rows(0), wrote=bool(everything))
 
     def _materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Write a table of the run and read it back: later steps see one fixed state."""
@@ -233,8 +248,19 @@ class TextIndex:
         lines = lines.select("doc_id", "line_no", "line", "searchable", "index_version", *location)
         return _by_term(line_postings(lines, self.fold_mode, self.stopwords), *location)
 
-    def _keep_others(self, live: dict[str, list[Part]], affected: set[Part], replaced: DataFrame, run: int, append: bool) -> None:
-        """Carry the rows of all other documents of the affected parts over to ``run``."""
+    def _keep_others(
+        self,
+        live: dict[str, list[Part]],
+        affected: set[Part],
+        replaced: DataFrame,
+        run: int,
+        append: bool,
+        gather_into: int = 0,
+    ) -> None:
+        """Carry the rows of all other documents of the affected parts over to ``run``.
+
+        Rows stay where they are read, unless they are to be gathered into fewer parts.
+        """
         if not affected:
             return
         replaced = broadcast_if_small(replaced)
@@ -243,23 +269,33 @@ class TextIndex:
             ("line", "store", ("kind", "part")),
             ("postings", "postings", ("part",)),
         ):
-            old = self._read(table, affected.intersection(live[table]))
-            kept = old.join(replaced, "doc_id", "left_anti").drop("run")
+            kept = self._read(table, affected.intersection(live[table])).join(replaced, "doc_id", "left_anti")
+            if gather_into:
+                part = F.pmod(F.xxhash64("run", "part"), F.lit(gather_into)).cast("int")
+                kept = kept.withColumn("part", part).hint("rebalance", "part")
+            kept = kept.drop("run")
             if table == "postings":
                 kept = _by_term(kept, "part")
             # The lines join the documents' folder; otherwise a run starts afresh.
             self._overwrite(kept, f"{self.root}/{folder}/run={run}", *partitions, append=append or table == "line")
 
-    def _commit(self, run: int, live: dict[str, list[Part]], affected: set[Part], wrote: bool) -> None:
-        rows: list[tuple] = [(None, None, None)]
-        for table in TABLES:
-            parts = [part for part in live[table] if part not in affected]
-            if wrote:
-                # At most MAX_PARTS rows.
-                parts += [(run, row.part) for row in self._read_run(table, run).select("part").distinct().collect()]
-            rows += [(table, *part) for part in parts]
-        columns = "table string, data_run bigint, data_part int"
-        self._overwrite(self.spark.createDataFrame(rows, columns).coalesce(1), f"{self.root}/commits/run={run}")
+    def _commit(self, run: int, keep: DataFrame, wrote: bool) -> None:
+        """Publish ``run``: the kept rows of the last commit and the parts written since."""
+        location = ["table", "data_run", "data_part"]
+        # A row of NULLs, so that an empty index has a commit as well.
+        rows = self.spark.range(1).selectExpr("cast(NULL AS string)", "cast(NULL AS bigint)", "cast(NULL AS int)")
+        rows = rows.toDF(*location).unionByName(keep.select(*location))
+        for table in TABLES if wrote else ():
+            written = self._read_run(table, run).select(F.lit(table), F.col("run"), F.col("part")).distinct()
+            rows = rows.unionByName(written.toDF(*location))
+        self._overwrite(rows.coalesce(1), f"{self.root}/commits/run={run}")
+
+    def _commit_rows(self, run: int) -> DataFrame:
+        """Live parts as of a commit: ``(table, data_run, data_part)``."""
+        if run == 0:
+            return self.spark.createDataFrame([], COMMITS)
+        commits = self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
+        return commits.where((F.col("run") == run) & F.col("table").isNotNull())
 
 
 def _by_term(postings: DataFrame, *location: str) -> DataFrame:

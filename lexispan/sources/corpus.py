@@ -38,6 +38,7 @@ def table_corpus(docs: DataFrame) -> Corpus:
     The fingerprint is the size and a hash of the content, plus ``mtime`` if the
     table has one. Rows of a change table may be flagged ``deleted``.
     """
+    docs = docs.where(F.col("doc_id").isNotNull())
     is_binary = "content" in docs.columns
     raw = F.col("content" if is_binary else "text")
     mtime = F.col("mtime") if "mtime" in docs.columns else F.lit(None)
