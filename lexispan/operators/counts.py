@@ -26,11 +26,14 @@ def document_count(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id").distinct().agg(F.count("*").alias("documents"))
 
 
-def _labelled(hits: Hits, phrases: list[tuple[str, ...]]) -> DataFrame:
+def _labelled(hits: Hits, phrases: list[tuple[str, ...]], keys: list[str]) -> DataFrame:
     """The query's own labels as a table; its size is the query's, not the data's."""
-    rows = [(i, " && ".join(words), list(words)) for i, words in enumerate(phrases, start=1)]
-    spark = hits.searcher.postings.sparkSession
-    return spark.createDataFrame(rows, "ordinal int, label string, words array<string>")
+    rows = [(i, " && ".join(words), key) for i, (words, key) in enumerate(zip(phrases, keys), start=1)]
+    return hits.searcher.postings.sparkSession.createDataFrame(rows, "ordinal int, label string, key string")
+
+
+def _with_zeros(labels: DataFrame, counted: DataFrame) -> DataFrame:
+    return labels.join(counted, "key", "left").select("ordinal", "label", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def word_counts(hits: Hits) -> DataFrame:
@@ -39,9 +42,8 @@ def word_counts(hits: Hits) -> DataFrame:
     Counts cover the whole index, excluded words are included, and words that
     are not indexed count 0.
     """
-    found = with_terms(hits.searcher.postings, hits.words).groupBy("term").agg(F.count("*").alias("n"))
-    labels = _labelled(hits, [(w,) for w in hits.words]).withColumn("term", F.col("words")[0])
-    return _with_zeros(labels, found, "term")
+    found = with_terms(hits.searcher.postings, hits.words).groupBy(F.col("term").alias("key")).agg(F.count("*").alias("n"))
+    return _with_zeros(_labelled(hits, [(w,) for w in hits.words], list(hits.words)), found)
 
 
 def phrase_counts(hits: Hits) -> DataFrame:
@@ -50,23 +52,19 @@ def phrase_counts(hits: Hits) -> DataFrame:
     All phrases of one length are counted in a single pass: a position holds one
     word, so the words found at an anchor name the phrase they form.
     """
-    # Words cannot contain the separator, so distinct phrases have distinct labels.
     phrases = list(hits.phrases)
-    counted = None
+    counted = hits.searcher.postings.select(F.lit("").alias("key"), F.lit(0).cast("long").alias("n")).where(F.lit(False))
+    keys: dict[tuple[str, ...], str] = {}
     for length in sorted({len(p) for p in phrases}):
         same_length = [p for p in phrases if len(p) == length]
         slots = tuple(frozenset(p[i] for p in same_length) for i in range(length))
-        at_slot = [F.max(F.when(F.col("slot") == i, F.col("term"))).alias(f"w{i}") for i in range(length)]
+        listed = [sorted(words) for words in slots]
+        # Words as their numbers in the slot: fixed-width values keep the grouping a hash aggregate.
+        numbers = [F.array_position(F.array(*map(F.lit, words)), F.col("term")) for words in listed]
+        at_slot = [F.max(F.when(F.col("slot") == i, n)).alias(f"w{i}") for i, n in enumerate(numbers)]
         formed = slot_anchors(hits.searcher.postings, slots).groupBy(*LINE_KEY, "anchor").agg(*at_slot)
-        whole = formed.dropna().select(F.array(*[f"w{i}" for i in range(length)]).alias("words"))
-        n = whole.groupBy("words").agg(F.count("*").alias("n"))
-        counted = n if counted is None else counted.unionByName(n)
-    labels = _labelled(hits, phrases)
-    if counted is None:
-        return labels.select("ordinal", "label", F.lit(0).cast("long").alias("n"))
-    return _with_zeros(labels, counted, "words")
-
-
-def _with_zeros(labels: DataFrame, counted: DataFrame, key: str) -> DataFrame:
-    joined = labels.join(counted, key, "left")
-    return joined.select("ordinal", "label", F.coalesce("n", F.lit(0)).alias("n"))
+        columns = [f"w{i}" for i in range(length)]
+        whole = formed.dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias("n"))
+        counted = counted.unionByName(whole.select(F.concat_ws(",", *columns).alias("key"), "n"))
+        keys |= {p: ",".join(str(listed[i].index(w) + 1) for i, w in enumerate(p)) for p in same_length}
+    return _with_zeros(_labelled(hits, phrases, [keys[p] for p in phrases]), counted)

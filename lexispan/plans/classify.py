@@ -15,7 +15,7 @@ ACTIONS = ["new", "updated", "skipped", "deleted", "failed"]
 
 
 def classify(listing: DataFrame, manifest: DataFrame, partial: bool = False) -> DataFrame:
-    """``(doc_id, action, known, ...)`` with the listed fingerprint and the old location.
+    """``(doc_id, action, known, mtime, ...)`` with the old location.
 
     A document is skipped only if its fingerprint is unchanged *and* its stored
     index is usable (``manifest.usable``, true if there is no such column).
@@ -27,31 +27,41 @@ def classify(listing: DataFrame, manifest: DataFrame, partial: bool = False) ->
     if "usable" not in manifest.columns:
         manifest = manifest.withColumn("usable", F.lit(True))
     location = [c for c in ("run", "part") if c in manifest.columns]
-    now = listing.select("doc_id", F.struct(*FINGERPRINT, "deleted").alias("now"))
-    old = manifest.select("doc_id", F.struct(*FINGERPRINT, "index_version", "usable", *location).alias("old"))
+    now = listing.select(
+        "doc_id", F.lit(True).alias("listed"), "deleted", *[F.col(c).alias(f"now_{c}") for c in FINGERPRINT]
+    )
+    old = manifest.select(
+        "doc_id",
+        F.lit(True).alias("stored"),
+        "usable",
+        *[F.col(c).alias(f"old_{c}") for c in (*FINGERPRINT, "index_version", *location)],
+    )
     pairs = now.join(old, "doc_id", "left" if partial else "full_outer")
-    gone = F.col("now").isNull() | F.col("now.deleted")
-    known = F.col("old").isNotNull()
-    pairs = pairs.where(~gone | known)
+    gone = F.col("listed").isNull() | F.col("deleted")
+    known = F.col("stored").isNotNull()
     action = (
-        F.when(gone, "deleted").when(~known, "new").when(_unchanged() & F.col("old.usable"), "skipped").otherwise("updated")
+        F.when(gone, "deleted").when(~known, "new").when(_unchanged() & F.col("usable"), "skipped").otherwise("updated")
     )
-    return pairs.select(
+    return pairs.where(~gone | known).select(
         "doc_id",
         action.alias("action"),
         known.alias("known"),
-        *[F.col(f"now.{c}").alias(c) for c in FINGERPRINT],
-        *[F.col(f"old.{c}").alias(f"old_{c}") for c in location],
+        F.col("now_mtime").alias("mtime"),
+        *[f"old_{c}" for c in location],
     )
 
 
 def _unchanged() -> Column:
-    """Equal fingerprints; a listing without hashes is compared by time and size."""
-    same = F.lit(True)
-    for name in ("mtime", "size"):
-        same = same & F.col(f"now.{name}").eqNullSafe(F.col(f"old.{name}"))
-    same_content = F.col("now.content_hash").isNull() | F.col("now.content_hash").eqNullSafe(F.col("old.content_hash"))
-    return same & same_content & (F.col("old.index_version") == INDEX_VERSION)
+    """Equal fingerprints, as far as the listing knows them without reading content."""
+    same = F.col("now_mtime").eqNullSafe(F.col("old_mtime")) & (F.col("old_index_version") == INDEX_VERSION)
+    for name in ("size", "content_hash"):
+        same = same & (F.col(f"now_{name}").isNull() | F.col(f"now_{name}").eqNullSafe(F.col(f"old_{name}")))
+    return same
+
+
+def names_only(listing: DataFrame) -> DataFrame:
+    """A listing without what it takes reading content to know, for when there is nothing to compare."""
+    return listing.withColumns({c: F.lit(None).cast("long") for c in ("size", "content_hash")})
 
 
 def settle_failures(plan: DataFrame, indexed: DataFrame) -> DataFrame:

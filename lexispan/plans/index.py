@@ -21,15 +21,15 @@ from collections.abc import Callable, Iterable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispan.functions.stopwords import CORE_STOPWORDS
-from lexispan.operators.keys import broadcast_if_small
+from lexispan.operators.keys import broadcast_if_small, is_small
 from lexispan.operators.lines import is_searchable, with_line_arrays
 from lexispan.operators.postings import line_postings
 from lexispan.operators.search import Searcher
-from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, settle_failures
+from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, names_only, settle_failures
 from lexispan.sources.corpus import FINGERPRINT, Corpus, table_corpus
 
 # Parts per run; bounds what a commit lists and what the driver ever collects.
@@ -45,10 +45,7 @@ STORE = (
 )
 POSTINGS = "term string, doc_id string, line_no int, pos int, index_version int, run bigint, part int"
 COMMITS = "table string, data_run bigint, data_part int, run bigint"
-PLAN = (
-    "doc_id string, action string, known boolean, mtime timestamp, size bigint, content_hash bigint, "
-    "old_run bigint, old_part int"
-)
+PLAN = "doc_id string, action string, known boolean, mtime timestamp, old_run bigint, old_part int"
 
 Part = tuple[int, int]  # run, part
 TABLES = ("document", "line", "postings")
@@ -121,7 +118,8 @@ class TextIndex:
         folder, schema, kind = ("postings", POSTINGS, "") if table == "postings" else ("store", STORE, f"/kind={table}")
         paths = [f"{self.root}/{folder}/run={run}{kind}/part={part}" for run, part in sorted(parts)]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            # Known to be empty when planning already.
+            return self.spark.createDataFrame([], schema).where(F.lit(False))
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{folder}").parquet(*paths)
 
     def _read_run(self, table: str, run: int) -> DataFrame:
@@ -152,7 +150,8 @@ class TextIndex:
                 live = {table: [] for table in TABLES}
             elif not _is_readable(lambda: self._read("postings", live["postings"])):
                 self.rebuild_postings()
-        plan = self._materialize(classify(corpus.listing, manifest, partial), f"plan/run={run}")
+        listing = corpus.listing if live["document"] else names_only(corpus.listing)
+        plan = self._materialize(classify(listing, manifest, partial), f"plan/run={run}")
         attempted = F.col("action").isin("new", "updated")
         todo = plan.agg(
             F.count_if(attempted).alias("attempted"),
@@ -167,9 +166,7 @@ class TextIndex:
             if corpus.pruned_by_mtime:
                 documents = documents.where(F.col("mtime").between(todo.oldest, todo.newest))
             if todo.skipped:
-                # Not everything listed is needed: read the changed documents only.
-                changed = plan.where(attempted).select("doc_id")
-                documents = documents.join(broadcast_if_small(changed), "doc_id", "left_semi")
+                documents = _without_skipped(documents, plan, attempted)
             self._index_documents(documents, run)
             indexed = self._read_run("document", run).select("doc_id")
         actions = self._materialize(settle_failures(plan, indexed), f"actions/run={run}")
@@ -298,6 +295,15 @@ class TextIndex:
         return commits.where((F.col("run") == run) & F.col("table").isNotNull())
 
 
+def _without_skipped(documents: DataFrame, plan: DataFrame, attempted: Column) -> DataFrame:
+    """The documents to read, moving no text if few changed or all but few did."""
+    changed = plan.where(attempted).select("doc_id")
+    skipped = plan.where(F.col("action") == "skipped").select("doc_id")
+    if not is_small(changed) and is_small(skipped):
+        return documents.join(F.broadcast(skipped), "doc_id", "left_anti")
+    return documents.join(broadcast_if_small(changed), "doc_id", "left_semi")
+
+
 def _by_term(postings: DataFrame, *location: str) -> DataFrame:
     """Sort the rows of each file by word, so a lookup skips row groups; no shuffle."""
     return postings.sortWithinPartitions(*location, "term", "doc_id", "line_no", "pos")

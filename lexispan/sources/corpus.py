@@ -32,29 +32,32 @@ def valid_text(raw: Column, is_binary: bool) -> Column:
     return F.try_validate_utf8(raw.cast("string") if is_binary else raw)
 
 
-def table_corpus(docs: DataFrame) -> Corpus:
+def table_corpus(docs: DataFrame, verify_content: bool = True) -> Corpus:
     """A table with ``doc_id`` and either ``text`` (string) or ``content`` (bytes).
 
     The fingerprint is the size and a hash of the content, plus ``mtime`` if the
-    table has one. Rows of a change table may be flagged ``deleted``.
+    table has one; with ``verify_content=False`` it is ``mtime`` alone, so that a
+    comparison reads no text. Rows of a change table may be flagged ``deleted``.
     """
+    if not verify_content and "mtime" not in docs.columns:
+        raise ValueError("without content to compare, the table needs an mtime column")
     docs = docs.where(F.col("doc_id").isNotNull())
     is_binary = "content" in docs.columns
     raw = F.col("content" if is_binary else "text")
     mtime = F.col("mtime") if "mtime" in docs.columns else F.lit(None)
-    selected = [
+    deleted = F.coalesce("deleted", F.lit(False)) if "deleted" in docs.columns else F.lit(False)
+    documents = docs.select(
         F.col("doc_id").cast("string").alias("doc_id"),
         valid_text(raw, is_binary).alias("text"),
         mtime.cast("timestamp").alias("mtime"),
         F.octet_length(raw).cast("long").alias("size"),
         F.xxhash64(raw).alias("content_hash"),
-    ]
-    documents = docs.select(*selected)
-    if "deleted" not in docs.columns:
-        return Corpus(documents.select("doc_id", *FINGERPRINT), documents)
-    deleted = F.coalesce("deleted", F.lit(False)).alias("deleted")
-    documents = docs.select(*selected, deleted)
-    return Corpus(documents.select("doc_id", *FINGERPRINT, "deleted"), documents.where(~F.col("deleted")).drop("deleted"))
+        deleted.alias("deleted"),
+    )
+    unread = [F.lit(None).cast("long").alias(c) for c in ("size", "content_hash")]
+    compared = FINGERPRINT if verify_content else ["mtime", *unread]
+    present = documents.where(~F.col("deleted")).drop("deleted")
+    return Corpus(documents.select("doc_id", *compared, "deleted"), present)
 
 
 def text_tree(spark: SparkSession, root: str, verify_content: bool = False) -> Corpus:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,3 +27,11 @@ _LOCAL: dict[str, str] = {}
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/lexispan/{spark.sparkContext.applicationId}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexispan import TextIndex, index_stream, table_corpus, text_tree
 from lexispan.operators import counts
-from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, log_order
+from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, log_order, names_only
 from lexispan.sources.naming import unique_names
 from test_search import PEOPLE, lines, spans
 
@@ -120,6 +120,38 @@ def test_table_corpus_against_a_fresh_build(spark, index, tmp_path):
         assert {r.doc_id for r in index.manifest.collect()} == set(served)
 
 
+def test_first_build_hashes_nothing_to_compare(spark, index, tmp_path):
+    spark.createDataFrame([("a", "red")], "doc_id string, text string").write.parquet(str(tmp_path / "docs"))
+    listing = table_corpus(spark.read.parquet(str(tmp_path / "docs"))).listing
+    plan = classify(names_only(listing), index._read("document", []))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:string>" in plan and "Join" not in plan
+
+
+def test_tables_compared_by_time_alone(spark, index):
+    def corpus(text, mtime):
+        schema = "doc_id string, text string, mtime timestamp"
+        return table_corpus(spark.createDataFrame([("a", text, mtime), ("b", "blue", datetime(2026, 1, 1))], schema), verify_content=False)
+
+    assert summary(index.sync(corpus("red", datetime(2026, 1, 1)))) == {"new": 2}
+    assert summary(index.sync(corpus("red", datetime(2026, 1, 1)))) == {"skipped": 2}
+    assert summary(index.sync(corpus("gold", datetime(2026, 1, 2)))) == {"updated": 1, "skipped": 1}
+    assert texts(index) == {"a": ["gold"], "b": ["blue"]}
+    with pytest.raises(ValueError):
+        table_corpus(spark.createDataFrame([("a", "red")], "doc_id string, text string"), verify_content=False)
+
+
+@pytest.mark.parametrize("small", [{"changed"}, {"skipped"}, set()])
+def test_reading_only_changed_documents(spark, index, monkeypatch, small):
+    sizes = iter([("changed" in small), ("skipped" in small)])
+    first = {f"d{i}": f"red {i}" for i in range(6)}
+    index.sync(corpus_of(spark, first))
+    monkeypatch.setattr("lexispan.plans.index.is_small", lambda df: next(sizes))
+    monkeypatch.setattr("lexispan.plans.index.broadcast_if_small", lambda df: df)
+    second = first | {"d1": "blue", "e": "new"}
+    assert summary(index.sync(corpus_of(spark, second))) == {"new": 1, "updated": 1, "skipped": 5}
+    assert texts(index) == {k: [v] for k, v in second.items()}
+
+
 def test_compaction_changes_nothing(spark, index):
     for i in range(3):
         index.sync(corpus_of(spark, {f"d{j}": f"red {j}" for j in range(i + 1)}))

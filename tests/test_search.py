@@ -178,7 +178,7 @@ def test_set_algebra_reads_no_universe(people):
 @pytest.mark.parametrize("small", [True, False])
 def test_saved_searches(spark, people, monkeypatch, small):
     monkeypatch.setattr("lexispan.plans.saved.is_small", lambda df: small)
-    queries = {1: ["lincoln"], 2: ["abe", "lincoln"], 3: ["lincoln"] * 2, 4: ["abe", "nowhere"], 5: ["abe", "lincoln", "body"]}
+    queries = {1: ["lincoln"], 2: ["abe", "lincoln"], 3: ["lincoln"] * 2, 4: ["abe", "nowhere"], 5: ["abe", "lincoln", "body"], 6: ["lincoln"] * 3, 7: ["was"], 8: ["abe", "lincoln", "replied"]}
     rows = [(q, i, w) for q, words in queries.items() for i, w in enumerate(words)]
     saved = spark.createDataFrame(rows, "query_id int, slot int, term string")
     got = {}
@@ -187,7 +187,7 @@ def test_saved_searches(spark, people, monkeypatch, small):
     for query_id, words in queries.items():
         assert got.get(query_id, set()) == spans(people.adjacent(*words))
     totals = {r.query_id: (r.occurrences, r.matching_lines) for r in saved_search_counts(saved, people.postings).collect()}
-    assert totals == {1: (7, 5), 2: (2, 2), 3: (2, 1), 4: (0, 0), 5: (1, 1)}
+    assert totals == {1: (7, 5), 2: (2, 2), 3: (2, 1), 4: (0, 0), 5: (1, 1), 6: (1, 1), 7: (0, 0), 8: (0, 0)}
 
 
 def test_rank_is_global(spark):
