@@ -270,3 +270,14 @@ def test_repeated_names(spark):
     assert {r.doc_id for r in unique_names(clash, "name", [F.col("i")]).collect()} == {"a (2)", "a", "a (3)"}
     replaced = spark.createDataFrame(list(enumerate(["a", "a (3)", "a"])), "i int, name string")
     assert {(r.doc_id, r.i) for r in unique_names(replaced, "name", [F.col("i")]).collect()} == {("a", 0), ("a (3)", 2)}
+
+
+def test_browser_rules(spark, tmp_path):
+    from lexispan.functions.stopwords import BROWSER_STOPWORDS
+
+    index = TextIndex(spark, str(tmp_path / "browser"), "browser", "lower", BROWSER_STOPWORDS)
+    index.sync(corpus_of(spark, {"d": "\uFEFFYou can Straße\nred\r\n"}))
+    s = index.searcher()
+    assert spans(s.adjacent("can", "STRA")) == {("d", 1, 1, 2)}
+    assert spans(s.word("you")) == set()
+    assert lines(s.none_of("can")) == {("d", 2), ("d", 3)}
