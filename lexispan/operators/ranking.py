@@ -5,22 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispan.sources.workspace import ensure_checkpoint_dir
+from lexispan.sources.workspace import materialized
 
 
 def with_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """Add the 1-based position of each row in ``order`` (which must be total).
 
     A distributed sort numbers rows within each sorted partition; the offsets
-    come from one count per partition. The sorted rows are checkpointed so both
+    come from one count per partition. The sorted rows are written out, so both
     uses see the same partitions, also after an executor is lost.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     numbered = df.orderBy(*order).select(
         "*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_id")
     )
-    numbered = numbered.checkpoint()
+    numbered = materialized(numbered)
     # One row per sorted partition: bounded by spark.sql.shuffle.partitions.
     sizes = numbered.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)

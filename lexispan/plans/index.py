@@ -17,7 +17,8 @@ part is rewritten when one of its documents was updated or deleted.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -156,15 +157,16 @@ class TextIndex:
         todo = plan.agg(
             F.count_if(attempted).alias("attempted"),
             F.count_if(F.col("action") == "skipped").alias("skipped"),
-            F.min(F.when(attempted, F.col("mtime"))).alias("oldest"),
-            F.max(F.when(attempted, F.col("mtime"))).alias("newest"),
+            F.unix_micros(F.min(F.when(attempted, F.col("mtime")))).alias("oldest"),
+            F.unix_micros(F.max(F.when(attempted, F.col("mtime")))).alias("newest"),
         ).first()
 
         indexed = self.spark.createDataFrame([], "doc_id string")
         if todo.attempted:
             documents = corpus.documents
             if corpus.pruned_by_mtime:
-                documents = documents.where(F.col("mtime").between(todo.oldest, todo.newest))
+                limits = [F.timestamp_micros(F.lit(t)) for t in (todo.oldest, todo.newest)]
+                documents = documents.where(F.col("mtime").between(*limits))
             if todo.skipped:
                 documents = _without_skipped(documents, plan, attempted)
             self._index_documents(documents, run)
@@ -190,7 +192,8 @@ class TextIndex:
         """Write all postings again, from the stored lines."""
         rows = self._postings_of(self._current("line"), "run", "part")
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("run", "part").parquet(f"{self.root}/postings")
+        with _files_at_once(self.spark):
+            writer.partitionBy("run", "part").parquet(f"{self.root}/postings")
 
     def compact(self) -> None:
         """Gather the parts of all runs into one run, for an index grown by many small ones."""
@@ -207,10 +210,12 @@ class TextIndex:
         self._overwrite(df, f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
-    @staticmethod
-    def _overwrite(df: DataFrame, path: str, *partitions: str, append: bool = False) -> None:
+    def _overwrite(self, df: DataFrame, path: str, *partitions: str, append: bool = False) -> None:
         writer = df.write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        with _files_at_once(df.sparkSession):
+            writer.parquet(path)
 
     def _index_documents(self, documents: DataFrame, run: int) -> None:
         """Lines and postings of the readable documents, each text read once."""
@@ -243,7 +248,7 @@ class TextIndex:
 
     def _postings_of(self, lines: DataFrame, *location: str) -> DataFrame:
         lines = lines.select("doc_id", "line_no", "line", "searchable", "index_version", *location)
-        return _by_term(line_postings(lines, self.fold_mode, self.stopwords), *location)
+        return _by_term(line_postings(lines, self.fold_mode, self.stopwords))
 
     def _keep_others(
         self,
@@ -272,7 +277,7 @@ class TextIndex:
                 kept = kept.withColumn("part", part).hint("rebalance", "part")
             kept = kept.drop("run")
             if table == "postings":
-                kept = _by_term(kept, "part")
+                kept = _by_term(kept)
             # The lines join the documents' folder; otherwise a run starts afresh.
             self._overwrite(kept, f"{self.root}/{folder}/run={run}", *partitions, append=append or table == "line")
 
@@ -304,9 +309,24 @@ def _without_skipped(documents: DataFrame, plan: DataFrame, attempted: Column) -
     return documents.join(broadcast_if_small(changed), "doc_id", "left_semi")
 
 
-def _by_term(postings: DataFrame, *location: str) -> DataFrame:
+def _by_term(postings: DataFrame) -> DataFrame:
     """Sort the rows of each file by word, so a lookup skips row groups; no shuffle."""
-    return postings.sortWithinPartitions(*location, "term", "doc_id", "line_no", "pos")
+    return postings.sortWithinPartitions("term")
+
+
+@contextmanager
+def _files_at_once(spark: SparkSession) -> Iterator[None]:
+    """Let a task write its few parts side by side, instead of sorting all its rows by part first.
+
+    Beyond this number of parts Spark itself goes back to sorting.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _is_readable(open_table: Callable[[], DataFrame]) -> bool:

@@ -24,11 +24,6 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL: dict[str, str] = {}
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
-
-
 def materialized(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
     spark = df.sparkSession

@@ -255,7 +255,7 @@ def test_classification(spark):
 
 def test_mtime_pruning_reaches_the_scan(spark, tree):
     corpus = text_tree(spark, str(tree))
-    recent = corpus.documents.where(F.col("mtime") >= F.lit(datetime(2020, 1, 1)))
+    recent = corpus.documents.where(F.col("mtime") >= F.timestamp_micros(F.lit(1577836800000000)))
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "modificationTime" in plan.split("PushedFilters")[1].split("]")[0]
 
