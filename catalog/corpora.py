@@ -15,6 +15,7 @@ APPENDIX = "\nappendix lincoln"
 BODY_START = "*** START OF THE PROJECT GUTENBERG EBOOK X ***"
 BODY_END = "*** END OF THE PROJECT GUTENBERG EBOOK X ***"
 
+_WRITTEN: set[str] = set()
 _SEARCHERS: dict[tuple[str, str], Searcher] = {}
 
 
@@ -81,6 +82,16 @@ def scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{shared_folder(spark)}/lexispan/{spark.sparkContext.applicationId}/{key}/{name}"
 
 
+def text_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with each document as a ``.txt`` file, written once per session."""
+    root = scratch(spark, sf_dir, "tree")
+    if root not in _WRITTEN:
+        docs = documents(spark, sf_dir).select("text", "lang", F.col("doc_id").alias("doc"))
+        docs.write.mode("overwrite").partitionBy("lang", "doc").text(root)
+        _WRITTEN.add(root)
+    return root
+
+
 def stored_index(spark: SparkSession, sf_dir: str, name: str) -> TextIndex:
     return TextIndex(spark, scratch(spark, sf_dir, name))
 

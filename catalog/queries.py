@@ -377,23 +377,20 @@ def streamed_arrivals(spark, sf_dir):
 @query
 def text_files(spark, sf_dir):
     """Documents written as .txt files, one each, then read back as a tree."""
-    root = corpora.scratch(spark, sf_dir, "tree")
-    docs = corpora.documents(spark, sf_dir).select("text", "lang", F.col("doc_id").alias("doc"))
-    docs.write.mode("overwrite").partitionBy("lang", "doc").text(root)
-    # Spark chooses the last part of a written file's name.
-    name = F.regexp_replace("doc_id", r"/part-[^/]*\.txt$", ".txt").alias("doc_id")
-    tree = text_tree(spark, root).documents.select(name, "text")
-    return wide(document_lines(tree).select("doc_id", "line_no", "line"))
+    tree = text_tree(spark, corpora.text_files(spark, sf_dir)).documents
+    return wide(document_lines(tree.select(written_name(), "text")).select("doc_id", "line_no", "line"))
 
 
 @query
 def fingerprints(spark, sf_dir):
-    """Names, sizes and index version of the same kind of tree, without reading content."""
-    root = corpora.scratch(spark, sf_dir, "tree_listing")
-    docs = corpora.documents(spark, sf_dir).select("text", "lang", F.col("doc_id").alias("doc"))
-    docs.write.mode("overwrite").partitionBy("lang", "doc").text(root)
-    name = F.regexp_replace("doc_id", r"/part-[^/]*\.txt$", ".txt").alias("doc_id")
-    return wide(text_tree(spark, root).listing.select(name, "size", F.lit(classify.INDEX_VERSION).alias("index_version")))
+    """Names, sizes and index version of the same tree, without reading content."""
+    listing = text_tree(spark, corpora.text_files(spark, sf_dir)).listing
+    return wide(listing.select(written_name(), "size", F.lit(classify.INDEX_VERSION).alias("index_version")))
+
+
+def written_name():
+    """Spark chooses the last part of a written file's name."""
+    return F.regexp_replace("doc_id", r"/part-[^/]*\.txt$", ".txt").alias("doc_id")
 
 
 @query

@@ -7,9 +7,8 @@ Layout below the index folder::
     postings/run=K/part=P               its words, sorted by word in every file
     commits/run=K                       which (table, run, part) make up the index
 
-Every row of a document lies in one part. A part is what one group of write
-tasks handled, so a build writes
-where it reads: neither text nor postings are shuffled. Each run writes into
+All rows of a document lie in one part: what one task (or a few) read is also
+what it wrote, so neither text nor postings are shuffled. Each run writes into
 its own folders and becomes visible with its commit, written last; a run that
 died before that is overwritten by the next. New documents only add parts; a
 part is rewritten when one of its documents was updated or deleted.

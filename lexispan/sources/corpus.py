@@ -67,13 +67,7 @@ def text_tree(spark: SparkSession, root: str, verify_content: bool = False) -> C
     modification times have the file system's precision as Spark reports it
     (milliseconds).
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.[tT][xX][tT]")
-        .option("ignoreMissingFiles", "true")
-        .load(root)
-    )
+    files = _text_files(spark.read).load(root)
     stat = [
         relative_name(F.col("path"), root).alias("doc_id"),
         F.col("modificationTime").alias("mtime"),
@@ -86,6 +80,23 @@ def text_tree(spark: SparkSession, root: str, verify_content: bool = False) -> C
     return Corpus(listing, documents.select("doc_id", "text", *FINGERPRINT), pruned_by_mtime=True)
 
 
+def text_tree_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Files as they appear below ``root``: change rows ``(doc_id, content, mtime)`` for an index stream.
+
+    A file that is rewritten or deleted is not reported again; that takes a sync with ``text_tree``.
+    """
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    files = _text_files(spark.readStream.schema(schema)).load(root)
+    name = relative_name(F.col("path"), root).alias("doc_id")
+    return files.select(name, "content", F.col("modificationTime").alias("mtime"))
+
+
+def _text_files(reader):
+    """A batch or stream reader of ``.txt`` files in any depth."""
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.[tT][xX][tT]", "ignoreMissingFiles": "true"}
+    return reader.format("binaryFile").options(**options)
+
+
 def relative_name(path: Column, root: str) -> Column:
     """Path below ``root`` with forward slashes; scheme and authority are ignored."""
     uri_prefix = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from lexispan import TextIndex, index_stream, table_corpus, text_tree
+from lexispan import TextIndex, index_stream, table_corpus, text_tree, text_tree_stream
 from lexispan.operators import counts
 from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, log_order, names_only
 from lexispan.sources.naming import unique_names
@@ -234,6 +234,20 @@ def test_streamed_arrivals(spark, index, tmp_path):
     assert len(spans(index.searcher().word("red"))) == 3
 
 
+def test_streamed_files_and_batch_sync_agree(spark, tree, index, tmp_path):
+    def arrive():
+        stream = index_stream(text_tree_stream(spark, str(tree)), index, str(tmp_path / "progress"))
+        stream.trigger(availableNow=True).start().awaitTermination()
+
+    arrive()
+    assert counts.occurrence_count(index.searcher().word("Lincoln")).first()[0] == 7
+    (tree / "sub dir" / "late.TXT").write_text("Lincoln", encoding="utf-8")
+    arrive()
+    assert texts(index)["sub dir/late.TXT"] == ["Lincoln"]
+    (tree / "korean.txt").unlink()
+    assert summary(index.sync(text_tree(spark, str(tree)))) == {"skipped": 3, "deleted": 1}
+
+
 def test_classification(spark):
     t = datetime(2026, 1, 1)
     schema = "doc_id string, mtime timestamp, size long, content_hash long"
