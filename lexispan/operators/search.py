@@ -83,25 +83,40 @@ class Hits:
         line_set: Callable[[], LineSet],
         *,
         words: tuple[str, ...],
-        alternatives: tuple[tuple[str, ...], ...],
-        phrases: tuple[tuple[str, ...], ...] = (),
+        lengths: frozenset[int],
+        alternatives: Callable[[], tuple[tuple[str, ...], ...]],
+        phrases: Callable[[], tuple[tuple[str, ...], ...]],
         has_not: bool = False,
         slots: tuple[frozenset[str], ...] | None = None,
     ) -> None:
         self.searcher = searcher
         self._spans = spans
         self._line_set = line_set
+        self._alternatives = alternatives
+        self._phrases = phrases
         #: query words in order of first mention
         self.words = tuple(dict.fromkeys(words))
-        #: the exact phrases this search could stand for (excluded parts have none)
-        self.alternatives = alternatives
-        #: alternatives of every adjacency inside, inner ones first
-        self.phrases = tuple(dict.fromkeys(phrases))
+        #: how many words a span can have
+        self.lengths = lengths
         #: is anything excluded, anywhere inside?
         self.has_not = has_not
         #: for "one of these words, then one of those ...": the word sets in order
         self.slots = slots
 
+    @cached_property
+    def alternatives(self) -> tuple[tuple[str, ...], ...]:
+        """The exact phrases this search could stand for; excluded parts have none."""
+        return self._alternatives()
+
+    @cached_property
+    def phrases(self) -> tuple[tuple[str, ...], ...]:
+        """Alternatives of every adjacency inside, inner ones first."""
+        return tuple(dict.fromkeys(self._phrases()))
+
+    def may_share_spans(self, other: Hits) -> bool:
+        """Could a span be found by both? A place holds one word, so not by searches without a common word."""
+        return bool(self.lengths & other.lengths and set(self.words) & set(other.words))
+
     @cached_property
     def spans(self) -> DataFrame:
         """``(doc_id, line_no, start_pos, end_pos)``, each occurrence once."""
@@ -140,7 +155,13 @@ class Searcher:
 
     def word(self, word: str) -> Hits:
         term = word.casefold() if self.fold_mode == "full" else word.lower()
-        return self._slot_hits((frozenset([term]),), words=(term,), alternatives=((term,),))
+        return self._slot_hits(
+            (frozenset([term]),),
+            words=(term,),
+            lengths=frozenset([1]),
+            alternatives=lambda: ((term,),),
+            phrases=tuple,
+        )
 
     def adjacent(self, *parts: Hits | str) -> Hits:
         """Each part directly after the one before, on one line.
@@ -161,8 +182,9 @@ class Searcher:
             spans=self._no_spans,
             line_set=lambda: inner.line_set.complement(),
             words=inner.words,
-            alternatives=(),
-            phrases=inner.phrases,
+            lengths=frozenset(),
+            alternatives=tuple,
+            phrases=lambda: inner.phrases,
             has_not=True,
         )
 
@@ -174,6 +196,7 @@ class Searcher:
             spans=lambda: self._shared_spans(left, right),
             line_set=lambda: left.line_set.intersect(right.line_set),
             has_not=left.has_not or right.has_not,
+            lengths=left.lengths | right.lengths,
             **self._paired(left, right),
         )
 
@@ -186,39 +209,44 @@ class Searcher:
 
     @staticmethod
     def _paired(left: Hits, right: Hits) -> dict:
-        """What two sides of an adjacency contribute to the phrase statistics."""
-        alternatives = tuple(a + b for a, b in product(left.alternatives, right.alternatives))
+        """What two sides of an adjacency contribute to the statistics."""
+
+        def alternatives() -> tuple[tuple[str, ...], ...]:
+            return tuple(a + b for a, b in product(left.alternatives, right.alternatives))
+
         return {
             "words": left.words + right.words,
             "alternatives": alternatives,
-            "phrases": left.phrases + right.phrases + alternatives,
+            "phrases": lambda: left.phrases + right.phrases + alternatives(),
         }
 
     def _adjacent(self, left: Hits, right: Hits) -> Hits:
         if left.has_not or right.has_not:
             return self.both_lines(left, right)
-        paired = self._paired(left, right)
+        described = self._paired(left, right)
+        described["lengths"] = frozenset(a + b for a, b in product(left.lengths, right.lengths))
         if left.slots and right.slots and len(left.slots) + len(right.slots) <= MAX_SLOTS:
-            return self._slot_hits(left.slots + right.slots, **paired)
+            return self._slot_hits(left.slots + right.slots, **described)
         hits = Hits(
             self,
-            spans=lambda: _join_adjacent(left.spans, right.spans),
+            spans=lambda: _join_adjacent(left, right),
             line_set=lambda: LineSet(distinct_lines(hits.spans)),
-            **paired,
+            **described,
         )
         return hits
 
     def _either(self, left: Hits, right: Hits) -> Hits:
         described = {
             "words": left.words + right.words,
-            "alternatives": left.alternatives + right.alternatives,
-            "phrases": left.phrases + right.phrases,
+            "lengths": left.lengths | right.lengths,
+            "alternatives": lambda: left.alternatives + right.alternatives,
+            "phrases": lambda: left.phrases + right.phrases,
         }
         if left.slots and right.slots and len(left.slots) == len(right.slots) == 1:
             return self._slot_hits((left.slots[0] | right.slots[0],), **described)
         return Hits(
             self,
-            spans=lambda: _union(left.spans, right.spans),
+            spans=lambda: _union_spans(left, right, left.spans, right.spans),
             line_set=lambda: left.line_set.union(right.line_set),
             has_not=left.has_not or right.has_not,
             **described,
@@ -240,7 +268,7 @@ class Searcher:
     @staticmethod
     def _shared_spans(left: Hits, right: Hits) -> DataFrame:
         """Each side's spans lie on its own lines, so only the other side filters them."""
-        return _union(right.line_set.restrict(left.spans), left.line_set.restrict(right.spans))
+        return _union_spans(left, right, right.line_set.restrict(left.spans), left.line_set.restrict(right.spans))
 
 
 def with_terms(postings: DataFrame, terms) -> DataFrame:
@@ -279,11 +307,20 @@ def slot_spans(postings: DataFrame, slots) -> DataFrame:
     )
 
 
-def _join_adjacent(left: DataFrame, right: DataFrame) -> DataFrame:
+def _union_spans(left: Hits, right: Hits, left_spans: DataFrame, right_spans: DataFrame) -> DataFrame:
+    """Spans of either side; deduplicated only if the sides can find the same span."""
+    both = left_spans.unionByName(right_spans)
+    return both.distinct() if left.may_share_spans(right) else both
+
+
+def _join_adjacent(left: Hits, right: Hits) -> DataFrame:
     """Left spans directly followed by right spans; an equi-join on the next position.
 
-    Where right spans share a start, every end counts.
+    Where right spans share a start, every end counts. A joined span can occur
+    twice only if it can be split at two places.
     """
-    lhs = left.select(*LINE_KEY, "start_pos", (F.col("end_pos") + 1).alias("next_pos"))
-    rhs = right.select(*LINE_KEY, F.col("start_pos").alias("next_pos"), "end_pos")
-    return lhs.join(rhs, [*LINE_KEY, "next_pos"]).select(*SPAN).distinct()
+    lhs = left.spans.select(*LINE_KEY, "start_pos", (F.col("end_pos") + 1).alias("next_pos"))
+    rhs = right.spans.select(*LINE_KEY, F.col("start_pos").alias("next_pos"), "end_pos")
+    joined = lhs.join(rhs, [*LINE_KEY, "next_pos"]).select(*SPAN)
+    totals = [a + b for a, b in product(left.lengths, right.lengths)]
+    return joined.distinct() if len(totals) != len(set(totals)) else joined

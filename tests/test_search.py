@@ -117,6 +117,24 @@ def test_grouped_and_highlighted_results(people):
     assert marked == {"people.txt": "<mark>Abe</mark> was called Lincoln.", "gutenberg.txt": "<mark>Abe</mark> Lincoln body"}
 
 
+def test_distinct_only_where_spans_can_coincide(spark, people):
+    def shuffles(hits):
+        return hits.spans._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
+
+    s = Searcher(people.lines.checkpoint(), people.postings.checkpoint())
+    one_or_two = s.any_of("abe", s.adjacent("lincoln", "lincoln"))
+    assert shuffles(s.word("abe")) == 0 and shuffles(s.adjacent("abe", "lincoln")) == 1
+    assert shuffles(one_or_two) == 1
+    assert shuffles(s.adjacent(one_or_two, "lincoln")) == 1
+    assert shuffles(s.adjacent(one_or_two, s.any_of("body", s.adjacent("lincoln", "lincoln")))) == 3
+    assert shuffles(s.any_of(s.adjacent("abe", "lincoln"), s.adjacent("lincoln", "spoke"))) == 3
+
+
+def test_many_alternatives_cost_nothing_until_counted(people):
+    pairs = [people.any_of("abe", "lincoln") for _ in range(60)]
+    assert spans(people.adjacent(*pairs)) == set()
+
+
 def test_long_phrases(spark):
     words = [f"w{i % 3}x" for i in range(150)]
     s = searcher_over(spark, {"d": " ".join(words)})
