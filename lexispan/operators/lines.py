@@ -37,7 +37,9 @@ def document_lines(docs: DataFrame, split_mode: str = "core", fold_mode: str = "
     # The outer form, as Spark would otherwise add a filter that splits every text once more.
     numbered = arrays.select("doc_id", "_start", "_end", F.posexplode_outer("_lines").alias("_i", "line"))
     line_no = F.col("_i") + 1
-    return numbered.where(F.col("_i").isNotNull()).select("doc_id", line_no.alias("line_no"), "line", is_searchable(line_no).alias("searchable"))
+    return numbered.where(F.col("_i").isNotNull()).select(
+        "doc_id", line_no.alias("line_no"), "line", is_searchable(line_no).alias("searchable")
+    )
 
 
 def line_universe(lines: DataFrame) -> DataFrame:

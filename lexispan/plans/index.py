@@ -125,7 +125,8 @@ class TextIndex:
     def _read_run(self, table: str, run: int) -> DataFrame:
         """What run ``run`` has written so far, committed or not."""
         folder, schema = ("postings", POSTINGS) if table == "postings" else ("store", STORE)
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/{folder}").parquet(f"{self.root}/{folder}/run={run}")
+        base = f"{self.root}/{folder}"
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(f"{base}/run={run}")
         return rows if table == "postings" else rows.where(F.col("kind") == table)
 
     # -- writing ----------------------------------------------------------

@@ -1,3 +1,4 @@
+import os
 import shutil
 from datetime import datetime
 from pathlib import Path
@@ -9,6 +10,7 @@ from lexispan import TextIndex, index_stream, table_corpus, text_tree, text_tree
 from lexispan.operators import counts
 from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, log_order, names_only
 from lexispan.sources.naming import unique_names
+from lexispan.sources.workspace import materialized, shared_folder
 from test_search import PEOPLE, lines, spans
 
 SUMMARY = ["new", "updated", "skipped", "deleted", "failed"]
@@ -295,3 +297,33 @@ def test_browser_rules(spark, tmp_path):
     assert spans(s.adjacent("can", "STRA")) == {("d", 1, 1, 2)}
     assert spans(s.word("you")) == set()
     assert lines(s.none_of("can")) == {("d", 2), ("d", 3)}
+
+
+def test_content_check_sees_what_the_clock_does_not(spark, tree, index):
+    path = tree / "people.txt"
+    corpus = lambda verify: text_tree(spark, str(tree), verify_content=verify)
+    index.sync(corpus(True))
+    before = path.stat()
+    path.write_text(PEOPLE["people.txt"].replace("Abe", "Eba"), encoding="utf-8")
+    os.utime(path, ns=(before.st_atime_ns, before.st_mtime_ns))
+    assert summary(index.sync(corpus(False))) == {"skipped": 3}
+    assert summary(index.sync(corpus(True))) == {"updated": 1, "skipped": 2}
+    assert spans(index.searcher().adjacent("eba", "lincoln")) == {("people.txt", 1, 0, 1)}
+
+
+def test_work_tables_go_to_the_configured_folder(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    assert shared_folder(spark) == str(folder)
+    before = set(folder.glob("lexispan/*/tables/*"))
+    assert materialized(spark.range(3)).count() == 3
+    assert len(set(folder.glob("lexispan/*/tables/*")) - before) == 1
+
+
+def test_repeated_words_of_a_hot_document(spark, index):
+    """One document with most of the lines, and one line with most of the words."""
+    corpus = {"many": "red red blue\n" * 2000, "long": "red " * 3000, "small": "red blue"}
+    index.sync(corpus_of(spark, corpus))
+    s = index.searcher()
+    assert counts.occurrence_count(s.adjacent("red", "red")).first()[0] == 2000 + 2999
+    assert counts.occurrence_count(s.adjacent("red", s.any_of("blue", s.adjacent("red", "blue")))).first()[0] == 4001
+    assert counts.line_count(s.adjacent("red", s.none_of("blue"))).first()[0] == 1
