@@ -15,7 +15,7 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexispan.operators.keys import broadcast_if_small
+from lexispan.operators.keys import is_small
 from lexispan.operators.lines import line_universe
 
 LINE_KEY = ["doc_id", "line_no"]
@@ -64,9 +64,16 @@ class LineSet:
         """Like ``restrict``, for the (large) line table.
 
         Measuring the keys first keeps a selective search from shuffling the
-        text of the whole corpus; a broad one falls back to a shuffle join.
+        text of the whole corpus. A broad one joins by a shuffle, if possible
+        of the documents with a hit only.
         """
-        return LineSet(broadcast_if_small(self.keys), self.excluded).restrict(lines)
+        if is_small(self.keys):
+            return LineSet(F.broadcast(self.keys), self.excluded).restrict(lines)
+        if not self.excluded:
+            documents = self.keys.select("doc_id").distinct()
+            if is_small(documents):
+                lines = lines.join(F.broadcast(documents), "doc_id", "left_semi")
+        return self.restrict(lines)
 
 
 def _union(a: DataFrame, b: DataFrame) -> DataFrame:

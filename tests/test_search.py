@@ -175,12 +175,15 @@ def test_random_compositions_match_brute_force(spark):
         assert spans(hits) == want_spans, query
 
 
-def test_line_sets_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("lexispan.operators.keys.MAX_ROWS", -1)
-    monkeypatch.setattr("lexispan.operators.search.broadcast_if_small", lambda df: df)
-    s = searcher_over(spark, PEOPLE)
-    assert lines(s.none_of("Lincoln")) == {("korean.txt", 1), ("korean.txt", 2)}
-    assert len(s.adjacent("abe", "lincoln").lines_with_text.collect()) == 2
+@pytest.mark.parametrize("few_documents", [True, False])
+def test_broad_searches_join_by_shuffle(people, monkeypatch, few_documents):
+    def is_small(df):
+        return few_documents and df.columns == ["doc_id"]
+
+    monkeypatch.setattr("lexispan.operators.search.is_small", is_small)
+    assert lines(people.none_of("Lincoln")) == {("korean.txt", 1), ("korean.txt", 2)}
+    found = people.adjacent("abe", "lincoln").lines_with_text
+    assert {(r.doc_id, r.line_no) for r in found.collect()} == {("people.txt", 1), ("gutenberg.txt", 3)}
 
 
 def test_selective_search_does_not_shuffle_the_text(people):
