@@ -263,15 +263,10 @@ def _mark_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last_h = last_ctx = None
 
     def edge(state, last_ctx: int, last: bool) -> pa.RecordBatch:
-        row, several, _ = state
-        n = row.num_rows
-        mark = pa.array([EDGE], pa.int32())
-        # An own second context is told by a last context that differs from the first.
-        end = last_ctx if last_ctx != row["ctx"][0].as_py() or not several else last_ctx
-        return pa.RecordBatch.from_arrays(
-            [row["_id"], row["_sub"], row["pos"], row["h"], mark, row["ctx"], pa.array([end], pa.int64()), pa.array([part] * n, pa.int32()), pa.array([last])],
-            names=names,
-        )
+        # Contexts are sorted, so a second one shows as a last context that differs from the first.
+        row = state[0]
+        told = [pa.array([EDGE], pa.int32()), row["ctx"], pa.array([last_ctx], pa.int64()), pa.array([part], pa.int32()), pa.array([last])]
+        return pa.RecordBatch.from_arrays([row["_id"], row["_sub"], row["pos"], row["h"], *told], names=names)
 
     def marks(batch: pa.RecordBatch, rows: np.ndarray, mark: np.ndarray) -> pa.RecordBatch:
         taken = batch.take(pa.array(rows))
