@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexispan.llm import near_dedup, suffix_dedup
+from lexispan.llm import fingerprints, language_id, mixing, near_dedup, suffix_dedup, toxicity, warc
+from lexispan.sources.workspace import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,17 +18,66 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the one the cluster names for shared files."""
+    return f"{shared_folder(spark)}/lexispan/{spark.sparkContext.applicationId}/{name}/{uuid.uuid4().hex}"
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = language_id.is_held_out("doc_id", 5, 0)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"), F.size("toxic_passages").alias("n_passages"),
+    )
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language_id.is_held_out("doc_id", 4, 2)
+    model = language_id.fit(docs.where(~held_out))
+    labelled = language_id.identify(docs.select("doc_id", "text"), model)
+    return labelled.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.size("lang_spans").alias("n_spans")
+    )
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    found = warc.record_summary(warc.read_archive(spark, folder))
+    return found.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
+    "op2_toxicity": op2_toxicity,
     "op4_near_dedup": op4_near_dedup,
+    "op5_language_id": op5_language_id,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_warc": op7_warc,
+    "op8_fingerprints": op8_fingerprints,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op1_mixing": mixing.oracle(),
+    "op7_warc": warc.oracle(),
+}

@@ -51,7 +51,7 @@ def repeated_spans(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     length: int = LENGTH, gram: int = GRAM, largest_group: int = LARGEST_GROUP,
 ) -> DataFrame:
-    """The rows of ``docs`` with ``_spans``: repeated byte ranges ``(start, stop)``, which may overlap.
+    """Every row of ``docs`` as ``_row``, its ``_text``, and ``_spans``: repeated byte ranges ``(start, stop)``, which may overlap.
 
     A null text is empty. A null id counts as the smallest. Documents that
     share an id are told apart by their texts; rows equal in both are one
@@ -91,7 +91,7 @@ def repeated_spans(
     if common is not None:
         every = every.unionByName(common)
     lists = every.groupBy(*KEY).agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
-    return _join(keyed, lists, "left").drop(*KEY, "_text")
+    return _join(keyed, lists, "left").select("_row", "_text", "_spans")
 
 
 def kept_bytes(text: str | None, spans: list | None) -> tuple[bytes, int, int, int]:
@@ -144,11 +144,12 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [kept_text(t, s) for t, s in zip(batch[text_column].to_pylist(), batch["_spans"].to_pylist())]
-            columns = [pa.array(texts, pa.string()) if f.name == text_column else batch[f.name] for f in schema]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            own = dict(zip(schema.names, batch["_row"].flatten()))
+            texts = [kept_text(t, s) for t, s in zip(own[text_column].to_pylist(), batch["_spans"].to_pylist())]
+            own[text_column] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(list(own.values()), names=schema.names)
 
-    return repeated_spans(docs, id_column, text_column, **options).select(*docs.columns, "_spans").mapInArrow(cut, schema)
+    return repeated_spans(docs, id_column, text_column, **options).select("_row", "_spans").mapInArrow(cut, schema)
 
 
 def removal_digest(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -158,13 +159,13 @@ def removal_digest(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [kept_bytes(t, s) for t, s in zip(batch[text_column].to_pylist(), batch["_spans"].to_pylist())]
+            rows = [kept_bytes(t, s) for t, s in zip(batch["_text"].to_pylist(), batch["_spans"].to_pylist())]
             counts = [pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2, 3)]
             digests = pa.array([hashlib.sha256(r[0]).hexdigest() for r in rows], pa.string())
-            yield pa.RecordBatch.from_arrays([batch[id_column], *counts, digests], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch["_id"], *counts, digests], names=schema.names)
 
-    narrow = docs.select(id_column, text_column)
-    return repeated_spans(narrow, id_column, text_column, **options).select(id_column, text_column, "_spans").mapInArrow(digest, schema)
+    spans = repeated_spans(docs.select(id_column, text_column), id_column, text_column, **options)
+    return spans.select(F.col("_row").getField(id_column).alias("_id"), "_text", "_spans").mapInArrow(digest, schema)
 
 
 # -- documents and their keys ------------------------------------------------
@@ -172,7 +173,7 @@ def removal_digest(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Adds ``_id``, ``_text`` and ``_sub``, a hash of the text where an id is shared (0 elsewhere)."""
-    plain = docs.withColumns({"_id": F.col(id_column), "_text": F.coalesce(F.col(text_column), F.lit(""))})
+    plain = docs.select(F.struct("*").alias("_row"), F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
     shared = materialized(
         docs.groupBy(F.col(id_column).alias("_id")).agg(F.count("*").alias("n")).where("n > 1").select("_id")
     )

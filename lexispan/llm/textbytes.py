@@ -133,3 +133,49 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
         factor = factor * factor % (1 << 64)
         done *= 2
     return mixed(h)
+
+
+@lru_cache(maxsize=1)
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """Which code points are letters, and a number per code point with upper case as lower case."""
+    letter = np.zeros(0x110000, bool)
+    lower = np.arange(0x110000, dtype=np.uint32)
+    for code in range(0x110000):
+        char = chr(code)
+        if char.isalpha():
+            letter[code] = True
+            small = char.lower()
+            if len(small) == 1:
+                lower[code] = ord(small)
+    return letter, lower
+
+
+def letter_runs(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
+    """The words of all texts as runs of letters, by code point.
+
+    ``chars`` (lower case; 0 where there is no letter), ``begin`` and ``stop``
+    of every word, ``words`` and ``places``: where each text's words and code
+    points begin (and the last end).
+    """
+    letter, lower = _letters()
+    codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    places = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    inside = letter[codes]
+    chars = np.where(inside, lower[codes], 0).astype(np.uint64)
+    edge = np.zeros(len(codes) + 1, bool)
+    edge[places] = True
+    before, after = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+    before[1:] = inside[:-1]
+    after[:-1] = inside[1:]
+    begin = np.flatnonzero(inside & (~before | edge[:-1]))
+    stop = np.flatnonzero(inside & (~after | edge[1:])) + 1
+    return {"chars": chars, "begin": begin, "stop": stop, "words": np.searchsorted(begin, places), "places": places}
+
+
+def letter_word_hashes(runs: dict[str, np.ndarray]) -> np.ndarray:
+    """A hash per word of :func:`letter_runs`."""
+    n = len(runs["chars"])
+    power, inverse = _powers(1 << max(20, (max(n, 1) - 1).bit_length()))
+    total = np.zeros(n + 1, U64)
+    np.cumsum(mixed(runs["chars"] + _ODD) * power[:n], out=total[1:])
+    return mixed((total[runs["stop"]] - total[runs["begin"]]) * inverse[runs["begin"]])
