@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispan.llm import fingerprints, language_id, mixing, near_dedup, suffix_dedup, toxicity, warc
+from lexispan.llm import fingerprints, language_id, mixing, near_dedup, suffix_dedup, token_files, toxicity, warc
 from lexispan.sources.workspace import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,23 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+# The end-of-document id of the token files.
+END_ID = 2
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file on this machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "ids")
+    token_files.write_ids(table(spark, sf_dir, "documents"), folder, tokenizer_file("word_bpe_49k.json"), END_ID)
+    return token_files.id_digests(spark, folder).withColumnRenamed("id", "doc_id")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -75,6 +92,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
     "op8_fingerprints": op8_fingerprints,
+    "op9_token_files": op9_token_files,
 }
 
 LLM_ORACLES: dict[str, str] = {
