@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispan.llm import fingerprints, language_id, mixing, near_dedup, suffix_dedup, token_files, toxicity, warc
+from lexispan.llm import fingerprints, language_id, mixing, near_dedup, sentencepiece_codec, suffix_dedup, token_files, toxicity, warc
 from lexispan.sources.workspace import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.id_digests(spark, folder).withColumnRenamed("id", "doc_id")
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece_codec.load_pieces(tokenizer_file("piece_bpe_32k.model"))
+    return sentencepiece_codec.codec_digest(table(spark, sf_dir, "documents"), model)
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -93,6 +98,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op7_warc": op7_warc,
     "op8_fingerprints": op8_fingerprints,
     "op9_token_files": op9_token_files,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 LLM_ORACLES: dict[str, str] = {
