@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispan.llm import fingerprints, language_id, mixing, near_dedup, sentencepiece_codec, suffix_dedup, token_files, toxicity, warc
+from lexispan.llm import fingerprints, language_id, mixing, near_dedup, sentencepiece_codec, suffix_dedup, token_files, topk_search, toxicity, warc
 from lexispan.sources.workspace import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for the whole text of every document whose id is divisible by 100."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    queries = docs.where(F.col("doc_id") % 100 == 0).withColumnRenamed("doc_id", "query_id")
+    return topk_search.top_k(docs, queries, 10)
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
@@ -92,6 +99,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
+    "op3_topk_search": op3_topk_search,
     "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_suffix_dedup": op6_suffix_dedup,
