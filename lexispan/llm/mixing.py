@@ -47,15 +47,45 @@ def mixed_documents(
     """
     words = F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long")
     sized = docs.select(F.col(id_column).alias("id"), F.col(source_column).alias("source"), words.alias("size"))
-    sized = materialized(sized)
-    targets = source_targets(sized, share, most, weights or WEIGHTS)
-    quotas = materialized(shard_quotas(sized, targets, seed))
-    taken = _taken(sized, targets, quotas, most, seed)
+    taken = _mixed(materialized(sized), share, most, weights or WEIGHTS, seed)
     return taken.select(
         F.col("id").alias(id_column), F.col("source").alias(source_column), "size", "source_size", "target", "taken"
     )
 
 
+def mixture(
+    docs: DataFrame, share: float = 1.5, most: int = 2, weights: list[int] | None = None, seed: str = SEED,
+    id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the words taken of it, over its size.
+
+    A fraction is rounded up or down by a seeded hash in its proportion, so the
+    words of a source stay near its target. Texts without words are not in the mix.
+    """
+    text = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+    words = F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long")
+    sized = docs.select(F.col(id_column).alias("id"), F.col(source_column).alias("source"), words.alias("size"), text.alias("digest"))
+    taken = _mixed(materialized(sized.where("size > 0")), share, most, weights or WEIGHTS, seed)
+    # Rows alike in id, source and text are interchangeable: they share what was taken of them.
+    keys = ["id", "source", "digest"]
+    shares = taken.groupBy(*keys).agg((F.sum("taken") / F.sum("size")).alias("share"))
+    chance = _hash(F.lit(f"{seed}:copies"), "id", "digest") / 2.0**32
+    copies = (F.floor("share") + (chance < F.col("share") - F.floor("share")).cast("int")).cast("int")
+    shares = materialized(shares.withColumn("copies", copies).where("copies > 0").drop("share"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(source_column).alias("source"), text.alias("digest"))
+    on = F.col("r.digest") == F.col("s.digest")
+    for c in ("id", "source"):
+        on = on & F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}"))
+    joined = rows.alias("r").join(shares.alias("s"), on).select("r.row", "s.copies")
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+
+
+def _mixed(sized: DataFrame, share: float, most: int, weights: list[int], seed: str) -> DataFrame:
+    targets = source_targets(sized, share, most, weights)
+    quotas = materialized(shard_quotas(sized, targets, seed))
+    return _taken(sized, targets, quotas, most, seed)
+
+
 def source_targets(sized: DataFrame, share: float, most: int, weights: list[int]) -> DataFrame:
     """``(source, source_size, target, block, n_shards, blocks)``: one row per source.
 
@@ -160,7 +190,7 @@ def _taken(sized: DataFrame, targets: DataFrame, quotas: DataFrame, most: int, s
     pieces = pieces.withColumn("chosen", chosen)
     # By place in the shard, which no two rows share, whatever their ids.
     own = pieces.groupBy("source", "shard", "row").agg(
-        *[F.first(c).alias(c) for c in ("id", "size", "source_size", "target", "passes")], F.sum("chosen").alias("chosen")
+        *[F.first(c).alias(c) for c in ("id", *sized.columns[2:], "source_size", "target", "passes")], F.sum("chosen").alias("chosen")
     )
     return own.withColumn("taken", (F.col("passes") * F.col("size") + F.col("chosen")).cast("long"))
 
