@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lexispan.llm import language_id, mixing, near_dedup, sentencepiece_codec, suffix_dedup
 from lexispan.llm.queries import tokenizer_file
+from lexispan.llm.workers import known_to_workers
 from lexispan.sources.workspace import materialized
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,17 +23,20 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; a text without letters is rejected, and so is all text if none has a label."""
+    known_to_workers(spark)
     model = language_id.fit(docs.where(~language_id.is_held_out("doc_id", 4, 2)))
     return language_id.identify(docs, model).where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by 80% of the runs of five words, the document of smallest id."""
+    known_to_workers(spark)
     return near_dedup.one_of_each(docs, width=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 100 bytes or more that occurred before are cut out; every row stays."""
+    known_to_workers(spark)
     return suffix_dedup.without_repeats(docs)
 
 
@@ -43,6 +47,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with its ids, their number, and whether decoding them gives its text again."""
+    known_to_workers(spark)
     model = sentencepiece_codec.load_pieces(tokenizer_file("piece_bpe_32k.model"))
     decoded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
     text = F.replace(F.coalesce("text", F.lit("")), F.lit(sentencepiece_codec.MARK), F.lit(" "))

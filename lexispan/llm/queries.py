@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispan.llm import fingerprints, language_id, mixing, near_dedup, sentencepiece_codec, suffix_dedup, token_files, topk_search, toxicity, warc
+from lexispan.llm.workers import known_to_workers
 from lexispan.sources.workspace import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    known_to_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -145,7 +145,7 @@ def encoded_units(units: DataFrame, model: PieceTable) -> DataFrame:
 
     The edges of a unit stay in the partition of its unit, so gathering them is no shuffle.
     """
-    units = units.repartition("unit")
+    units = units.repartition("h")
     size = F.char_length("unit")
     starts = units.withColumn("size", size).withColumn("start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
     lengths = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("size") - F.col("start")))
@@ -155,15 +155,20 @@ def encoded_units(units: DataFrame, model: PieceTable) -> DataFrame:
     pieces = F.broadcast(model.table(units.sparkSession))
     edges = substrings.join(pieces, "piece", "left").where(F.col("id").isNotNull() | (F.col("length") == 1))
     unknown = -1 - F.ascii("piece")
+    # The boundaries an edge covers, and those at its ends, as bits; of use for units up to LONGEST_MASK.
+    one = F.lit(1).cast("long")
+    covers = _shift("shiftleft", _shift("shiftleft", one, F.col("length") + 1) - 1, F.col("start"))
+    ends = _shift("shiftleft", _shift("shiftleft", one, F.col("length")) + 1, F.col("start"))
     edge = F.struct(
-        (-F.coalesce("score", F.lit(0.0))).alias("cost"), "start", "length", F.coalesce("id", unknown).cast("int").alias("id")
+        (-F.coalesce("score", F.lit(0.0))).alias("cost"), "start", "length", F.coalesce("id", unknown).cast("int").alias("id"),
+        covers.alias("covers"), ends.alias("ends"),
     )
-    keys = units.columns
-    lattices = edges.groupBy(*keys).agg(F.sort_array(F.collect_list(edge)).alias("edges")).withColumn("size", size)
+    kept = [F.first(c).alias(c) for c in units.columns if c != "h"]
+    lattices = edges.groupBy("h").agg(*kept, F.sort_array(F.collect_list(edge)).alias("edges")).withColumn("size", size)
     if not model.merges:
-        return lattices.select(*keys, viterbi_ids(F.col("edges"), F.col("size")).alias("ids"))
+        return lattices.select(*units.columns, viterbi_ids(F.col("edges"), F.col("size")).alias("ids"))
     ids = F.when(F.col("size") <= LONGEST_MASK, merged_ids(F.col("edges"), F.col("size"))).otherwise(merged_long_ids(F.col("edges"), F.col("size")))
-    return lattices.select(*keys, ids.alias("ids"))
+    return lattices.select(*units.columns, ids.alias("ids"))
 
 
 def _shift(way: str, value: Column, by: Column) -> Column:
@@ -177,25 +182,15 @@ def _ids_by_start(edges: Column, final) -> Column:
 
 def merged_ids(edges: Column, size: Column) -> Column:
     """Merges in order of rank, leftmost first; a bit per boundary between symbols, in one BIGINT."""
-    def bits(length: Column) -> Column:
-        return _shift("shiftleft", F.lit(1).cast("long"), length) - 1
-
-    def window(mask: Column, e: Column) -> Column:
-        return _shift("shiftrightunsigned", mask, e["start"]).bitwiseAND(bits(e["length"] + 1))
-
     def joins(mask: Column, e: Column) -> Column:
-        ends = (_shift("shiftleft", F.lit(1).cast("long"), e["length"]) + 1).cast("long")
-        seen = window(mask, e)
-        two = (e["length"] > 1) & (seen.bitwiseAND(ends) == ends) & (F.bit_count(seen) == 3)
-        inner = _shift("shiftleft", bits(e["length"] - 1), e["start"] + 1)
-        return F.when(two, mask.bitwiseAND(F.bitwise_not(inner))).otherwise(mask)
-
-    mask = F.aggregate(edges, bits(size + 1).cast("long"), joins)
-
-    def final(mask: Column) -> Column:
-        whole = lambda e: (F.bit_count(window(mask, e)) == 2) & (window(mask, e) > bits(e["length"])) & (window(mask, e) % 2 == 1)
-        return _ids_by_start(edges, whole)
-
+        seen = mask.bitwiseAND(e["covers"])
+        two = (F.bit_count(seen) == 3) & (seen.bitwiseAND(e["ends"]) == e["ends"])
+        return F.when(two, mask.bitwiseAND(F.bitwise_not(e["covers"].bitwiseXOR(e["ends"])))).otherwise(mask)
+
+    every = _shift("shiftleft", F.lit(1).cast("long"), size + 1) - 1
+    longer = F.filter(edges, lambda e: e["length"] > 1)
+    mask = F.aggregate(longer, every, joins)
+    final = lambda mask: _ids_by_start(edges, lambda e: mask.bitwiseAND(e["covers"]) == e["ends"])
     return F.element_at(F.transform(F.array(mask), final), 1)
 
 
@@ -299,10 +294,11 @@ def encode(docs: DataFrame, model: PieceTable, text_column: str = "text", head:
     """``docs`` with ``token_ids``, the ids of each text; null and empty texts have none. A column of that name is replaced."""
     spark = docs.sparkSession
     plain = docs.drop(*[c for c in ("token_ids",) if c != text_column]).select(F.struct("*").alias("_row"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
-    units = materialized(encoded_units(distinct_units(plain, model.prefix), model))
-    total, hashes = units.agg(F.count("*"), F.countDistinct("h")).first()
-    if total != hashes:
+    distinct = materialized(distinct_units(plain, model.prefix))
+    if distinct.groupBy("h").agg(F.count("*").alias("units")).where("units > 1").limit(1).count():
         raise ValueError("two units have the same hash")
+    units = materialized(encoded_units(distinct, model))
+    total = units.count()
     least = _least_count(units, total, head)
     common = units.where(F.col("n") >= least).select("h", "ids").toArrow().combine_chunks()
     lists = common["ids"].combine_chunks() if total else pa.array([], pa.list_(pa.int32()))
@@ -321,7 +317,8 @@ def encode(docs: DataFrame, model: PieceTable, text_column: str = "text", head:
         for batch in batches:
             for first, _, begin, _, hashes, bounds in _unit_batches(batch["_text"], table.prefix):
                 n = len(bounds) - 1
-                rows = known.find(hashes)
+                once, back = np.unique(hashes, return_inverse=True)
+                rows = known.find(once)[back]
                 if (rows < 0).any():
                     part = batch["_rare"].slice(first, n).flatten()
                     h, ids = part.field("h").to_numpy().view(np.uint64), part.field("ids")
