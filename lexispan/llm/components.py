@@ -39,5 +39,6 @@ def _tied(pairs: DataFrame, moves: Column, both: bool) -> DataFrame:
     least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     moved = around.where(moves).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not both:
-        moved = moved.unionByName(least.select("u", F.col("m").alias("v")))
-    return moved.where("u <> v").distinct()
+        # Both steps may find a tie twice; one distinct per round is enough.
+        moved = moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    return moved.where("u <> v")

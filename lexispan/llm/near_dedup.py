@@ -7,15 +7,16 @@
   (1 - 0.8**6)**64 < 4e-9.
 * Of every minimum two low bits are kept, packed into two bit planes. Two
   sets agree in a kept pair with probability J + (1 - J) / 4, so the number
-  of equal pairs estimates J; only estimates below ``SIFT``, over six standard
-  deviations under the threshold, end a candidate pair.
+  of equal pairs estimates J; an estimate more than six standard deviations
+  under the threshold ends a candidate pair.
 * What is left is confirmed on the full sets of both texts.
 
-No bucket is expanded into its pairs: candidates are tied to one centre per
-bucket. Only where a bucket then still holds several components are further
-centres tried, 16, 256, ... of them, until every pair of different components
-in it was looked at. So no link that joins components is lost, and a large
-group of copies costs as many pairs as it has members.
+No bucket is expanded into its pairs. First each member is compared with its
+bucket's centre, the one with most company over all bands, and the nearest centre over all bands is confirmed: that ties
+groups of copies together, at one pair per member. Then, in buckets which still
+hold several components, sketches are compared across components, in blocks of
+bounded size; only pairs that pass the sieve become rows and are confirmed. So
+every pair of a bucket that could join two components is looked at.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexispan.llm.components import components
 from lexispan.llm.textbytes import mixed, seeded, shingle_hashes, utf8_slices, word_hashes
@@ -36,8 +38,8 @@ MINIMA = BANDS * ROWS
 PLANES = 2
 WORDS = MINIMA // 64  # of 64 bits, per plane
 
-# Bands for a first round that ties most copies together cheaply.
-FIRST_BANDS = 4
+# Members of one bucket compared at a time.
+HELD, STREAMED = 2048, 8192
 
 NODE = ["rep", "var"]
 
@@ -146,21 +148,27 @@ def _lists(rows: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(at, pa.array(rows.ravel()))
 
 
-def estimated_similarity(a: Column, b: Column) -> Column:
-    """Collision-corrected similarity from the counts of equal low bits of two ``planes`` arrays."""
-    differ = sum(
-        F.bit_count(F.element_at(a, i).bitwiseXOR(F.element_at(b, i)).bitwiseOR(F.element_at(a, i + WORDS).bitwiseXOR(F.element_at(b, i + WORDS))))
-        for i in range(1, WORDS + 1)
-    )
+def differing_minima(a: Column, b: Column) -> Column:
+    """How many minima have different low bits, by bit counts over two ``planes`` arrays."""
+    total = F.lit(0)
+    for i in range(1, WORDS + 1):
+        odd = F.lit(0).cast("long")
+        for p in range(PLANES):
+            odd = odd.bitwiseOR(F.element_at(a, i + p * WORDS).bitwiseXOR(F.element_at(b, i + p * WORDS)))
+        total = total + F.bit_count(odd)
+    return total
+
+
+def similarity_estimate(differ):
+    """Similarity from the number of differing minima, corrected for low bits that agree by chance."""
     by_chance = 0.5**PLANES
     return (1 - differ / MINIMA - by_chance) / (1 - by_chance)
 
 
-def sift_below(percent: int) -> float:
-    """Estimates under this are of pairs below the threshold: six standard deviations are allowed for."""
-    by_chance = 0.5**PLANES
-    equal = percent / 100 * (1 - by_chance) + by_chance
-    return percent / 100 - 6 * (equal * (1 - equal) / MINIMA) ** 0.5 / (1 - by_chance)
+def most_different(percent: int) -> int:
+    """Pairs with more differing minima are below the threshold: six standard deviations are allowed for."""
+    equal = percent / 100 * (1 - 0.5**PLANES) + 0.5**PLANES
+    return int(MINIMA * (1 - equal) + 6 * (MINIMA * equal * (1 - equal)) ** 0.5)
 
 
 # -- links -------------------------------------------------------------------
@@ -172,42 +180,113 @@ def _links(plain: DataFrame, sketches: DataFrame, classes: DataFrame, ids_repeat
     nodes = sketches.join(classes.withColumnRenamed("rep", "_id"), ["s1", "s2", "n_shingles", "_id"])
     nodes = nodes.select(F.struct(F.col("_id").alias("rep"), "var").alias("node"), "s1", "s2", "keys", "planes")
     nodes = materialized(nodes.dropDuplicates(["node"]) if ids_repeat else nodes)
-    bands = nodes.select("node", F.posexplode("keys").alias("band", "key"))
-    shared = bands.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").select("key", "centre")
-    tied = materialized(bands.join(materialized(shared), "key").select("key", "band", "node", "centre"))
+    bands = nodes.select("node", F.explode("keys").alias("key"))
+    shared = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    sized = materialized(bands.join(materialized(shared), "key"))
+    # An original shares more of its buckets with its copies than they do with each other: a good centre.
+    degrees = sized.groupBy("node").agg(F.sum("n").alias("degree"))
+    ranked = sized.join(degrees, "node").select("key", "node", F.struct("degree", "node").alias("rank"))
+    centres = ranked.groupBy("key").agg(F.max("rank").alias("rank")).select("key", F.col("rank.node").alias("centre"))
+    tied = materialized(sized.select("key", "node").join(materialized(centres), "key"))
     of = _Candidates(plain, nodes.drop("keys"), ids_repeat, width, percent)
-    others = tied.where("node <> centre").select(F.col("node").alias("b"), F.col("centre").alias("a"), "band")
 
-    links = of.confirmed(others.where(F.col("band") < FIRST_BANDS).select("a", "b"), nearest=True)
-    # All bands, for what that has not tied together yet.
+    to_centres = tied.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    links = of.confirmed(of.nearest(of.sifted(to_centres)))
     roots = components(links, "a", "b")
-    links = materialized(links.unionByName(of.confirmed(_across(others, roots))))
-    tried = 1
-    while True:
-        roots = components(links, "a", "b")
-        rooted = _rooted(tied, roots, "node")
-        mixed_up = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
-        open_keys = materialized(mixed_up.where((F.col("x") != F.col("y")) & (F.col("n") > tried + 1)).select("key"))
-        if not open_keys.limit(1).count():
-            return links
-        by_node = Window.partitionBy("key").orderBy("node")
-        ranked = materialized(rooted.join(open_keys, "key", "left_semi").withColumn("at", F.row_number().over(by_node)).select("key", "node", "root", "at"))
-        upto = 16 * tried
-        centres = ranked.where(F.col("at").between(tried + 1, upto)).select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("at").alias("ca"))
-        pairs = ranked.join(centres, "key").where((F.col("at") > F.col("ca")) & (F.col("root") != F.col("ra")))
-        links = materialized(links.unionByName(of.confirmed(pairs.select("a", F.col("node").alias("b")))))
-        tried = upto
-
-
-def _rooted(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
-    known = roots.select(F.col("node").alias(column), "root")
-    return rows.join(known, column, "left").withColumn("root", F.coalesce("root", column))
-
-
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose sides lie in different components so far."""
-    pairs = _rooted(pairs.select("a", "b").distinct(), roots, "a").withColumnRenamed("root", "ra")
-    return _rooted(pairs, roots, "b").where("root <> ra").select("a", "b")
+    return links.unionByName(of.confirmed(_across(tied, roots, nodes, percent)))
+
+
+def _across(tied: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of one bucket and different components whose sketches are alike.
+
+    Of each bucket the members outside its largest component are compared with
+    all its members, ``HELD`` by ``STREAMED`` at a time, and only pairs that
+    pass the sieve become rows: once, from the first bucket they share.
+    """
+    rooted = tied.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    parts = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
+    buckets = parts.groupBy("key").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots")
+    ).where("roots > 1")
+    blocks = F.ceil((F.col("n") - F.col("most.n")) / HELD).cast("int").alias("held_blocks")
+    salts = F.ceil(F.col("n") / STREAMED).cast("int").alias("streamed_blocks")
+    buckets = materialized(buckets.select("key", F.col("most.root").alias("most"), blocks, salts))
+    members = rooted.join(buckets, "key").join(nodes.select("node", "planes", "keys"), "node")
+    own = lambda n: F.array(F.pmod(F.xxhash64("node"), F.col(n)).cast("int"))
+    all_of = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    members = members.withColumn("order", F.when(F.col("root") != F.col("most"), F.xxhash64("node")))
+    held = members.where("root <> most").withColumns({"i": own("held_blocks"), "j": all_of("streamed_blocks"), "streamed": F.lit(False)})
+    streamed = members.withColumns({"i": all_of("held_blocks"), "j": own("streamed_blocks"), "streamed": F.lit(True)})
+    rows = held.unionByName(streamed).withColumn("i", F.explode("i")).withColumn("j", F.explode("j"))
+    rows = rows.select("key", "i", "j", "streamed", "node", F.xxhash64("root").alias("root"), "planes", "keys", "order")
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "streamed")
+    kind = tied.schema["node"].dataType
+    pairs = rows.mapInArrow(_block_comparer(percent), T.StructType().add("a", kind).add("b", kind))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _block_comparer(percent: int):
+    most = most_different(percent)
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.stack([batch[c].to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+            edges = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                if block != tuple(at[:, a].tolist()):
+                    block, held = tuple(at[:, a].tolist()), []
+                part = batch.slice(a, b - a)
+                streamed = part["streamed"].to_numpy(zero_copy_only=False)
+                split = int(np.searchsorted(streamed, True))
+                if split:
+                    held.append(_sketch_rows(part.slice(0, split)))
+                if split < part.num_rows and held:
+                    other = _sketch_rows(part.slice(split))
+                    for own in held:
+                        x, y = _alike(own, other, block[0], most)
+                        if len(x):
+                            yield pa.RecordBatch.from_arrays([own["node"].take(pa.array(x)), other["node"].take(pa.array(y))], names=["a", "b"])
+
+    return compare
+
+
+def _sketch_rows(part: pa.RecordBatch) -> dict:
+    n = part.num_rows
+    order = part["order"]
+    return {
+        "node": part["node"], "root": part["root"].to_numpy(), "planes": part["planes"].flatten().to_numpy().reshape(n, PLANES * WORDS),
+        "keys": part["keys"].flatten().to_numpy().reshape(n, BANDS), "order": order.fill_null(0).to_numpy(),
+        "is_held": order.is_valid().to_numpy(zero_copy_only=False),
+    }
+
+
+def _alike(own: dict, other: dict, key: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of both sides with different roots and at most ``most`` differing minima, new in this bucket."""
+    found = []
+    for at in range(0, len(other["root"]), 256):
+        planes, roots = other["planes"][at : at + 256], other["root"][at : at + 256]
+        differ = np.zeros((len(own["root"]), len(planes)), np.uint16)
+        for w in range(WORDS):
+            odd = own["planes"][:, w, None] ^ planes[:, w]
+            for p in range(1, PLANES):
+                odd |= own["planes"][:, w + p * WORDS, None] ^ planes[:, w + p * WORDS]
+            differ += np.bitwise_count(odd)
+        x, y = np.nonzero((differ <= most) & (own["root"][:, None] != roots))
+        y += at
+        # Two rows that are both held meet twice; and only the first shared bucket counts.
+        once = ~other["is_held"][y] | (own["order"][x] < other["order"][y])
+        x, y = x[once], y[once]
+        for a in range(0, len(x), 4096):
+            u, v = x[a : a + 4096], y[a : a + 4096]
+            shared = own["keys"][u] == other["keys"][v]
+            first = own["keys"][u, shared.argmax(axis=1)] == key
+            found.append((u[first], v[first]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(side) for side in zip(*found))
 
 
 class _Candidates:
@@ -220,15 +299,20 @@ class _Candidates:
         self.width = width
         self.percent = percent
 
-    def confirmed(self, pairs: DataFrame, nearest: bool = False) -> DataFrame:
-        """The pairs ``(a, b)`` that are links; with ``nearest``, only the best candidate of each ``b`` is looked at."""
-        pairs = pairs.distinct()
+    def sifted(self, pairs: DataFrame) -> DataFrame:
+        """``(a, b, estimate)`` of the pairs whose sketches are alike."""
         for side in ("a", "b"):
             pairs = pairs.join(self.nodes.select(F.col("node").alias(side), F.col("planes").alias(f"p{side}")), side)
-        estimate = estimated_similarity(F.col("pa"), F.col("pb")).alias("estimate")
-        pairs = pairs.select("a", "b", estimate).where(F.col("estimate") >= sift_below(self.percent))
-        if nearest:
-            pairs = pairs.groupBy("b").agg(F.max(F.struct("estimate", "a")).alias("best")).select("best.a", "b")
+        differ = differing_minima(F.col("pa"), F.col("pb"))
+        return pairs.where(differ <= most_different(self.percent)).select("a", "b", similarity_estimate(differ).alias("estimate"))
+
+    def nearest(self, pairs: DataFrame) -> DataFrame:
+        """Only the best candidate of each ``b``."""
+        best = F.max(F.struct("estimate", "a")).alias("best")
+        return pairs.groupBy("b").agg(best).select("best.a", "b")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` that are links."""
         pairs = materialized(pairs.select("a", "b"))
         return materialized(self._shared_enough(pairs)) if pairs.limit(1).count() else pairs
 

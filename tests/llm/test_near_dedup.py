@@ -71,9 +71,11 @@ def test_against_all_pairs(spark, seed, width):
     assert found == brute(rows, width)
 
 
-def test_links_that_no_centre_shows(spark, monkeypatch):
+@pytest.mark.parametrize("held,streamed", [(2048, 8192), (2, 3)])
+def test_links_that_no_centre_shows(spark, monkeypatch, held, streamed):
     """A chain of edits whose ends are unlike: only its steps are links."""
-    monkeypatch.setattr(near_dedup, "FIRST_BANDS", 1)
+    monkeypatch.setattr(near_dedup, "HELD", held)
+    monkeypatch.setattr(near_dedup, "STREAMED", streamed)
     base = [f"c{i}" for i in range(100)]
     chain = []
     for i in range(8):
@@ -120,7 +122,7 @@ def test_estimate_is_close(spark):
         batch = pa.RecordBatch.from_pydict({"_id": list(range(len(rows))), "_text": [r[column] for r in rows]})
         planes.append([p for out in sketch([batch]) for p in out["planes"].to_pylist()])
     df = spark.createDataFrame([(*p, r[2]) for *p, r in zip(*planes, rows)], "a array<long>, b array<long>, true double")
-    for r in df.select(near_dedup.estimated_similarity(F.col("a"), F.col("b")).alias("e"), "true").collect():
+    for r in df.select(near_dedup.similarity_estimate(near_dedup.differing_minima(F.col("a"), F.col("b"))).alias("e"), "true").collect():
         assert abs(r.e - r.true) < 0.12
 
 
