@@ -32,6 +32,8 @@ from lexispan.sources.workspace import materialized
 # Units that every task holds: some 30 bytes each.
 HEAD = 4_000_000
 
+UNITS_PER_TASK = 20_000
+
 # Fixed value: how a model writes a space.
 MARK = "▁"
 
@@ -145,7 +147,9 @@ def encoded_units(units: DataFrame, model: PieceTable) -> DataFrame:
 
     The edges of a unit stay in the partition of its unit, so gathering them is no shuffle.
     """
-    units = units.repartition("h")
+    # Every unit has some thirty edges: few units per task keep their gathering in memory.
+    n_tasks = max(1, -(-units.count() // UNITS_PER_TASK))
+    units = units.repartition(n_tasks, "h")
     size = F.char_length("unit")
     starts = units.withColumn("size", size).withColumn("start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
     lengths = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("size") - F.col("start")))
@@ -253,8 +257,9 @@ class _Dictionary:
         order = np.argsort(hashes, kind="stable")
         sizes = np.diff(offsets)[order]
         self.hashes = hashes[order]
-        self.starts, self.sizes = offsets[:-1][order].astype(np.int32 if len(flat) < 1 << 31 else np.int64), sizes.astype(np.int32)
-        self.flat = flat.astype(np.int32)
+        # As narrow as the numbers allow: every task holds these arrays.
+        narrow = lambda a: a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
+        self.starts, self.sizes, self.flat = narrow(offsets[:-1][order]), narrow(sizes), narrow(flat)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The row of each hash, or -1."""
@@ -271,7 +276,7 @@ class _Dictionary:
 def ragged(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of ``flat`` one after another, and their bounds in the result."""
     bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    return flat[np.arange(bounds[-1]) + np.repeat(starts - bounds[:-1], sizes)], bounds
+    return flat[np.arange(bounds[-1]) + np.repeat(starts.astype(np.int64) - bounds[:-1], sizes)], bounds
 
 
 def _with_bytes(flat: np.ndarray, offsets: np.ndarray, model: PieceTable) -> tuple[np.ndarray, np.ndarray]:
@@ -292,9 +297,22 @@ def _with_bytes(flat: np.ndarray, offsets: np.ndarray, model: PieceTable) -> tup
 
 def encode(docs: DataFrame, model: PieceTable, text_column: str = "text", head: int = HEAD) -> DataFrame:
     """``docs`` with ``token_ids``, the ids of each text; null and empty texts have none. A column of that name is replaced."""
+    packed, look_up = _lookup(docs.drop(*[c for c in ("token_ids",) if c != text_column]), model, text_column, head)
+
+    def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, lists in look_up(batches):
+            yield pa.RecordBatch.from_arrays([rows, lists], names=["_row", "token_ids"])
+
+    row_type = packed.schema["_row"].dataType.simpleString()
+    return packed.mapInArrow(encoded, f"_row {row_type}, token_ids array<int>").select("_row.*", "token_ids")
+
+
+def _lookup(docs: DataFrame, model: PieceTable, text_column: str, head: int):
+    """Rows of ``docs`` as ``_row``, with ids of their rare units, and a function from their batches to ``(rows, ids)``."""
     spark = docs.sparkSession
-    plain = docs.drop(*[c for c in ("token_ids",) if c != text_column]).select(F.struct("*").alias("_row"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
-    distinct = materialized(distinct_units(plain, model.prefix))
+    text = F.coalesce(F.col("_row").getField(text_column), F.lit("")).alias("_text")
+    packed = docs.select(F.struct("*").alias("_row"))
+    distinct = materialized(distinct_units(packed.select(text), model.prefix))
     if distinct.groupBy("h").agg(F.count("*").alias("units")).where("units > 1").limit(1).count():
         raise ValueError("two units have the same hash")
     units = materialized(encoded_units(distinct, model))
@@ -306,38 +324,37 @@ def encode(docs: DataFrame, model: PieceTable, text_column: str = "text", head:
     dictionary = _Dictionary(common["h"].to_numpy().view(np.uint64), lists if len(common) else [], model)
     shared = spark.sparkContext.broadcast((dictionary, model))
     if least > 1:
-        plain = _with_rare_units(plain, units.where(F.col("n") < least).select("h", "ids"), model.prefix)
-    else:
-        plain = plain.withColumn("_rare", F.lit(None).cast("array<struct<h:long,ids:array<int>>>"))
-    packed = plain.select("_row", "_text", "_rare")
-    row_type = packed.schema["_row"].dataType.simpleString()
+        packed = _with_rare_units(packed.select("_row", text), units.where(F.col("n") < least).select("h", "ids"), model.prefix).select("_row", "_rare")
 
-    def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
         known, table = shared.value
         for batch in batches:
-            for first, _, begin, _, hashes, bounds in _unit_batches(batch["_text"], table.prefix):
+            rows = batch["_row"]
+            for first, _, _, _, hashes, bounds in _unit_batches(rows.field(text_column), table.prefix):
                 n = len(bounds) - 1
                 once, back = np.unique(hashes, return_inverse=True)
-                rows = known.find(once)[back]
-                if (rows < 0).any():
-                    part = batch["_rare"].slice(first, n).flatten()
-                    h, ids = part.field("h").to_numpy().view(np.uint64), part.field("ids")
-                    once, at = np.unique(h, return_index=True)
-                    rare = _Dictionary(once, ids.take(pa.array(at)), table)
-                    found = rare.find(hashes[rows < 0])
-                    if (found < 0).any():
-                        raise ValueError("a unit was not encoded")
-                    starts, sizes = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-                    starts[rows >= 0], sizes[rows >= 0] = known.starts[rows[rows >= 0]], known.sizes[rows[rows >= 0]]
-                    starts[rows < 0] = len(known.flat) + rare.starts[found]
-                    sizes[rows < 0] = rare.sizes[found]
-                    tokens, edges = ragged(np.concatenate([known.flat, rare.flat]), starts, sizes)
+                found = known.find(once)
+                if (found < 0).any():
+                    tokens, edges = _with_rare(known, once, found, back, batch["_rare"].slice(first, n).flatten(), table)
                 else:
-                    tokens, edges = known.ids(rows)
-                lists = pa.ListArray.from_arrays(pa.array(edges[bounds].astype(np.int32)), pa.array(tokens.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch["_row"].slice(first, n), lists], names=["_row", "token_ids"])
+                    tokens, edges = known.ids(found[back])
+                yield rows.slice(first, n), pa.ListArray.from_arrays(pa.array(edges[bounds].astype(np.int32)), pa.array(tokens.astype(np.int32)))
+
+    return packed, look_up
 
-    return packed.mapInArrow(look_up, f"_row {row_type}, token_ids array<int>").select("_row.*", "token_ids")
+
+def _with_rare(known: _Dictionary, once: np.ndarray, found: np.ndarray, back: np.ndarray, listed: pa.Array, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of units of which some are in the texts' own lists."""
+    h, at = np.unique(listed.field("h").to_numpy().view(np.uint64), return_index=True)
+    rare = _Dictionary(h, listed.field("ids").take(pa.array(at)), table)
+    missing = found < 0
+    own = rare.find(once[missing])
+    if (own < 0).any():
+        raise ValueError("a unit was not encoded")
+    starts, sizes = np.zeros(len(once), np.int64), np.zeros(len(once), np.int64)
+    starts[~missing], sizes[~missing] = known.starts[found[~missing]], known.sizes[found[~missing]]
+    starts[missing], sizes[missing] = len(known.flat) + rare.starts[own].astype(np.int64), rare.sizes[own]
+    return ragged(np.concatenate([known.flat, rare.flat]), starts[back], sizes[back])
 
 
 def _least_count(units: DataFrame, total: int, head: int) -> int:
@@ -406,24 +423,22 @@ class Speller:
 
 def codec_digest(docs: DataFrame, model: PieceTable, id_column: str = "doc_id", text_column: str = "text", head: int = HEAD) -> DataFrame:
     """``(id, n_tokens, ids_crc32, round_trip)``; ``round_trip``: decoding gives the text again (with spaces for space marks)."""
-    encoded = encode(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), model, "text", head)
+    packed, look_up = _lookup(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), model, "text", head)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_column].dataType.simpleString()
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = Speller(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                lists = part["token_ids"]
-                texts = [(t or "").replace(MARK, " ") for t in part["text"].to_pylist()]
-                offsets = lists.offsets.to_numpy()
-                data = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-                crcs = [zlib.crc32(data[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                same = [a == b for a, b in zip(speller.texts(lists), texts)]
-                yield pa.RecordBatch.from_arrays(
-                    [part["id"], pa.array(np.diff(offsets).astype(np.int64)), pa.array(crcs, pa.int64()), pa.array(same)],
-                    names=["id", "n_tokens", "ids_crc32", "round_trip"],
-                )
-
-    return encoded.mapInArrow(digest, f"id {kind}, n_tokens long, ids_crc32 long, round_trip boolean").withColumnRenamed("id", id_column)
+        for rows, lists in look_up(batches):
+            texts = [(t or "").replace(MARK, " ") for t in rows.field("text").to_pylist()]
+            offsets = lists.offsets.to_numpy()
+            data = lists.values.to_numpy().astype("<u4")
+            crcs = [zlib.crc32(data[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            same = [a == b for a, b in zip(speller.texts(lists), texts)]
+            yield pa.RecordBatch.from_arrays(
+                [rows.field("id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crcs, pa.int64()), pa.array(same)],
+                names=["id", "n_tokens", "ids_crc32", "round_trip"],
+            )
+
+    found = packed.mapInArrow(digest, f"id {kind}, n_tokens long, ids_crc32 long, round_trip boolean")
+    return found.withColumnRenamed("id", id_column)
