@@ -49,9 +49,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with its ids, their number, and whether decoding them gives its text again."""
     known_to_workers(spark)
     model = sentencepiece_codec.load_pieces(tokenizer_file("piece_bpe_32k.model"))
-    decoded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
-    text = F.replace(F.coalesce("text", F.lit("")), F.lit(sentencepiece_codec.MARK), F.lit(" "))
-    return decoded.select("doc_id", "lang", "source", "token_ids", F.size("token_ids").alias("n_tokens"), (F.col("decoded") == text).alias("round_trip"))
+    encoded = sentencepiece_codec.encode(docs, model, verify=True)
+    return encoded.select("doc_id", "lang", "source", "token_ids", F.size("token_ids").alias("n_tokens"), "round_trip")
 
 
 STAGES: list[tuple[str, Stage]] = [

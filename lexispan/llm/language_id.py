@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexispan.llm.textbytes import letter_runs, mixed, utf8_slices
+from lexispan.llm.textbytes import SMALL_SLICE_BYTES, letter_runs, mixed, utf8_slices
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.05
@@ -79,7 +79,7 @@ def fit(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -
         counts = np.zeros((BUCKETS + len(SCRIPT_NAMES)) * width, np.int64)
         for batch in batches:
             langs = np.array([number[x] for x in batch["lang"].to_pylist()], np.int64)
-            for first, data, offsets in utf8_slices(batch["text"]):
+            for first, data, offsets in utf8_slices(batch["text"], SMALL_SLICE_BYTES):
                 runs = letter_runs(data, offsets)
                 buckets, _, at = _triples(runs)
                 text = np.searchsorted(runs["places"], at, side="right") - 1
@@ -111,7 +111,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
 
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, offsets in utf8_slices(batch["_text"]):
+            for first, data, offsets in utf8_slices(batch["_text"], SMALL_SLICE_BYTES):
                 found = label_texts(shared.value, data, offsets)
                 columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([batch["_row"].slice(first, len(found)), *columns], names=["_row", *added.names])

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexispan.llm.components import components
-from lexispan.llm.textbytes import mixed, seeded, shingle_hashes, utf8_slices, word_hashes
+from lexispan.llm.textbytes import SMALL_SLICE_BYTES, mixed, seeded, shingle_hashes, utf8_slices, word_hashes
 from lexispan.sources.workspace import materialized
 
 BANDS, ROWS = 64, 6
@@ -98,7 +98,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_column: s
 
 def text_sets(column, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """``(first row, sorted distinct shingle hashes of each text)`` of consecutive rows."""
-    for first, data, offsets in utf8_slices(column):
+    for first, data, offsets in utf8_slices(column, SMALL_SLICE_BYTES):
         shingles, bounds = shingle_hashes(*word_hashes(data, offsets), width)
         yield first, [np.unique(shingles[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 

@@ -295,16 +295,30 @@ def _with_bytes(flat: np.ndarray, offsets: np.ndarray, model: PieceTable) -> tup
     return new, bounds[offsets]
 
 
-def encode(docs: DataFrame, model: PieceTable, text_column: str = "text", head: int = HEAD) -> DataFrame:
-    """``docs`` with ``token_ids``, the ids of each text; null and empty texts have none. A column of that name is replaced."""
-    packed, look_up = _lookup(docs.drop(*[c for c in ("token_ids",) if c != text_column]), model, text_column, head)
+def encode(docs: DataFrame, model: PieceTable, text_column: str = "text", head: int = HEAD, verify: bool = False) -> DataFrame:
+    """``docs`` with ``token_ids``, the ids of each text; null and empty texts have none.
+
+    With ``verify`` the ids are decoded as well, in the same pass, and
+    ``round_trip`` says whether that gives the text again (with spaces for space
+    marks). Columns of these names are replaced.
+    """
+    added = ["token_ids", *(["round_trip"] if verify else [])]
+    packed, look_up = _lookup(docs.drop(*[c for c in added if c != text_column]), model, text_column, head)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = Speller(shared.value) if verify else None
         for rows, lists in look_up(batches):
-            yield pa.RecordBatch.from_arrays([rows, lists], names=["_row", "token_ids"])
+            checks = [pa.array(round_trips(speller, rows.field(text_column), lists))] if verify else []
+            yield pa.RecordBatch.from_arrays([rows, lists, *checks], names=["_row", *added])
 
     row_type = packed.schema["_row"].dataType.simpleString()
-    return packed.mapInArrow(encoded, f"_row {row_type}, token_ids array<int>").select("_row.*", "token_ids")
+    schema = f"_row {row_type}, token_ids array<int>" + (", round_trip boolean" if verify else "")
+    return packed.mapInArrow(encoded, schema).select("_row.*", *added)
+
+
+def round_trips(speller: Speller, texts: pa.Array, lists: pa.Array) -> list[bool]:
+    return [a == (b or "").replace(MARK, " ") for a, b in zip(speller.texts(lists), texts.to_pylist())]
 
 
 def _lookup(docs: DataFrame, model: PieceTable, text_column: str, head: int):
@@ -430,11 +444,10 @@ def codec_digest(docs: DataFrame, model: PieceTable, id_column: str = "doc_id",
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = Speller(shared.value)
         for rows, lists in look_up(batches):
-            texts = [(t or "").replace(MARK, " ") for t in rows.field("text").to_pylist()]
             offsets = lists.offsets.to_numpy()
             data = lists.values.to_numpy().astype("<u4")
             crcs = [zlib.crc32(data[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            same = [a == b for a, b in zip(speller.texts(lists), texts)]
+            same = round_trips(speller, rows.field("text"), lists)
             yield pa.RecordBatch.from_arrays(
                 [rows.field("id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crcs, pa.int64()), pa.array(same)],
                 names=["id", "n_tokens", "ids_crc32", "round_trip"],

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexispan.llm.textbytes import gram_hashes, mixed, utf8_slices
+from lexispan.llm.textbytes import SMALL_SLICE_BYTES, gram_hashes, mixed, utf8_slices
 from lexispan.operators.keys import broadcast_if_small
 from lexispan.sources.workspace import materialized
 
@@ -226,7 +226,7 @@ def find_anchors(h: np.ndarray, n: int, length: int, gram: int) -> tuple[np.ndar
 def _anchor_finder(length: int, gram: int):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, offsets in utf8_slices(batch["_text"]):
+            for first, data, offsets in utf8_slices(batch["_text"], SMALL_SLICE_BYTES):
                 if len(data) < length:
                     continue
                 grams = gram_hashes(data, gram)

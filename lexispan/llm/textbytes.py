@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+# For work that needs many arrays of a slice's size at once.
+SMALL_SLICE_BYTES = 1 << 18
 
 U64 = np.uint64
 _MIX_1, _MIX_2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
