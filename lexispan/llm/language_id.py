@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexispan.llm.textbytes import SMALL_SLICE_BYTES, letter_runs, mixed, utf8_slices
+from lexispan.llm.workers import lean
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.05
@@ -90,7 +91,7 @@ def fit(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["cell", "n"])
 
     cells = known.select(F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"))
-    sums = cells.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    sums = cells.mapInArrow(lean(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((BUCKETS + len(SCRIPT_NAMES)) * width, np.float64)
     counts[sums["cell"].to_numpy()] = sums["n"].to_numpy()
     return LanguageModel(languages, counts.reshape(-1, width)[:, : len(languages)])
@@ -117,7 +118,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
                 yield pa.RecordBatch.from_arrays([batch["_row"].slice(first, len(found)), *columns], names=["_row", *added.names])
 
     schema = T.StructType([packed.schema["_row"], *added.fields])
-    return packed.mapInArrow(label, schema).select("_row.*", *added.names)
+    return packed.mapInArrow(lean(label), schema).select("_row.*", *added.names)
 
 
 @lru_cache(maxsize=1)

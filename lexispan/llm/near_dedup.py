@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from lexispan.llm.components import components
 from lexispan.llm.textbytes import SMALL_SLICE_BYTES, mixed, seeded, shingle_hashes, utf8_slices, word_hashes
+from lexispan.llm.workers import lean
 from lexispan.sources.workspace import materialized
 
 BANDS, ROWS = 64, 6
@@ -59,7 +60,7 @@ def near_duplicates(
     plain = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
     id_type = docs.schema[id_column].dataType.simpleString()
     sketches = materialized(plain.mapInArrow(
-        _sketcher(width), f"_id {id_type}, n_shingles long, s1 long, s2 long, keys array<long>, planes array<long>"
+        lean(_sketcher(width)), f"_id {id_type}, n_shingles long, s1 long, s2 long, keys array<long>, planes array<long>"
     ))
     has_node = F.col("_id").isNotNull() & (F.col("n_shingles") > 0)
     # The smallest id of a class names it; ``var`` tells classes apart that the same id names.
@@ -221,7 +222,7 @@ def _across(tied: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -
     rows = rows.select("key", "i", "j", "streamed", "node", F.xxhash64("root").alias("root"), "planes", "keys", "order")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "streamed")
     kind = tied.schema["node"].dataType
-    pairs = rows.mapInArrow(_block_comparer(percent), T.StructType().add("a", kind).add("b", kind))
+    pairs = rows.mapInArrow(lean(_block_comparer(percent)), T.StructType().add("a", kind).add("b", kind))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -324,10 +325,10 @@ class _Candidates:
             wanted = wanted.join(self.nodes.select("node", "s1", "s2"), "node")
         texts = self.plain.join(wanted.withColumn("_id", F.col("node.rep")), "_id").drop("_id")
         if self.ids_repeat:
-            texts = texts.mapInArrow(_only_of_node(self.width), texts.schema).dropDuplicates(["node"])
+            texts = texts.mapInArrow(lean(_only_of_node(self.width)), texts.schema).dropDuplicates(["node"])
         for side in ("a", "b"):
             pairs = pairs.join(texts.select(F.col("node").alias(side), F.col("_text").alias(f"t{side}")), side)
-        return pairs.select("a", "b", "ta", "tb").mapInArrow(_linker(self.width, self.percent), pairs.select("a", "b").schema)
+        return pairs.select("a", "b", "ta", "tb").mapInArrow(lean(_linker(self.width, self.percent)), pairs.select("a", "b").schema)
 
 
 def _set_sums(s: np.ndarray) -> tuple[int, int]:

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexispan.llm.textbytes import _letters, _powers, mixed, utf8_slices
+from lexispan.llm.workers import lean
 from lexispan.sources.workspace import materialized
 
 # Units that every task holds: some 30 bytes each.
@@ -135,7 +136,7 @@ def distinct_units(texts: DataFrame, prefix: bool) -> DataFrame:
                 units = [text[a:b] for a, b in zip(begin[at].tolist(), stop[at].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(once.view(np.int64)), pa.array(n.astype(np.int64))], names=["unit", "h", "n"])
 
-    found = texts.select("_text").mapInArrow(collect, "unit string, h long, n long")
+    found = texts.select("_text").mapInArrow(lean(collect), "unit string, h long, n long")
     return found.groupBy("unit", "h").agg(F.sum("n").alias("n"))
 
 
@@ -314,7 +315,7 @@ def encode(docs: DataFrame, model: PieceTable, text_column: str = "text", head:
 
     row_type = packed.schema["_row"].dataType.simpleString()
     schema = f"_row {row_type}, token_ids array<int>" + (", round_trip boolean" if verify else "")
-    return packed.mapInArrow(encoded, schema).select("_row.*", *added)
+    return packed.mapInArrow(lean(encoded), schema).select("_row.*", *added)
 
 
 def round_trips(speller: Speller, texts: pa.Array, lists: pa.Array) -> list[bool]:
@@ -395,7 +396,7 @@ def _with_rare_units(plain: DataFrame, rare: DataFrame, prefix: bool) -> DataFra
                     [batch["_key"].take(pa.array(first + once[:, 0].astype(np.int64))), pa.array(once[:, 1].view(np.int64))], names=["_key", "h"]
                 )
 
-    found = keyed.select("_key", "_text").mapInArrow(occurrences, "_key string, h long").join(rare, "h").distinct()
+    found = keyed.select("_key", "_text").mapInArrow(lean(occurrences), "_key string, h long").join(rare, "h").distinct()
     lists = found.groupBy("_key").agg(F.collect_list(F.struct("h", "ids")).alias("_rare"))
     return keyed.join(lists, "_key", "left").drop("_key")
 
@@ -413,7 +414,7 @@ def decode(docs: DataFrame, model: PieceTable, ids_column: str = "token_ids") ->
                 part = batch.slice(at, 256)
                 yield pa.RecordBatch.from_arrays([part["_row"], pa.array(speller.texts(part["_ids"]), pa.string())], names=["_row", "decoded"])
 
-    return packed.mapInArrow(spell, f"_row {row_type}, decoded string").select("_row.*", "decoded")
+    return packed.mapInArrow(lean(spell), f"_row {row_type}, decoded string").select("_row.*", "decoded")
 
 
 class Speller:
@@ -453,5 +454,5 @@ def codec_digest(docs: DataFrame, model: PieceTable, id_column: str = "doc_id",
                 names=["id", "n_tokens", "ids_crc32", "round_trip"],
             )
 
-    found = packed.mapInArrow(digest, f"id {kind}, n_tokens long, ids_crc32 long, round_trip boolean")
+    found = packed.mapInArrow(lean(digest), f"id {kind}, n_tokens long, ids_crc32 long, round_trip boolean")
     return found.withColumnRenamed("id", id_column)

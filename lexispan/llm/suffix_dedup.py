@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexispan.llm.textbytes import SMALL_SLICE_BYTES, gram_hashes, mixed, utf8_slices
+from lexispan.llm.workers import lean
 from lexispan.operators.keys import broadcast_if_small
 from lexispan.sources.workspace import materialized
 
@@ -64,15 +65,15 @@ def repeated_spans(
         keyed.where("_sub <> 0").select(*KEY, "_text").dropDuplicates(KEY)
     ) if _has_repeated_ids(keyed) else keyed.select(*KEY, "_text")
     order = ["h", "ctx", *PLACE]
-    anchors = once.mapInArrow(_anchor_finder(length, gram), f"h long, ctx long, _id {id_type}, _sub long, pos long")
+    anchors = once.mapInArrow(lean(_anchor_finder(length, gram)), f"h long, ctx long, _id {id_type}, _sub long, pos long")
     ordered = anchors.repartitionByRange(*order).sortWithinPartitions(*order)
-    marked = materialized(ordered.mapInArrow(_mark_runs, f"_id {id_type}, _sub long, pos long, h long, mark int, ctx long, last_ctx long, part int, last boolean"))
+    marked = materialized(ordered.mapInArrow(lean(_mark_runs), f"_id {id_type}, _sub long, pos long, h long, mark int, ctx long, last_ctx long, part int, last boolean"))
     marks = marked.where(F.col("mark") != EDGE).select(*PLACE, "h", "mark").unionByName(_edges_settled(marked))
 
     several = marks.where(F.col("mark") == SEVERAL)
     wanted = several.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "h")).alias("_wanted"))
     contexts = _join(once, wanted).mapInArrow(
-        _context_cutter(length, gram), f"h long, _id {id_type}, _sub long, pos long, at int, context binary"
+        lean(_context_cutter(length, gram)), f"h long, _id {id_type}, _sub long, pos long, at int, context binary"
     )
     large = several.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > largest_group).select("h")
     large = materialized(large)
@@ -83,7 +84,7 @@ def repeated_spans(
     else:
         common = None
     grouped = contexts.repartition("h").sortWithinPartitions("h", *PLACE)
-    spans = grouped.mapInArrow(_column_sorter(length, gram), columns)
+    spans = grouped.mapInArrow(lean(_column_sorter(length, gram)), columns)
     whole = marks.where(F.col("mark") == REPEATED).select(
         *KEY, F.greatest(F.col("pos") - side, F.lit(0)).alias("start"), (F.col("pos") + length).alias("stop")
     )
@@ -149,7 +150,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             own[text_column] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(list(own.values()), names=schema.names)
 
-    return repeated_spans(docs, id_column, text_column, **options).select("_row", "_spans").mapInArrow(cut, schema)
+    return repeated_spans(docs, id_column, text_column, **options).select("_row", "_spans").mapInArrow(lean(cut), schema)
 
 
 def removal_digest(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -165,7 +166,7 @@ def removal_digest(docs: DataFrame, id_column: str = "doc_id", text_column: str
             yield pa.RecordBatch.from_arrays([batch["_id"], *counts, digests], names=schema.names)
 
     spans = repeated_spans(docs.select(id_column, text_column), id_column, text_column, **options)
-    return spans.select(F.col("_row").getField(id_column).alias("_id"), "_text", "_spans").mapInArrow(digest, schema)
+    return spans.select(F.col("_row").getField(id_column).alias("_id"), "_text", "_spans").mapInArrow(lean(digest), schema)
 
 
 # -- documents and their keys ------------------------------------------------

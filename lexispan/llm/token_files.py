@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexispan.llm.idcoder import decode_block, encode_block
+from lexispan.llm.workers import lean
 
 # Ids per block; a longer document is a block by itself.
 BLOCK_IDS = 1 << 20
@@ -148,7 +149,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id
             yield block()
 
     schema = f"part int, block int, n_ids long, ids array<{kind}>, counts array<long>, coded binary"
-    ordered.mapInArrow(write, schema).write.parquet(folder)
+    ordered.mapInArrow(lean(write), schema).write.parquet(folder)
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,7 +174,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                     names=["id", "part", "block", "place", "at", "token_ids"],
                 )
 
-    return blocks.mapInArrow(read, f"id {kind}, part int, block int, place int, at long, token_ids array<long>")
+    return blocks.mapInArrow(lean(read), f"id {kind}, part int, block int, place int, at long, token_ids array<long>")
 
 
 def with_starts(documents: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
@@ -205,5 +206,5 @@ def id_digests(spark: SparkSession, folder: str) -> DataFrame:
                 names=["id", "part", "block", "at", "n_tokens", "ids_crc32"],
             )
 
-    sums = documents.mapInArrow(digest, f"id {kind}, part int, block int, at long, n_tokens long, ids_crc32 long")
+    sums = documents.mapInArrow(lean(digest), f"id {kind}, part int, block int, at long, n_tokens long, ids_crc32 long")
     return with_starts(sums, spark, folder).select("id", "start", "n_tokens", "ids_crc32")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexispan.llm.textbytes import letter_runs, letter_word_hashes, utf8_slices
+from lexispan.llm.workers import lean
 from lexispan.operators.keys import broadcast_if_small
 
 BUCKETS = 1 << 18
@@ -101,7 +102,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> D
                 yield pa.RecordBatch.from_arrays([batch["_row"].slice(first, len(x)), *columns], names=["_row", *added.names])
 
     schema = T.StructType([packed.schema["_row"], *added.fields])
-    return packed.mapInArrow(scan, schema).select("_row.*", *added.names)
+    return packed.mapInArrow(lean(scan), schema).select("_row.*", *added.names)
 
 
 def _counts(labelled: DataFrame) -> np.ndarray:
@@ -121,7 +122,7 @@ def _counts(labelled: DataFrame) -> np.ndarray:
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["cell", "n"])
 
-    sums = labelled.select("_text", "_toxic").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    sums = labelled.select("_text", "_toxic").mapInArrow(lean(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(3 * BUCKETS)
     counts[sums["cell"].to_numpy()] = sums["n"].to_numpy()
     counts = counts.reshape(3, BUCKETS)

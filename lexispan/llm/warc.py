@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispan.llm.workers import lean
+
 # The format's version line, line end and record end, and the profile of a revisit.
 VERSION = "WARC/1.0"
 CRLF = "\r\n"
@@ -90,7 +92,7 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     its record names is an error.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("content")
-    return files.mapInArrow(_parsed, RECORD)
+    return files.mapInArrow(lean(_parsed), RECORD)
 
 
 def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
