@@ -211,6 +211,26 @@ def test_saved_searches(spark, people, monkeypatch, small):
     assert totals == {1: (7, 5), 2: (2, 2), 3: (2, 1), 4: (0, 0), 5: (1, 1), 6: (1, 1), 7: (0, 0), 8: (0, 0)}
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_saved_searches_follow_the_word_rules(spark, people, monkeypatch, small):
+    monkeypatch.setattr("lexispan.plans.saved.is_small", lambda df: small)
+    slots = {
+        "folded": [(0, "Abe"), (1, "LINCOLN")], "gap": [(0, "abe"), (2, "lincoln")], "late": [(1, "abe"), (2, "lincoln")],
+        "either": [(0, "abe"), (0, "abraham"), (1, "lincoln"), (1, "was")], "either word": [(0, "Abe"), (0, "replied")],
+        "three": [(0, "abe"), (0, "abraham"), (1, "lincoln"), (2, "replied"), (2, "body")], "null": [(0, "abe"), (1, None)],
+    }
+    saved = spark.createDataFrame([(q, *slot) for q, words in slots.items() for slot in words], "query_id string, slot int, term string")
+    totals = {r.query_id: r.occurrences for r in saved_search_counts(saved, people.postings).collect()}
+    s = people
+    expected = {
+        "folded": s.adjacent("abe", "lincoln"),
+        "either": s.adjacent(s.any_of("abe", "abraham"), s.any_of("lincoln", "was")),
+        "either word": s.any_of("abe", "replied"),
+        "three": s.adjacent(s.any_of("abe", "abraham"), "lincoln", s.any_of("replied", "body")),
+    }
+    assert totals == {q: len(spans(expected[q])) if q in expected else 0 for q in slots}
+
+
 def test_rank_is_global(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     assert {(r.v, r.rank) for r in with_rank(df, [F.col("v")]).collect()} == {(v, v + 1) for v in range(1000)}
