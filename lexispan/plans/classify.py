@@ -15,7 +15,7 @@ ACTIONS = ["new", "updated", "skipped", "deleted", "failed"]
 
 
 def classify(listing: DataFrame, manifest: DataFrame, partial: bool = False) -> DataFrame:
-    """``(doc_id, action, known, mtime, ...)`` with the old location.
+    """``(doc_id, action, known, mtime, n, usable, ...)`` with the old location; ``n`` is 1.
 
     A document is skipped only if its fingerprint is unchanged *and* its stored
     index is usable (``manifest.usable``, true if there is no such column).
@@ -47,6 +47,8 @@ def classify(listing: DataFrame, manifest: DataFrame, partial: bool = False) ->
         action.alias("action"),
         known.alias("known"),
         F.col("now_mtime").alias("mtime"),
+        F.lit(1).cast("long").alias("n"),
+        F.coalesce("usable", F.lit(True)).alias("usable"),
         *[f"old_{c}" for c in location],
     )
 
@@ -72,9 +74,22 @@ def settle_failures(plan: DataFrame, indexed: DataFrame) -> DataFrame:
     return plan.join(read, "doc_id", "left").withColumn("action", outcome).drop("_read")
 
 
+def surplus_rows(names: DataFrame) -> DataFrame:
+    """Rows of a listing that cannot be indexed, as failed: ``n`` repeats of a name, or ``n`` rows without one."""
+    unnamed = F.col("doc_id").isNull()
+    return names.where(unnamed | (F.col("copies") > 1)).select(
+        "doc_id",
+        F.lit("failed").alias("action"),
+        F.lit(False).alias("known"),
+        F.lit(None).cast("timestamp").alias("mtime"),
+        F.when(unnamed, F.col("copies")).otherwise(F.col("copies") - 1).alias("n"),
+    )
+
+
 def build_summary(actions: DataFrame) -> DataFrame:
     """One row of counts: new, updated, skipped, deleted, failed."""
-    return actions.agg(*[F.count_if(F.col("action") == a).alias(a) for a in ACTIONS])
+    n = F.coalesce("n", F.lit(1))
+    return actions.agg(*[F.coalesce(F.sum(F.when(F.col("action") == a, n)), F.lit(0)).alias(a) for a in ACTIONS])
 
 
 def log_order() -> list[Column]:

@@ -29,8 +29,8 @@ from lexispan.operators.keys import broadcast_if_small, is_small
 from lexispan.operators.lines import is_searchable, with_line_arrays
 from lexispan.operators.postings import line_postings
 from lexispan.operators.search import Searcher
-from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, names_only, settle_failures
-from lexispan.sources.corpus import FINGERPRINT, Corpus, table_corpus
+from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, names_only, settle_failures, surplus_rows
+from lexispan.sources.corpus import FINGERPRINT, Corpus, one_row_per_name, table_corpus
 
 # Parts per run; bounds what a commit lists and what the driver ever collects.
 # More parts mean less to rewrite when a document changes.
@@ -45,7 +45,18 @@ STORE = (
 )
 POSTINGS = "term string, doc_id string, line_no int, pos int, index_version int, run bigint, part int"
 COMMITS = "table string, data_run bigint, data_part int, run bigint"
-PLAN = "doc_id string, action string, known boolean, mtime timestamp, old_run bigint, old_part int"
+PLAN = "doc_id string, action string, known boolean, mtime timestamp, n bigint, usable boolean, old_run bigint, old_part int"
+
+# What Spark and Parquet say of files that are missing or corrupt, and of those that may not be read.
+DAMAGE = (
+    "PATH_NOT_FOUND",
+    "FILE_NOT_EXIST",
+    "FileNotFoundException",
+    "CANNOT_READ_FILE_FOOTER",
+    "is not a Parquet file",
+    "ParquetDecodingException",
+)
+DENIED = ("AccessControlException", "AccessDeniedException", "Permission denied")
 
 Part = tuple[int, int]  # run, part
 TABLES = ("document", "line", "postings")
@@ -73,12 +84,12 @@ class TextIndex:
     @property
     def lines(self) -> DataFrame:
         """``(doc_id, line_no, line, searchable)``"""
-        return self._current("line").select("doc_id", "line_no", "line", "searchable")
+        return self._lines(self._committed()[1])
 
     @property
     def postings(self) -> DataFrame:
         """``(term, doc_id, line_no, pos)``: the merged index of all documents."""
-        return self._current("postings").select("term", "doc_id", "line_no", "pos")
+        return self._postings(self._committed()[1])
 
     @property
     def manifest(self) -> DataFrame:
@@ -86,15 +97,23 @@ class TextIndex:
         return self._read("document", self._committed()[1]["document"]).select("doc_id", *FINGERPRINT, "index_version")
 
     def searcher(self) -> Searcher:
-        return Searcher(self.lines, self.postings, self.fold_mode)
+        """Search over the index as of the last commit; lines and postings are of the same."""
+        _, live = self._committed()
+        return Searcher(self._lines(live), self._postings(live), self.fold_mode)
 
     def actions(self, run: int | None = None) -> DataFrame:
         """The action log ``(doc_id, action, ...)`` of a run, by default the last."""
         run = self._committed()[0] if run is None else run
         return self.spark.read.schema(PLAN).parquet(f"{self.root}/actions/run={run}")
 
-    def _current(self, table: str) -> DataFrame:
-        rows = self._read(table, self._committed()[1][table])
+    def _lines(self, live: dict[str, list[Part]]) -> DataFrame:
+        return self._served("line", live["line"]).select("doc_id", "line_no", "line", "searchable")
+
+    def _postings(self, live: dict[str, list[Part]]) -> DataFrame:
+        return self._served("postings", live["postings"]).select("term", "doc_id", "line_no", "pos")
+
+    def _served(self, table: str, parts: Iterable[Part]) -> DataFrame:
+        rows = self._read(table, parts)
         return rows.where((F.col("index_version") == INDEX_VERSION) & F.col("doc_id").isNotNull())
 
     def _committed(self) -> tuple[int, dict[str, list[Part]]]:
@@ -122,6 +141,16 @@ class TextIndex:
             return self.spark.createDataFrame([], schema).where(F.lit(False))
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{folder}").parquet(*paths)
 
+    def _damaged(self, table: str, parts: Iterable[Part]) -> set[Part]:
+        """Parts with missing or corrupt files: none by one job, else by halving where it fails."""
+        parts = sorted(parts)
+        if _is_readable(lambda: self._read(table, parts)):
+            return set()
+        if len(parts) == 1:
+            return set(parts)
+        half = len(parts) // 2
+        return self._damaged(table, parts[:half]) | self._damaged(table, parts[half:])
+
     def _read_run(self, table: str, run: int) -> DataFrame:
         """What run ``run`` has written so far, committed or not."""
         folder, schema = ("postings", POSTINGS) if table == "postings" else ("store", STORE)
@@ -139,20 +168,28 @@ class TextIndex:
         """
         last, live = self._committed()
         run = last + 1
-        manifest = self._read("document", live["document"])
+        listing = corpus.listing if live["document"] else names_only(corpus.listing)
+        # Grouping by name leaves the rows where the comparison with the manifest needs them.
+        names = self._materialize(one_row_per_name(listing), f"names/run={run}")
+        named = names.where(F.col("doc_id").isNotNull()).drop("copies")
+        unusable: set[Part] = set()
         if partial:
             # A few changes need no shuffle of the whole manifest.
-            listed = corpus.listing.select("doc_id")
-            manifest = manifest.join(broadcast_if_small(listed), "doc_id", "left_semi")
+            manifest = self._read("document", live["document"])
+            manifest = manifest.join(broadcast_if_small(named.select("doc_id")), "doc_id", "left_semi")
         else:
-            usable = _is_readable(lambda: self._read("line", live["line"]))
-            manifest = manifest.withColumn("usable", F.lit(usable))
-            if not usable:
-                live = {table: [] for table in TABLES}
-            elif not _is_readable(lambda: self._read("postings", live["postings"])):
-                self.rebuild_postings()
-        listing = corpus.listing if live["document"] else names_only(corpus.listing)
-        plan = self._materialize(classify(listing, manifest, partial), f"plan/run={run}")
+            unknown = self._damaged("document", live["document"])
+            known = [part for part in live["document"] if part not in unknown]
+            unusable = unknown | self._damaged("line", live["line"])
+            # Nothing of a damaged part stays: its documents are read again, or have failed.
+            live = {table: [part for part in parts if part not in unusable] for table, parts in live.items()}
+            at = F.concat_ws(":", "run", "part")
+            usable = ~at.isin([f"{r}:{p}" for r, p in unusable]) if unusable else F.lit(True)
+            manifest = self._read("document", known).withColumn("usable", usable)
+            damaged = self._damaged("postings", live["postings"])
+            if damaged:
+                self.rebuild_postings(damaged)
+        plan = self._materialize(classify(named, manifest, partial), f"plan/run={run}")
         attempted = F.col("action").isin("new", "updated")
         todo = plan.agg(
             F.count_if(attempted).alias("attempted"),
@@ -169,18 +206,23 @@ class TextIndex:
                 documents = documents.where(F.col("mtime").between(*limits))
             if todo.skipped:
                 documents = _without_skipped(documents, plan, attempted)
+            repeated = names.where((F.col("copies") > 1) & F.col("doc_id").isNotNull()).select("doc_id")
+            if not repeated.isEmpty():
+                documents = _without_repeats(documents, repeated)
             self._index_documents(documents, run)
             indexed = self._read_run("document", run).select("doc_id")
-        actions = self._materialize(settle_failures(plan, indexed), f"actions/run={run}")
+        settled = settle_failures(plan, indexed).unionByName(surplus_rows(names), allowMissingColumns=True)
+        actions = self._materialize(settled, f"actions/run={run}")
 
-        replaced = actions.where(F.col("action").isin("updated", "deleted"))
+        replaced = actions.where(F.col("action").isin("updated", "deleted") & F.col("usable"))
         # At most as many rows as there are live parts.
         rewritten = replaced.select(F.col("old_run").alias("data_run"), F.col("old_part").alias("data_part")).distinct()
         affected = {tuple(row) for row in rewritten.collect()}
         self._keep_others(live, affected, replaced.select("doc_id"), run, append=bool(todo.attempted))
         keep = self._commit_rows(last if live["document"] else 0)
-        if affected:
-            keep = keep.join(F.broadcast(rewritten), ["data_run", "data_part"], "left_anti")
+        if affected or unusable:
+            gone = self.spark.createDataFrame(sorted(affected | unusable), "data_run bigint, data_part int")
+            keep = keep.join(broadcast_if_small(gone), ["data_run", "data_part"], "left_anti")
         self._commit(run, keep, wrote=bool(todo.attempted or affected))
         return build_summary(actions)
 
@@ -188,9 +230,14 @@ class TextIndex:
         """Upsert and delete by change rows ``(doc_id, text [, deleted])``, one row per document."""
         return self.sync(table_corpus(changes), partial=True)
 
-    def rebuild_postings(self) -> None:
-        """Write all postings again, from the stored lines."""
-        rows = self._postings_of(self._current("line"), "run", "part")
+    def rebuild_postings(self, parts: Iterable[Part] | None = None) -> None:
+        """Write the postings of ``parts`` again, by default of all, from the stored lines.
+
+        Other parts are not touched, so their readers see no change.
+        """
+        live = self._committed()[1]["line"]
+        lines = self._served("line", live if parts is None else set(parts).intersection(live))
+        rows = self._postings_of(lines, "run", "part")
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         with _files_at_once(self.spark):
             writer.partitionBy("run", "part").parquet(f"{self.root}/postings")
@@ -329,10 +376,25 @@ def _files_at_once(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def _without_repeats(documents: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One row per name; only the text of repeated names is moved, if they are few."""
+    names = broadcast_if_small(repeated)
+    once = documents.join(names, "doc_id", "left_anti")
+    chosen = one_row_per_name(documents.join(names, "doc_id", "left_semi")).drop("copies")
+    return once.unionByName(chosen)
+
+
 def _is_readable(open_table: Callable[[], DataFrame]) -> bool:
-    """Are all files there and intact? Counting rows reads file footers only."""
+    """Are all files there and intact? Counting rows reads file footers only.
+
+    Any error but that of missing or corrupt files is raised: a lost executor
+    or a denied read is no damage.
+    """
     try:
         open_table().agg(F.count(F.lit(1))).first()
-    except (PySparkException, Py4JJavaError):
+    except (PySparkException, Py4JJavaError) as error:
+        message = str(error)
+        if any(sign in message for sign in DENIED) or not any(sign in message for sign in DAMAGE):
+            raise
         return False
     return True

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 FINGERPRINT = ["mtime", "size", "content_hash"]
 
+# Spark's limit for a file read as one value.
+MAX_FILE_BYTES = 2**31 - 1
+
 
 @dataclass(frozen=True)
 class Corpus:
@@ -38,10 +41,10 @@ def table_corpus(docs: DataFrame, verify_content: bool = True) -> Corpus:
     The fingerprint is the size and a hash of the content, plus ``mtime`` if the
     table has one; with ``verify_content=False`` it is ``mtime`` alone, so that a
     comparison reads no text. Rows of a change table may be flagged ``deleted``.
+    Rows without ``doc_id`` are listed, and so count as failed, but not read.
     """
     if not verify_content and "mtime" not in docs.columns:
         raise ValueError("without content to compare, the table needs an mtime column")
-    docs = docs.where(F.col("doc_id").isNotNull())
     is_binary = "content" in docs.columns
     raw = F.col("content" if is_binary else "text")
     mtime = F.col("mtime") if "mtime" in docs.columns else F.lit(None)
@@ -56,7 +59,7 @@ def table_corpus(docs: DataFrame, verify_content: bool = True) -> Corpus:
     )
     unread = [F.lit(None).cast("long").alias(c) for c in ("size", "content_hash")]
     compared = FINGERPRINT if verify_content else ["mtime", *unread]
-    present = documents.where(~F.col("deleted")).drop("deleted")
+    present = documents.where(~F.col("deleted") & F.col("doc_id").isNotNull()).drop("deleted")
     return Corpus(documents.select("doc_id", *compared, "deleted"), present)
 
 
@@ -65,21 +68,40 @@ def text_tree(spark: SparkSession, root: str, verify_content: bool = False) -> C
 
     The listing reads no content unless ``verify_content`` asks for hashes;
     modification times have the file system's precision as Spark reports it
-    (milliseconds).
+    (milliseconds). A file too large for one value is listed but not read, and
+    so counts as failed.
     """
     files = _text_files(spark.read).load(root)
+    # Pushed into the scan, which otherwise fails at the first file beyond the limit.
+    fits = F.col("length") <= int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(MAX_FILE_BYTES)))
     stat = [
         relative_name(F.col("path"), root).alias("doc_id"),
         F.col("modificationTime").alias("mtime"),
         F.col("length").alias("size"),
     ]
     content_hash = F.xxhash64("content").alias("content_hash")
-    documents = files.select(*stat, valid_text(F.col("content"), True).alias("text"), content_hash)
+    documents = files.where(fits).select(*stat, valid_text(F.col("content"), True).alias("text"), content_hash)
     unread = F.lit(None).cast("long").alias("content_hash")
-    listing = files.select(*stat, content_hash if verify_content else unread)
+    if verify_content:
+        listing = files.where(fits).select(*stat, content_hash).unionByName(files.where(~fits).select(*stat, unread))
+    else:
+        listing = files.select(*stat, unread)
     return Corpus(listing, documents.select("doc_id", "text", *FINGERPRINT), pruned_by_mtime=True)
 
 
+def one_row_per_name(rows: DataFrame) -> DataFrame:
+    """Per ``doc_id`` the row of largest fingerprint, and ``copies``, the rows there were.
+
+    A row that is ``deleted`` gives way to one that is not. Rows without
+    ``doc_id`` are one group, of which only the count is of use.
+    """
+    rest = [c for c in rows.columns if c != "doc_id"]
+    present = [~F.col("deleted")] if "deleted" in rest else []
+    latest = F.max_by(F.struct(*rest), F.struct(*present, *FINGERPRINT)).alias("_row")
+    grouped = rows.groupBy("doc_id").agg(latest, F.count("*").alias("copies"))
+    return grouped.select("doc_id", *[F.col(f"_row.{c}").alias(c) for c in rest], "copies")
+
+
 def text_tree_stream(spark: SparkSession, root: str) -> DataFrame:
     """Files as they appear below ``root``: change rows ``(doc_id, content, mtime)`` for an index stream.
 

@@ -4,11 +4,13 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lexispan import TextIndex, index_stream, table_corpus, text_tree, text_tree_stream
 from lexispan.operators import counts
 from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, log_order, names_only
+from lexispan.plans.index import _is_readable
 from lexispan.sources.naming import unique_names
 from lexispan.sources.workspace import materialized, shared_folder
 from test_search import PEOPLE, lines, spans
@@ -327,3 +329,62 @@ def test_repeated_words_of_a_hot_document(spark, index):
     assert counts.occurrence_count(s.adjacent("red", "red")).first()[0] == 2000 + 2999
     assert counts.occurrence_count(s.adjacent("red", s.any_of("blue", s.adjacent("red", "blue")))).first()[0] == 4001
     assert counts.line_count(s.adjacent("red", s.none_of("blue"))).first()[0] == 1
+
+
+def damage(index, doc_id):
+    """Spoil the file with the lines of ``doc_id``, and of it alone."""
+    live = [f"store/run={run}/kind=line/part={part}/*.parquet" for run, part in index._committed()[1]["line"]]
+    for file in (file for pattern in live for file in Path(index.root).glob(pattern)):
+        if {r.doc_id for r in index.spark.read.parquet(str(file)).collect()} == {doc_id}:
+            file.write_bytes(b"nonsense")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+            return
+    raise AssertionError("no such file")
+
+
+def test_damage_of_one_part_leaves_the_others(spark, index):
+    for i, name in enumerate("abc"):
+        index.sync(corpus_of(spark, {n: f"red {n}" for n in "abc"[: i + 1]}))
+    damage(index, "c")
+    assert summary(index.sync(corpus_of(spark, {"a": "red a", "b": b"\xff", "c": "red c"}))) == {"updated": 1, "skipped": 1, "failed": 1}
+    assert texts(index) == {n: [f"red {n}"] for n in "abc"}
+    assert {p[1] for p in postings(index)} == set("abc")
+    assert {r.doc_id for r in index.manifest.collect()} == set("abc")
+    # What can neither be kept nor read again is not said to be there.
+    damage(index, "c")
+    assert summary(index.sync(corpus_of(spark, {"a": "red a", "b": "red b", "c": b"\xff"}))) == {"skipped": 2, "failed": 1}
+    assert set(texts(index)) == {r.doc_id for r in index.manifest.collect()} == {p[1] for p in postings(index)} == {"a", "b"}
+    assert summary(index.sync(corpus_of(spark, {n: f"red {n}" for n in "abc"}))) == {"new": 1, "skipped": 2}
+    assert texts(index) == {n: [f"red {n}"] for n in "abc"}
+
+
+def test_other_errors_are_no_damage(spark, index):
+    def refuse():
+        raise PySparkException("Job aborted: executor lost")
+
+    with pytest.raises(PySparkException):
+        _is_readable(refuse)
+
+
+def test_repeated_and_missing_names_are_counted(spark, index):
+    rows = [("a", "red blue"), ("a", "red blue"), ("a", "red"), ("b", "red"), (None, "gone"), (None, "lost")]
+    corpus = table_corpus(spark.createDataFrame(rows, "doc_id string, text string").repartition(3))
+    assert summary(index.sync(corpus)) == {"new": 2, "failed": 4}
+    assert len(index.manifest.collect()) == 2 and len(texts(index)["a"]) == 1
+    before = postings(index)
+    assert summary(index.sync(corpus)) == {"skipped": 2, "failed": 4}
+    assert summary(index.apply_changes(spark.createDataFrame(rows, "doc_id string, text string"))) == {"skipped": 2, "failed": 4}
+    assert postings(index) == before
+
+
+@pytest.mark.parametrize("verify", [False, True])
+def test_an_oversize_file_fails_alone(spark, tree, index, verify):
+    name = "spark.sql.sources.binaryFile.maxLength"
+    largest = max(len(text.encode()) for text in PEOPLE.values())
+    (tree / "huge.txt").write_text("x" * (largest + 1), encoding="utf-8")
+    spark.conf.set(name, largest)
+    try:
+        assert summary(index.sync(text_tree(spark, str(tree), verify_content=verify))) == {"new": 3, "failed": 1}
+    finally:
+        spark.conf.unset(name)
+    assert set(texts(index)) == set(PEOPLE)
