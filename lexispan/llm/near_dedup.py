@@ -5,10 +5,10 @@
 * Every class has ``BANDS * ROWS`` minima. A band's minima together are a
   bucket key; a pair at similarity 0.8 misses all buckets with probability
   (1 - 0.8**6)**64 < 4e-9.
-* Of every minimum two low bits are kept, packed into two bit planes. Two
-  sets agree in a kept pair with probability J + (1 - J) / 4, so the number
-  of equal pairs estimates J; an estimate more than six standard deviations
-  under the threshold ends a candidate pair.
+* Of every minimum, mixed once more, two low bits are kept, packed into two bit
+  planes. Two sets agree in a kept pair with probability J + (1 - J) / 4, so the
+  number of equal pairs estimates J; an estimate more than six standard
+  deviations under the threshold ends a candidate pair.
 * What is left is confirmed on the full sets of both texts.
 
 No bucket is expanded into its pairs. First each member is compared with its
@@ -113,6 +113,21 @@ def minima(shingles: np.ndarray, flips: np.ndarray, factors: np.ndarray) -> np.n
     return least
 
 
+def bit_planes(least: np.ndarray) -> np.ndarray:
+    """The low bits of all minima of each row, ``PLANES`` times ``WORDS`` numbers.
+
+    A minimum's own lowest bit is that of its shingle, but for a constant: two
+    shingles would agree in it under all hash functions or under none. Mixed,
+    different minima agree by chance, in each function anew.
+    """
+    planes = np.empty((len(least), PLANES, MINIMA // 8), np.uint8)
+    for at in range(0, len(least), 256):
+        bits = mixed(least[at : at + 256].astype(np.uint64))
+        for p in range(PLANES):
+            planes[at : at + 256, p] = np.packbits((bits >> np.uint64(p)) & np.uint64(1) == 1, axis=1)
+    return planes.reshape(len(least), PLANES * MINIMA // 8).view(np.int64)
+
+
 def _sketcher(width: int):
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flips = (seeded(MINIMA, 3) >> np.uint64(32)).astype(np.uint32)
@@ -132,11 +147,11 @@ def _sketcher(width: int):
                 keys = np.broadcast_to(band_seeds, (n, BANDS)).copy()
                 for row in range(ROWS):
                     keys = mixed(keys ^ least[:, row::ROWS].astype(np.uint64)) + band_seeds
-                planes = [np.packbits((least >> np.uint32(p)) & np.uint32(1) == 1, axis=1).view(np.int64) for p in range(PLANES)]
+                planes = bit_planes(least)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["_id"].slice(first, n), pa.array(sizes), *(pa.array(mixed(s).view(np.int64)) for s in sums),
-                        _lists(keys.view(np.int64)), _lists(np.concatenate(planes, axis=1)),
+                        _lists(keys.view(np.int64)), _lists(planes),
                     ],
                     names=["_id", "n_shingles", "s1", "s2", "keys", "planes"],
                 )
@@ -257,8 +272,10 @@ def _block_comparer(percent: int):
 def _sketch_rows(part: pa.RecordBatch) -> dict:
     n = part.num_rows
     order = part["order"]
+    # Unsigned: of a negative number numpy counts the bits of its absolute value.
+    planes = part["planes"].flatten().to_numpy().view(np.uint64).reshape(n, PLANES * WORDS)
     return {
-        "node": part["node"], "root": part["root"].to_numpy(), "planes": part["planes"].flatten().to_numpy().reshape(n, PLANES * WORDS),
+        "node": part["node"], "root": part["root"].to_numpy(), "planes": planes,
         "keys": part["keys"].flatten().to_numpy().reshape(n, BANDS), "order": order.fill_null(0).to_numpy(),
         "is_held": order.is_valid().to_numpy(zero_copy_only=False),
     }

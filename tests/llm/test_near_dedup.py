@@ -87,6 +87,44 @@ def test_links_that_no_centre_shows(spark, monkeypatch, held, streamed):
     assert found == brute(rows, 4)
 
 
+def test_pairs_of_four_and_five_shingles(spark):
+    """The last numbers make shingles whose extra one differs in its low bits from all others."""
+    unlike = [2159, 6663, 9121, 9303, 9545, 10607, 12724, 13310, 15159, 15856, 17672, 18056, 20729, 20791, 23358, 24696, 26245, 29650]
+    rows = []
+    for i in [*range(2000), *unlike]:
+        words = [f"{c}{i}" for c in "abcdefgh"]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-1]))]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert len(found) == len(rows)
+    assert [r.doc_id for r in found if r.component_id != r.doc_id // 2 * 2] == []
+
+
+def test_bits_of_sketches_are_counted_as_unsigned():
+    """Blocks compare all bits of a sketch, the sign bit of a word included."""
+    words = [[f"{i}x{k}" for k in range(27)] for i in range(200)]
+    sides = []
+    for cut in (0, 2):
+        texts = [" ".join(w[cut:]) for w in words]
+        sketched = pa.Table.from_batches(near_dedup._sketcher(1)([pa.RecordBatch.from_pydict({"_id": list(range(200)), "_text": texts})]))
+        planes = sketched["planes"].to_pylist()
+        keys = [[7, *range(1000 * (200 * cut + i), 1000 * (200 * cut + i) + near_dedup.BANDS - 1)] for i in range(200)]
+        sides.append((planes, pa.RecordBatch.from_pydict({
+            "node": list(range(200)), "root": [cut * 1000 + i for i in range(200)], "planes": planes, "keys": keys,
+            "order": pa.array([None] * 200, pa.int64()) if cut else pa.array(range(200), pa.int64()),
+        })))
+    (a, own), (b, other) = sides
+    most, size = near_dedup.most_different(80), near_dedup.WORDS
+
+    def differing(x, y):
+        odd = [u ^ v for u, v in zip(x, y)]
+        return sum(((odd[w] | odd[w + size]) % 2**64).bit_count() for w in range(size))
+
+    expected = {(i, j) for i in range(200) for j in range(200) if differing(a[i], b[j]) <= most}
+    assert {(i, i) for i in range(200)} <= expected
+    x, y = near_dedup._alike(near_dedup._sketch_rows(own), near_dedup._sketch_rows(other), 7, most)
+    assert set(zip(x.tolist(), y.tolist())) == expected
+
+
 def test_a_large_group_of_copies(spark):
     words = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(words[:100] + [f"n{i}"] + words[100:])) for i in range(400)] + [(1000 + i, " ".join(words)) for i in range(300)]
