@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispan.sources.workspace import shared_folder
+
 FINGERPRINT = ["mtime", "size", "content_hash"]
 
 # Spark's limit for a file read as one value.
@@ -70,8 +73,17 @@ def text_tree(spark: SparkSession, root: str, verify_content: bool = False) -> C
     modification times have the file system's precision as Spark reports it
     (milliseconds). A file too large for one value is listed but not read, and
     so counts as failed.
+
+    Names that begin with ``_`` or ``.``, which Spark's listing leaves out, are
+    found through the Hadoop file system: such folders are given to the reader
+    one by one, such files are copied to the shared folder and read from there.
     """
-    files = _text_files(spark.read).load(root)
+    hidden = _hidden(spark, root)
+    folders = [_literal(path) for path, status in hidden if status.isDirectory()]
+    files = _text_files(spark.read).load([root, *folders])
+    refused = [(p, s) for p, s in hidden if s.isFile() and p.lower().endswith(".txt")]
+    if refused:
+        files = files.unionByName(_copied(spark, refused))
     # Pushed into the scan, which otherwise fails at the first file beyond the limit.
     fits = F.col("length") <= int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(MAX_FILE_BYTES)))
     stat = [
@@ -119,6 +131,47 @@ def _text_files(reader):
     return reader.format("binaryFile").options(**options)
 
 
+def _hidden(spark: SparkSession, root: str) -> list[tuple[str, object]]:
+    """``(path, status)`` of what Spark's listing leaves out below ``root`` because of its own name, in any depth."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    left_out = jvm.org.apache.spark.util.HadoopFSUtils.shouldFilterOutPathName
+    level, found = _literal(root.rstrip("/")), []
+    # Level by level, so that only what may be hidden passes from the JVM.
+    while len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{level}/*")) or []):
+        for pattern in ("[._]*", "*._COPYING_"):
+            for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{level}/{pattern}")) or []:
+                if left_out(status.getPath().getName()):
+                    found.append((status.getPath().toString(), status))
+        level += "/*"
+    return list(dict(found).items())
+
+
+def _literal(path: str) -> str:
+    """A pattern for this path alone."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def _copied(spark: SparkSession, refused: list[tuple[str, object]]) -> DataFrame:
+    """The files with their own path and time, read from copies under names that Spark takes."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lexispan/{spark.sparkContext.applicationId}/copies/{uuid.uuid4().hex}")
+    target = folder.getFileSystem(conf)
+    target.mkdirs(folder)
+    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(MAX_FILE_BYTES)))
+    rows = []
+    for n, (path, status) in enumerate(refused):
+        rows.append((f"{n}.txt", path, status.getModificationTime(), status.getLen()))
+        if 0 < status.getLen() <= limit:
+            copy = jvm.org.apache.hadoop.fs.Path(folder, f"{n}.txt")
+            jvm.org.apache.hadoop.fs.FileUtil.copy(status.getPath().getFileSystem(conf), status.getPath(), target, copy, False, conf)
+    names = spark.createDataFrame(rows, "copy string, path string, millis long, length long")
+    copies = _text_files(spark.read).load(folder.toString()).select(F.substring_index("path", "/", -1).alias("copy"), "content")
+    content = F.coalesce("content", F.when(F.col("length") == 0, F.lit(b""))).alias("content")
+    return names.join(copies, "copy", "left").select("path", F.timestamp_millis("millis").alias("modificationTime"), "length", content)
+
+
 def relative_name(path: Column, root: str) -> Column:
     """Path below ``root`` with forward slashes; scheme and authority are ignored."""
     uri_prefix = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"

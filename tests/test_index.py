@@ -82,6 +82,23 @@ def test_tree_names_and_suffixes(spark, tree):
     assert {r.doc_id for r in text_tree(spark, "file:" + str(tree)).documents.collect()} == {*PEOPLE, "sub dir/Ünï code.TXT"}
 
 
+@pytest.mark.parametrize("verify", [False, True])
+def test_names_that_spark_leaves_out(spark, tree, index, verify):
+    names = ["_b.txt", ".c.TXT", "_x/d.txt", "_x/.y/e.txt", "sub dir/_f.txt", "_k=v/g.txt", "_metadata/h.txt", ".hid/deep/_i.txt", "_p[1]/j.txt"]
+    for name in names:
+        (tree / name).parent.mkdir(parents=True, exist_ok=True)
+        (tree / name).write_text(f"Lincoln {name}", encoding="utf-8")
+    (tree / "_not.text").write_text("x", encoding="utf-8")
+    (tree / "_bad.txt").write_bytes(b"\xff")
+    corpus = lambda: text_tree(spark, str(tree), verify_content=verify)
+    assert sorted(r.doc_id for r in corpus().listing.collect()) == sorted([*PEOPLE, *names, "_bad.txt"])
+    assert summary(index.sync(corpus())) == {"new": 3 + len(names), "failed": 1}
+    assert {k: v for k, v in texts(index).items() if k in names} == {name: [f"Lincoln {name}"] for name in names}
+    (tree / "_b.txt").write_text("edited text", encoding="utf-8")
+    assert summary(index.sync(corpus())) == {"updated": 1, "skipped": 2 + len(names), "failed": 1}
+    assert texts(index)["_b.txt"] == ["edited text"]
+
+
 def test_listing_reads_no_content(spark, tree):
     plan = text_tree(spark, str(tree)).listing._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
