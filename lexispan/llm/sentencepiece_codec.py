@@ -10,8 +10,9 @@
    merge ranks, and the best path by their sum is not what the model means; the
    fold then goes through the edges by rank and joins the two symbols that an
    edge spans, if it spans just two: the model's merges in their order.
-4. Texts look their units up. Units up to ``HEAD``, by frequency, are held by
-   every task as sorted hashes and ids; texts with rarer ones get theirs by a join.
+4. Texts look their units up. Units up to ``HEAD`` and ``HEAD_IDS``, by frequency,
+   are held by every task as sorted hashes and ids; texts with rarer ones get
+   theirs by a join.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ from lexispan.llm.textbytes import _letters, _powers, mixed, utf8_slices
 from lexispan.llm.workers import lean
 from lexispan.sources.workspace import materialized
 
-# Units that every task holds: some 30 bytes each.
+# Units that every task holds, some 20 bytes each without their ids, and the ids of all of them, four bytes each.
 HEAD = 4_000_000
+HEAD_IDS = 16_000_000
 
 UNITS_PER_TASK = 20_000
 
@@ -331,8 +333,8 @@ def _lookup(docs: DataFrame, model: PieceTable, text_column: str, head: int):
     if distinct.groupBy("h").agg(F.count("*").alias("units")).where("units > 1").limit(1).count():
         raise ValueError("two units have the same hash")
     units = materialized(encoded_units(distinct, model))
-    total = units.count()
-    least = _least_count(units, total, head)
+    total, ids = units.agg(F.count("*"), F.sum(F.size("ids"))).first()
+    least = _least_count(units, head) if total > head or total and ids > HEAD_IDS else 1
     common = units.where(F.col("n") >= least).select("h", "ids").toArrow().combine_chunks()
     lists = common["ids"].combine_chunks() if total else pa.array([], pa.list_(pa.int32()))
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
@@ -372,14 +374,13 @@ def _with_rare(known: _Dictionary, once: np.ndarray, found: np.ndarray, back: np
     return ragged(np.concatenate([known.flat, rare.flat]), starts[back], sizes[back])
 
 
-def _least_count(units: DataFrame, total: int, head: int) -> int:
-    """Units that occur at least so often are at most ``head``."""
-    if total <= head:
-        return 1
-    by_count = units.groupBy("n").agg(F.count("*").alias("units"))
+def _least_count(units: DataFrame, head: int) -> int:
+    """Units that occur at least so often are at most ``head``, with at most ``HEAD_IDS`` ids."""
+    by_count = units.groupBy("n").agg(F.count("*").alias("units"), F.sum(F.size("ids")).alias("ids"))
     # One row per number of occurrences.
-    upto = F.sum("units").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    fits = by_count.select("n", upto.alias("upto")).where(F.col("upto") <= head)
+    down = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = by_count.select("n", F.sum("units").over(down).alias("units"), F.sum("ids").over(down).alias("ids"))
+    fits = upto.where((F.col("units") <= head) & (F.col("ids") <= HEAD_IDS))
     return fits.agg(F.min("n")).first()[0] or by_count.agg(F.max("n")).first()[0] + 1
 
 

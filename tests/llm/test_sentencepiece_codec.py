@@ -33,6 +33,21 @@ def test_ids_are_those_of_the_library(spark, model):
         assert [found[i] for i in range(len(texts))] == [library.encode(t) for t in texts]
 
 
+def test_what_tasks_hold_is_bounded_by_ids_too(spark, model, monkeypatch):
+    """Few but long units: the rarer ones take the join, with the same ids."""
+    monkeypatch.setattr(S, "HEAD_IDS", 50, raising=False)
+    joined = []
+    monkeypatch.setattr(S, "_with_rare_units", lambda *args, join=S._with_rare_units: joined.append(args[1].count()) or join(*args))
+    texts = ["the the the cat", "日本語テキスト" * 40, "x" * 500 + " the"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    found = {r.doc_id: r.token_ids for r in S.encode(docs, model).collect()}
+    assert [found[i] for i in range(len(texts))] == [library.encode(t) for t in texts]
+    assert len(joined) == 1 and joined[0] >= 2
+    units = spark.createDataFrame([(1, 9, [1] * 5), (2, 7, [1] * 45), (3, 7, [1]), (4, 2, [1])], "h long, n long, ids array<int>")
+    assert S._least_count(units, 10) == 9
+
+
 def test_decoding_gives_the_texts_again(spark, model):
     docs = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, decoded string")
     encoded = S.encode(docs, model, "decoded").withColumnRenamed("decoded", "given")
