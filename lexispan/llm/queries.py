@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispan.llm import fingerprints, language_id, mixing, near_dedup, sentencepiece_codec, suffix_dedup, token_files, topk_search, toxicity, warc
+from lexispan.llm import (
+    chunked_bpe, fingerprints, language_id, mixing, near_dedup, period_runs, sentencepiece_codec, suffix_dedup, token_files, topk_search, toxicity, warc,
+)
 from lexispan.llm.workers import known_to_workers
 from lexispan.sources.workspace import shared_folder
 
@@ -98,6 +100,16 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.codec_digest(table(spark, sf_dir, "documents"), model)
 
 
+def op11_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunked_bpe.codec_digest(docs, tokenizer_file("byte_bpe_50k.json"))
+
+
+def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return period_runs.run_digests(period_runs.with_planted_period(docs))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -109,6 +121,8 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_files": op9_token_files,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_chunked_bpe": op11_chunked_bpe,
+    "op13_period_runs": op13_period_runs,
 }
 
 LLM_ORACLES: dict[str, str] = {
