@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispan.llm import (
-    chunked_bpe, fingerprints, language_id, mixing, near_dedup, period_runs, sentencepiece_codec, suffix_dedup, token_files, topk_search, toxicity, warc,
+    chunked_bpe, fingerprints, language_id, mixing, near_dedup, period_runs, prefix_trie, sentencepiece_codec, suffix_dedup,
+    token_files, topk_search, toxicity, warc,
 )
 from lexispan.llm.workers import known_to_workers
 from lexispan.sources.workspace import shared_folder
@@ -105,6 +106,11 @@ def op11_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.codec_digest(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.sharing_first_turns(turns))
+
+
 def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return period_runs.run_digests(period_runs.with_planted_period(docs))
@@ -122,10 +128,12 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_token_files": op9_token_files,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_chunked_bpe": op11_chunked_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_period_runs": op13_period_runs,
 }
 
 LLM_ORACLES: dict[str, str] = {
     "op1_mixing": mixing.oracle(),
     "op7_warc": warc.oracle(),
+    "op12_prefix_trie": prefix_trie.oracle(),
 }
