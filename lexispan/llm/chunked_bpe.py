@@ -7,7 +7,8 @@
    stretches between shared chunks are encoded there; a shared chunk goes, once
    per task, to where all its copies meet and is encoded once. Which chunks may
    be shared is told by a bit map of bounded size: a chosen one that is not
-   shared only takes the longer way.
+   shared only takes the longer way. Texts are cut again in each pass, which is
+   cheaper than writing down what was cut.
 3. The ids of a text's pieces come together again, by a digest of the text, so
    copies of a text are put together once. At each join the ids may be wrong:
    the tokenizer's pattern, or a merge, can reach across. The text around a join
@@ -23,7 +24,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
+from functools import cached_property, lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -32,6 +35,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexispan.llm.bitmaps import bit_map, may_hold
 from lexispan.llm.textbytes import gram_hashes, utf8_slices
 from lexispan.llm.workers import lean
 from lexispan.sources.workspace import materialized
@@ -39,11 +43,8 @@ from lexispan.sources.workspace import materialized
 # Bytes that decide about a cut; how often they cut; the least and greatest size of a chunk.
 WINDOW, CUT_BITS, LEAST, MOST = 32, 9, 64, 8192
 
-# The bit map of shared chunks has up to this many bits (16 MB).
-MOST_MAP_BITS = 27
-
-# Words that a task remembers the ids of, and how long they may be.
-REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
+# Stretches between spaces that a task remembers the ids of, and how long they may be.
+REMEMBERED, LONGEST_REMEMBERED = 500_000, 64
 
 # The pattern of byte-level BPE, by the tokenizer library's definition.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -55,6 +56,9 @@ DIGITS = "0-9"
 MARKS = r"!-&(-/:-@\[-`{-~¡§«¬±¶·»¿×÷‐-‧‹›€、。「」！"
 PLAIN = regex.compile(f"[{SPACES}{LETTERS}{DIGITS}{MARKS}']*+")
 
+# What is or once was white space, but for the space and the line feed.
+OTHER_SPACE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u206f\\u3000\\ufeff]")
+
 # Places where the pattern breaks whatever stands before and after the two characters there. It never
 # breaks off a space from what follows, and an apostrophe takes some letters.
 BREAKS = "|".join(
@@ -70,9 +74,14 @@ FIRST_BREAK, LAST_BREAK = regex.compile(BREAKS), regex.compile(f"(?r){BREAKS}")
 
 
 class ByteBpe:
-    """A byte-level BPE tokenizer, by the text of its JSON file."""
+    """A byte-level BPE tokenizer, by the text of its JSON file.
+
+    ``by_rank`` says that merging by ranks of tokens gives its ids (see
+    :func:`merges_by_rank`); plain text then goes to the faster library.
+    """
 
-    def __init__(self, description: str) -> None:
+    def __init__(self, description: str, by_rank: bool = False) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
         config = json.loads(description)
@@ -95,8 +104,11 @@ class ByteBpe:
             self.bytes[i] = bytes(spelled[c] for c in token) if known else token.encode()
         self.sizes = np.array([len(b) for b in self.bytes], np.int64)
         self.decimal = [str(i) for i in range(len(self.bytes))]
-        self.words = regex.compile(PATTERN)
-        self.known: dict[str, tuple[int, ...]] = {}
+        ranks = {b: i for i, b in enumerate(self.bytes) if i not in self.special.values()} if by_rank else {}
+        self.ranked = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if by_rank else None
+        # Ids as they are kept and sent.
+        self.kind = np.dtype("<u2" if len(self.bytes) <= 1 << 16 else "<u4")
+        self.after_space: dict[str, bytes] = {}  # ids of a space with what follows up to the next
 
     def segments(self, text: str) -> list[tuple[str, int]]:
         """``(text, -1)`` for plain text and ``(text, id)`` for special tokens, in order; nothing empty."""
@@ -105,41 +117,68 @@ class ByteBpe:
         return [(t, self.special.get(t, -1)) for t in self.split.split(text) if t]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts without special tokens."""
-        out: list = [None] * len(texts)
-        words: dict[int, list[str]] = {}
-        odd: list[int] = []
-        for i, text in enumerate(texts):
-            if PLAIN.fullmatch(text):
-                words[i] = self.words.findall(text)
-            else:
-                odd.append(i)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        get = self.known.get
-        fresh: dict[str, tuple[int, ...]] = {}
-        found = {i: list(map(get, w)) for i, w in words.items()}
-        missing = list({w for i, ids in found.items() if None in ids for w, x in zip(words[i], ids) if x is None})
-        for at in range(0, len(missing), 4096):
-            group = missing[at : at + 4096]
-            fresh.update(zip(group, map(tuple, self._library(group))))
-        for i, ids in found.items():
-            if None in ids:
-                ids = [fresh[w] if x is None else x for w, x in zip(words[i], ids)]
-            out[i] = np.array([x for word in ids for x in word], np.int64)
-        self.known.update((w, x) for w, x in fresh.items() if len(w) <= LONGEST_REMEMBERED)
-        for i, ids in zip(odd, self._library([texts[i] for i in odd])):
-            out[i] = np.array(ids, np.int64)
+        """Ids of texts without special tokens.
+
+        The pattern breaks before every space between other characters than white
+        space, so such a text is looked up by its stretches between spaces.
+        """
+        easy = [not (OTHER_SPACE.search(t) or "  " in t or " \n" in t or "\n " in t) for t in texts]
+        stretches = [t.split(" ") if e else [t] for t, e in zip(texts, easy)]
+        heads = iter(self._direct([x[0] for x in stretches]))
+        if len(self.after_space) > REMEMBERED:
+            self.after_space.clear()
+        get = self.after_space.get
+        found = [list(map(get, x[1:])) for x in stretches]
+        missing = list({w for x, ids in zip(stretches, found) if None in ids for w, i in zip(x[1:], ids) if i is None})
+        fresh = self._after_spaces(missing)
+        out = []
+        for x, ids in zip(stretches, found):
+            rest = b"".join([fresh[w] if i is None else i for w, i in zip(x[1:], ids)] if None in ids else ids)
+            out.append(np.frombuffer(next(heads) + rest, self.kind))
+        self.after_space.update((w, x) for w, x in fresh.items() if len(w) <= LONGEST_REMEMBERED)
         return out
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+    def _after_spaces(self, stretches: list[str]) -> dict[str, bytes]:
+        """Ids of stretches with a space before each, many at a time: they are broken at the spaces."""
+        plain = [w for w in stretches if w and not w[0].isspace()] if self.ranked is not None else []
+        fresh: dict[str, bytes] = {}
+        for at in range(0, len(plain), 512):
+            group = plain[at : at + 512]
+            text = " " + " ".join(group)
+            if not PLAIN.fullmatch(text):
+                group = [w for w in group if PLAIN.fullmatch(w)]
+                text = " " + " ".join(group)
+            if group:
+                ids = np.array(self.ranked.encode_ordinary(text), self.kind)
+                stops = np.cumsum(self.sizes[ids])
+                bounds = np.searchsorted(stops, np.cumsum([len(w.encode()) + 1 for w in group])) + 1
+                data, width = ids.tobytes(), self.kind.itemsize
+                edges = [0, *(bounds * width).tolist()]
+                fresh.update((w, data[a:b]) for w, a, b in zip(group, edges[:-1], edges[1:]))
+        left = [w for w in stretches if w not in fresh]
+        return fresh | dict(zip(left, self._direct([" " + w for w in left])))
+
+    def _direct(self, texts: list[str]) -> list[bytes]:
+        """Ids by the libraries; a text with characters of doubtful kind goes to the one that defines them."""
+        out: list = [None] * len(texts)
+        if self.ranked is not None:
+            ids = self.ranked.encode_ordinary
+            out = [np.array(ids(t), self.kind).tobytes() if PLAIN.fullmatch(t) else None for t in texts]
+        left = [i for i, x in enumerate(out) if x is None]
+        if left:
+            encoded = self.tokenizer.encode_batch_fast([texts[i] for i in left], add_special_tokens=False)
+            for i, e in zip(left, encoded):
+                out[i] = np.array(e.ids, self.kind).tobytes()
+        return out
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts, special tokens included."""
         parts = [self.segments(t) for t in texts]
         plain = iter(self.encode([t for segments in parts for t, i in segments if i < 0]))
-        return [_joined([next(plain) if i < 0 else np.array([i]) for _, i in segments]) for segments in parts]
+        return [self._joined([next(plain) if i < 0 else np.array([i], self.kind) for _, i in segments]) for segments in parts]
+
+    def _joined(self, parts: list[np.ndarray]) -> np.ndarray:
+        return np.concatenate(parts) if parts else np.zeros(0, self.kind)
 
     def decoded(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -151,7 +190,7 @@ class ByteBpe:
         out: list = []  # ids, or the place of a text in ``again``
         again: list[str] = []
         tail_text: list[str] = []  # what stands after the last break so far
-        tail_ids: np.ndarray | None = np.zeros(0, np.int64)  # its ids; None if they have to be found anew
+        tail_ids: np.ndarray | None = np.zeros(0, self.kind)  # its ids; None if they have to be found anew
 
         def close() -> None:
             nonlocal tail_text, tail_ids
@@ -160,7 +199,7 @@ class ByteBpe:
                 again.append("".join(tail_text))
             else:
                 out.append(tail_ids)
-            tail_text, tail_ids = [], np.zeros(0, np.int64)
+            tail_text, tail_ids = [], np.zeros(0, self.kind)
 
         for ids, special in pieces:
             if special:
@@ -188,7 +227,7 @@ class ByteBpe:
                 tail_text, tail_ids = [text[last[0] :]], ids[last[1] :]
         close()
         fresh = self.encode(again)
-        return _joined([fresh[x] if isinstance(x, int) else x for x in out])
+        return self._joined([fresh[x] if isinstance(x, int) else x for x in out])
 
     @staticmethod
     def _edge(found, text: str, edges: np.ndarray) -> tuple[int, int] | None:
@@ -200,10 +239,6 @@ class ByteBpe:
         return (found.start(), at + 1) if at < len(edges) and edges[at] == place else None
 
 
-def _joined(parts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
-
-
 def _byte_of_character() -> dict[str, int]:
     """How byte-level tokens spell bytes: printable ones as themselves, the others by characters from 256 on."""
     printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -211,18 +246,59 @@ def _byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def merges_by_rank(description: str) -> bool:
+    """Whether joining the neighbours whose token has the least id gives what the listed merges give.
+
+    It does if ids ascend with the merges and, for every token, joining its
+    bytes by lesser ids leaves the very two parts of its merge. For when two
+    neighbours could be joined to a token, nothing has been joined across its
+    ends, so its bytes have been joined as if they stood alone: what is left are
+    the parts of its merge.
+    """
+    model = json.loads(description)["model"]
+    spelled = _byte_of_character()
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    numbers = {bytes(spelled[c] for c in t): i for t, i in model["vocab"].items() if all(c in spelled for c in t)}
+    last = -1
+    for left, right in merges:
+        left, right = (bytes(spelled[c] for c in part) for part in (left, right))
+        number = numbers.get(left + right, -1)
+        if number <= last or len(left) + len(right) < 2:
+            return False
+        last = number
+        parts = [bytes([b]) for b in left + right]
+        while len(parts) > 2:
+            joined = [numbers.get(a + b, number) for a, b in zip(parts, parts[1:])]
+            least = min(joined)
+            if least >= number:
+                return False
+            at = joined.index(least)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        if parts != [left, right]:
+            return False
+    # Every other token is a single byte, or is never made.
+    return len(merges) + 256 == len(numbers) and min(len(b) for b in numbers) == 1
+
+
 _LOADED: dict[str, ByteBpe] = {}
 
 
-def byte_bpe(description: str) -> ByteBpe:
-    """One per process, so its words stay known from task to task."""
-    key = hashlib.sha256(description.encode()).hexdigest()
+def byte_bpe(described: tuple[str, bool]) -> ByteBpe:
+    """One per process, so what it knows stays from task to task."""
+    key = hashlib.sha256(repr(described).encode()).hexdigest()
     if key not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _LOADED[key] = ByteBpe(description)
+        _LOADED[key] = ByteBpe(*described)
     return _LOADED[key]
 
 
+@lru_cache(maxsize=4)
+def described(path: str) -> tuple[str, bool]:
+    """What workers need to know of a tokenizer file, found out once on the driver."""
+    text = Path(path).read_text(encoding="utf-8")
+    return text, merges_by_rank(text)
+
+
 # -- chunks ------------------------------------------------------------------
 
 
@@ -327,7 +403,7 @@ def decode(docs: DataFrame, tokenizer_json: str, ids_column: str = "token_ids")
     """
     packed = docs.drop(*[c for c in ("decoded",) if c != ids_column]).select(F.struct("*").alias("_row"), F.col(ids_column).alias("_ids"))
     row_type = packed.schema["_row"].dataType.simpleString()
-    description = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_json).read_text(encoding="utf-8"))
+    description = docs.sparkSession.sparkContext.broadcast(described(tokenizer_json))
 
     def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(description.value)
@@ -342,7 +418,11 @@ def decode(docs: DataFrame, tokenizer_json: str, ids_column: str = "token_ids")
     return found.select(*[F.col(f"_row.`{c}`").alias(c) for c in names if c != "decoded"], "decoded")
 
 
-PIECE = "t1 bigint, t2 bigint, seq int, h1 bigint, h2 bigint, special boolean, data binary, ids binary"
+NOTE = "t1 bigint, t2 bigint, seq int, h1 bigint, h2 bigint, data binary"
+PIECE = "t1 bigint, t2 bigint, seq int, special boolean, ids binary"
+
+# Texts taken together.
+TOGETHER = 256
 
 
 def _encoded(docs: DataFrame, tokenizer_json: str, text_column: str, sizes: tuple[int, int, int], schema: str, finish) -> DataFrame:
@@ -355,25 +435,42 @@ def _encoded(docs: DataFrame, tokenizer_json: str, text_column: str, sizes: tupl
     row = F.struct(*[F.col(f"`{c}`") for c in carried]) if carried else F.struct(F.lit(0).alias("_"))
     packed = kept.select(row.alias("_row"), F.col(text_column).alias("_text"))
     row_type = packed.schema["_row"].dataType.simpleString()
-    description = spark.sparkContext.broadcast(Path(tokenizer_json).read_text(encoding="utf-8"))
-    bits = _shared_map(packed.select("_text"), description, sizes)
+    description = spark.sparkContext.broadcast(described(tokenizer_json))
+    shared = _shared_chunks(packed.select("_text"), description, sizes)
+
+    def texts_of(column: pa.Array) -> Iterator[_Text]:
+        for at, text, chunks in text_chunks(column, byte_bpe(description.value), sizes):
+            yield _Text(at, text, chunks, shared.value)
 
-    def take_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, map_bits = byte_bpe(description.value), bits.value
+    def note(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows whose text has shared chunks, and these chunks, with their bytes where the task sees them first."""
         seen_texts: set[tuple[int, int]] = set()
         seen_chunks: set[tuple[int, int]] = set()
         for batch in batches:
-            rows = batch["_row"]
-            for group in _grouped(text_chunks(batch["_text"], bpe, sizes), 256):
-                yield from _apart(group, rows, bpe, map_bits, seen_texts, seen_chunks, finish, names)
+            for group in _grouped(texts_of(batch["_text"]), TOGETHER):
+                yield _notes([t for t in group if t.has_shared], batch["_row"], seen_texts, seen_chunks)
 
-    split = materialized(packed.mapInArrow(lean(take_apart), f"kind int, _row {row_type}, {PIECE}, {schema}"))
-    done = split.where("kind = 0").select("_row", *names)
-    waiting = split.where("kind = 1").select("_row", "t1", "t2")
-    runs = split.where("kind = 2").select("t1", "t2", "seq", "special", "ids")
-    references = split.where("kind = 3")
+    def encode_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows whose text has no shared chunk."""
+        bpe = byte_bpe(description.value)
+        for batch in batches:
+            for group in _grouped(texts_of(batch["_text"]), TOGETHER):
+                whole = [t for t in group if not t.has_shared]
+                rows = batch["_row"].take(pa.array([t.at for t in whole], pa.int64()))
+                yield pa.RecordBatch.from_arrays([rows, *finish(bpe, bpe.whole([t.text for t in whole]))], names=["_row", *names])
 
-    chunks = references.where("data IS NOT NULL").groupBy("h1", "h2").agg(F.first("data").alias("data"))
+    def encode_between(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What lies between the shared chunks of a text, once per task and text."""
+        bpe = byte_bpe(description.value)
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            for group in _grouped(texts_of(batch["_text"]), TOGETHER):
+                fresh = [t for t in group if t.has_shared and not (t.key in seen or seen.add(t.key))]
+                pieces = [(*t.key, *piece) for t in fresh for piece in t.between()]
+                plain = iter(bpe.encode([p[4] for p in pieces if not p[3]]))
+                ids = [np.array([p[4]], bpe.kind) if p[3] else next(plain) for p in pieces]
+                columns = [pa.array([p[i] for p in pieces], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([i.tobytes() for i in ids], pa.binary())], names=["t1", "t2", "seq", "special", "ids"])
 
     def encode_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(description.value)
@@ -381,28 +478,76 @@ def _encoded(docs: DataFrame, tokenizer_json: str, text_column: str, sizes: tupl
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 ids = bpe.encode([d.decode() for d in part["data"].to_pylist()])
-                yield pa.RecordBatch.from_arrays([part["h1"], part["h2"], pa.array(map(_packed, ids), pa.binary())], names=["h1", "h2", "ids"])
-
-    encoded = chunks.mapInArrow(lean(encode_chunks), "h1 bigint, h2 bigint, ids binary")
-    wanted = references.select("t1", "t2", "seq", "h1", "h2").distinct()
-    found = wanted.join(encoded, ["h1", "h2"]).select("t1", "t2", "seq", F.lit(False).alias("special"), "ids")
-    pieces = runs.unionByName(found).repartition("t1", "t2").sortWithinPartitions("t1", "t2", "seq")
+                yield pa.RecordBatch.from_arrays([part["h1"], part["h2"], pa.array([i.tobytes() for i in ids], pa.binary())], names=["h1", "h2", "ids"])
 
     def put_together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(description.value)
-        for texts in _grouped(_texts_of_pieces(batches), 256):
+        for texts in _grouped(_texts_of_pieces(batches, bpe.kind), TOGETHER):
             ids = [bpe.repaired(p) for _, _, p in texts]
             keys = [pa.array([t[i] for t in texts], pa.int64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*keys, *finish(bpe, ids)], names=["t1", "t2", *names])
 
+    notes = materialized(packed.mapInArrow(lean(note), f"_row {row_type}, {NOTE}"))
+    waiting = notes.where("seq IS NULL").select("_row", "t1", "t2")
+    references = notes.where("seq IS NOT NULL")
+    chunks = references.where("data IS NOT NULL").groupBy("h1", "h2").agg(F.first("data").alias("data"))
+    encoded = chunks.mapInArrow(lean(encode_chunks), "h1 bigint, h2 bigint, ids binary")
+    wanted = references.select("t1", "t2", "seq", "h1", "h2").distinct()
+    found = wanted.join(encoded, ["h1", "h2"]).select("t1", "t2", "seq", F.lit(False).alias("special"), "ids")
+    between = packed.select("_text").mapInArrow(lean(encode_between), PIECE)
+    pieces = between.unionByName(found).repartition("t1", "t2").sortWithinPartitions("t1", "t2", "seq")
     together = pieces.mapInArrow(lean(put_together), f"t1 bigint, t2 bigint, {schema}")
-    rest = waiting.join(together, ["t1", "t2"]).select("_row", *names)
-    both = done.unionByName(rest)
+    done = packed.mapInArrow(lean(encode_whole), f"_row {row_type}, {schema}")
+    both = done.unionByName(waiting.join(together, ["t1", "t2"]).select("_row", *names))
     return both.select(*[F.col(f"_row.`{c}`").alias(c) for c in carried], *names)
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    return ids.astype("<u4").tobytes()
+class _Text:
+    """A text with its chunks, and which of them may be shared."""
+
+    def __init__(self, at: int, text: str, chunks: list[tuple[bytes, int]], shared: tuple[int, np.ndarray]) -> None:
+        self.at, self.text, self.chunks = at, text, chunks
+        self.digests = [_digest(c) if special < 0 else None for c, special in chunks]
+        hits = may_hold(shared, np.array([d[0] if d else 0 for d in self.digests], np.int64))
+        self.hits = [bool(hit) and d is not None for hit, d in zip(hits.tolist(), self.digests)]
+        self.has_shared = any(self.hits)
+
+    @cached_property
+    def key(self) -> tuple[int, int]:
+        return _digest(self.text.encode())
+
+    def between(self) -> Iterator[tuple[int, bool, str | int]]:
+        """``(place, False, text)`` of stretches without shared chunks, ``(place, True, id)`` of special tokens."""
+        stretch: list[bytes] = []
+        for seq, ((chunk, special), hit) in enumerate(zip(self.chunks, self.hits)):
+            if stretch and (hit or special >= 0):
+                yield seq - 1, False, b"".join(stretch).decode()
+                stretch = []
+            if special >= 0:
+                yield seq, True, special
+            elif not hit:
+                stretch.append(chunk)
+        if stretch:
+            yield len(self.chunks) - 1, False, b"".join(stretch).decode()
+
+
+def _notes(texts: list[_Text], rows: pa.Array, seen_texts: set, seen_chunks: set) -> pa.RecordBatch:
+    """A row of ``_row`` and key per text, and one per shared chunk of each text that is new to the task."""
+    notes: list[tuple] = []
+    for t in texts:
+        if t.key in seen_texts:
+            continue
+        seen_texts.add(t.key)
+        for seq, ((chunk, _), digest, hit) in enumerate(zip(t.chunks, t.digests, t.hits)):
+            if hit:
+                notes.append((*t.key, seq, *digest, None if digest in seen_chunks else chunk))
+                seen_chunks.add(digest)
+    own = rows.take(pa.array([t.at for t in texts], pa.int64()))
+    notes = [(*t.key, None, None, None, None) for t in texts] + notes
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    columns = [pa.array([n[i] for n in notes], kind) for i, kind in enumerate(kinds)]
+    own = pa.concat_arrays([own, pa.nulls(len(notes) - len(texts), own.type)])
+    return pa.RecordBatch.from_arrays([own, *columns], names=["_row", *[c.split()[0] for c in NOTE.split(", ")]])
 
 
 def _grouped(items: Iterable, size: int) -> Iterator[list]:
@@ -416,9 +561,8 @@ def _grouped(items: Iterable, size: int) -> Iterator[list]:
         yield group
 
 
-def _shared_map(texts: DataFrame, description, sizes: tuple[int, int, int]):
-    """A broadcast bit map by chunk digest; the bit of every chunk that occurs more than once is set."""
-    spark = texts.sparkSession
+def _shared_chunks(texts: DataFrame, description, sizes: tuple[int, int, int]):
+    """A broadcast bit map of the digests of chunks that occur more than once."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(description.value)
@@ -438,80 +582,10 @@ def _shared_map(texts: DataFrame, description, sizes: tuple[int, int, int]):
             yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(numbers.values(), pa.int64())], names=["h1", "h2", "n"])
 
     counted = texts.mapInArrow(lean(count), "h1 bigint, h2 bigint, n bigint").groupBy("h1", "h2").agg(F.sum("n").alias("n"))
-    shared = materialized(counted.where("n > 1").select("h1"))
-    n_shared = shared.count()
-    map_bits = min(MOST_MAP_BITS, max(16, (8 * n_shared).bit_length()))
-    place = F.shiftrightunsigned("h1", 64 - map_bits)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    words = shared.select(F.shiftright(place, 6).alias("word"), bit.alias("bit"))
-    # At most 2 ** (map_bits - 6) rows, whatever the number of chunks.
-    table = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (map_bits - 6), np.uint64)
-    out[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
-    return spark.sparkContext.broadcast((map_bits, out))
-
-
-def _apart(group, rows, bpe, bit_map, seen_texts, seen_chunks, finish, names) -> Iterator[pa.RecordBatch]:
-    """Rows of four kinds of some texts: 0 done, 1 waiting for its text's ids, 2 ids of a stretch, 3 a chunk to be encoded."""
-    map_bits, words = bit_map
-    whole, waiting, pieces, stretches = [], [], [], []
-    for at, text, chunks in group:
-        digests = [_digest(c) if special < 0 else None for c, special in chunks]
-        hits = [d is not None and _is_set(words, map_bits, d[0]) for d in digests]
-        if not any(hits):
-            whole.append((at, text))
-            continue
-        key = _digest(text.encode())
-        waiting.append((at, key))
-        if key in seen_texts:
-            continue
-        seen_texts.add(key)
-        open_stretch: list[bytes] = []
-        for seq, ((chunk, special), digest, hit) in enumerate(zip(chunks, digests, hits)):
-            if open_stretch and (hit or special >= 0):
-                pieces.append((key, seq - 1, None, False, None, len(stretches)))
-                stretches.append(b"".join(open_stretch).decode())
-                open_stretch = []
-            if special >= 0:
-                pieces.append((key, seq, None, True, None, [special]))
-            elif hit:
-                pieces.append((key, seq, digest, False, None if digest in seen_chunks else chunk, None))
-                seen_chunks.add(digest)
-            else:
-                open_stretch.append(chunk)
-        if open_stretch:
-            pieces.append((key, len(chunks) - 1, None, False, None, len(stretches)))
-            stretches.append(b"".join(open_stretch).decode())
-    encoded = bpe.encode(stretches)
-    ids = [None if x is None else _packed(np.array(x) if isinstance(x, list) else encoded[x]) for *_, x in pieces]
-    n = (len(whole), len(waiting), len(pieces))
-    finished = finish(bpe, bpe.whole([t for _, t in whole]))
-    kinds = [0] * n[0] + [1] * n[1] + [2 if p[2] is None else 3 for p in pieces]
-    own_rows = rows.take(pa.array([at for at, _ in whole] + [at for at, _ in waiting], pa.int64()))
-    spread = lambda before, values, after, kind: pa.array([None] * before + values + [None] * after, kind)
-    keys = [key for _, key in waiting] + [p[0] for p in pieces]
-    columns = {
-        "kind": pa.array(kinds, pa.int32()),
-        "_row": pa.concat_arrays([own_rows, pa.nulls(n[2], own_rows.type)]),
-        "t1": spread(n[0], [k[0] for k in keys], 0, pa.int64()),
-        "t2": spread(n[0], [k[1] for k in keys], 0, pa.int64()),
-        "seq": spread(n[0] + n[1], [p[1] for p in pieces], 0, pa.int32()),
-        "h1": spread(n[0] + n[1], [p[2] and p[2][0] for p in pieces], 0, pa.int64()),
-        "h2": spread(n[0] + n[1], [p[2] and p[2][1] for p in pieces], 0, pa.int64()),
-        "special": spread(n[0] + n[1], [p[3] for p in pieces], 0, pa.bool_()),
-        "data": spread(n[0] + n[1], [p[4] for p in pieces], 0, pa.binary()),
-        "ids": spread(n[0] + n[1], ids, 0, pa.binary()),
-    }
-    columns |= {name: pa.concat_arrays([a, pa.nulls(n[1] + n[2], a.type)]) for name, a in zip(names, finished)}
-    yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-
-def _is_set(words: np.ndarray, map_bits: int, h1: int) -> bool:
-    place = (h1 & 0xFFFFFFFFFFFFFFFF) >> (64 - map_bits)
-    return bool(int(words[place >> 6]) >> (place & 63) & 1)
-
-
-def _texts_of_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, list[tuple[np.ndarray, bool]]]]:
+    return bit_map(materialized(counted.where("n > 1").select("h1")), "h1")
+
+
+def _texts_of_pieces(batches: Iterable[pa.RecordBatch], kind: np.dtype) -> Iterator[tuple[int, int, list[tuple[np.ndarray, bool]]]]:
     """``(t1, t2, pieces)`` of every text, from rows in order of text and place; a place that comes again is the same piece."""
     key, last, pieces = None, -1, []
     for batch in batches:
@@ -522,7 +596,7 @@ def _texts_of_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, i
                     yield *key, pieces
                 key, last, pieces = (t1, t2), -1, []
             if seq != last:
-                pieces.append((np.frombuffer(ids, "<u4").astype(np.int64), special))
+                pieces.append((np.frombuffer(ids, kind), special))
                 last = seq
     if pieces:
         yield *key, pieces

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -17,7 +19,8 @@ from lexispan.llm.workers import known_to_workers
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 LIBRARY = Tokenizer.from_file(PATH)
-BPE = chunked_bpe.byte_bpe(open(PATH, encoding="utf-8").read())
+DESCRIBED = chunked_bpe.described(PATH)
+BPE = chunked_bpe.byte_bpe(DESCRIBED)
 
 ODD = "ab'sdtlvre 09.,(\n\t\r\x0b\x1c\x85\xa0é中、。한ぁ🙂́٣Ⅷß’`_- 　ǅʰ"
 TEXTS = st.text(st.sampled_from(ODD) | st.characters(exclude_categories=["Cs"]), max_size=80)
@@ -27,6 +30,20 @@ def ids_of(text: str) -> list[int]:
     return LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_ranks_may_stand_for_merges():
+    assert DESCRIBED[1]
+    # A token of another split: its parts are not what its bytes are joined to.
+    toy = {"model": {"vocab": dict(zip("abc", range(3))) | {"bc": 3, "ab": 4, "abc": 5}, "merges": ["b c", "a b", "ab c"]}}
+    assert not chunked_bpe.merges_by_rank(json.dumps(toy))
+
+
+@pytest.mark.parametrize("by_rank", [True, False])
+def test_texts_of_documents(by_rank):
+    texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.001/documents.parquet' WHERE text IS NOT NULL").fetchall()
+    bpe = chunked_bpe.ByteBpe(DESCRIBED[0], by_rank)
+    assert [i.tolist() for i in bpe.whole([t for (t,) in texts])] == [ids_of(t) for (t,) in texts]
+
+
 @settings(max_examples=500, deadline=None)
 @given(TEXTS)
 def test_whole_texts(text):
@@ -45,8 +62,8 @@ def test_every_pair_of_neighbours_breaks_as_stated():
     for a in ODD:
         for b in ODD:
             if chunked_bpe.FIRST_BREAK.match(a + b, 1):
-                for before in ("", "x", " ", "'", "9", "."):
-                    for after in ("", "x", "s", " ", "'", "9", "."):
+                for before in ("", "x", "'"):
+                    for after in ("", "s", " "):
                         text = before + a + b + after
                         words = [w for w, _ in LIBRARY.pre_tokenizer.pre_tokenize_str(text)]
                         sizes = np.cumsum([len(bytes(chunked_bpe._byte_of_character()[c] for c in w)) for w in words])
