@@ -42,7 +42,7 @@ def word_counts(hits: Hits) -> DataFrame:
     Counts cover the whole index, excluded words are included, and words that
     are not indexed count 0.
     """
-    found = with_terms(hits.searcher.postings, hits.words).groupBy(F.col("term").alias("key")).agg(F.count("*").alias("n"))
+    found = with_terms(hits.searcher.table, hits.words).groupBy(F.col("term").alias("key")).agg(F.count("*").alias("n"))
     return _with_zeros(_labelled(hits, [(w,) for w in hits.words], list(hits.words)), found)
 
 
@@ -62,7 +62,7 @@ def phrase_counts(hits: Hits) -> DataFrame:
         # Words as their numbers in the slot: fixed-width values keep the grouping a hash aggregate.
         numbers = [F.array_position(F.array(*map(F.lit, words)), F.col("term")) for words in listed]
         at_slot = [F.max(F.when(F.col("slot") == i, n)).alias(f"w{i}") for i, n in enumerate(numbers)]
-        formed = slot_anchors(hits.searcher.postings, slots).groupBy(*LINE_KEY, "anchor").agg(*at_slot)
+        formed = slot_anchors(hits.searcher.table, slots).groupBy(*LINE_KEY, "anchor").agg(*at_slot)
         columns = [f"w{i}" for i in range(length)]
         whole = formed.dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias("n"))
         counted = counted.unionByName(whole.select(F.concat_ws(",", *columns).alias("key"), "n"))

@@ -11,22 +11,33 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, reduce
 from itertools import product
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexispan.operators.keys import is_small
-from lexispan.operators.lines import line_universe
+from lexispan.operators.keys import fits, is_small, measures
 
 LINE_KEY = ["doc_id", "line_no"]
 SPAN = ["doc_id", "line_no", "start_pos", "end_pos"]
 
+# Where a stored index keeps a document's lines: columns of its postings, folders of its lines.
+PLACE = ["run", "part"]
+
+# So many times more postings than those of its rarest word must a phrase have to look them up first.
+WORTH = 4
+
 # Longest phrase matched by one grouping: slots are bits of a BIGINT.
 MAX_SLOTS = 62
 
 
+def line_key(df: DataFrame) -> list[str]:
+    """What tells lines apart, and in a stored index also where they are."""
+    return [*(c for c in PLACE if c in df.columns), *LINE_KEY]
+
+
 def distinct_lines(df: DataFrame) -> DataFrame:
-    return df.select(*LINE_KEY).distinct()
+    return df.select(*line_key(df)).distinct()
 
 
 class LineSet:
@@ -49,7 +60,7 @@ class LineSet:
         if self.excluded:
             return other.intersect(self)
         how = "left_anti" if other.excluded else "left_semi"
-        return LineSet(self.keys.join(other.keys, LINE_KEY, how))
+        return LineSet(self.keys.join(other.keys, line_key(self.keys), how))
 
     def union(self, other: LineSet) -> LineSet:
         if not self.excluded and not other.excluded:
@@ -58,16 +69,23 @@ class LineSet:
 
     def restrict(self, df: DataFrame) -> DataFrame:
         """Rows of ``df`` that lie on lines of this set."""
-        return df.join(self.keys, LINE_KEY, "left_anti" if self.excluded else "left_semi")
+        return df.join(self.keys, line_key(self.keys), "left_anti" if self.excluded else "left_semi")
 
     def restrict_table(self, lines: DataFrame) -> DataFrame:
         """Like ``restrict``, for the (large) line table.
 
         Measuring the keys first keeps a selective search from shuffling the
-        text of the whole corpus. A broad one joins by a shuffle, if possible
-        of the documents with a hit only.
+        text of the whole corpus, and from opening parts of a stored index that
+        have no line of it. A broad one joins by a shuffle, if possible of the
+        documents with a hit only.
         """
-        if is_small(self.keys):
+        placed = line_key(self.keys) != LINE_KEY and not self.excluded
+        # One place per part of the index at most.
+        places = [F.collect_set(F.struct(*PLACE)).alias("places")] if placed else []
+        found = self.keys.agg(*measures(self.keys), *places).first()
+        if fits(found):
+            if placed:
+                lines = lines.where(_at(found["places"]))
             return LineSet(F.broadcast(self.keys), self.excluded).restrict(lines)
         if not self.excluded:
             documents = self.keys.select("doc_id").distinct()
@@ -80,6 +98,14 @@ def _union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b).distinct()
 
 
+def _at(places) -> Column:
+    """Rows of these parts; a condition on folders alone."""
+    parts: dict[int, list[int]] = {}
+    for run, part in places:
+        parts.setdefault(run, []).append(part)
+    return reduce(or_, [(F.col("run") == r) & F.col("part").isin(sorted(p)) for r, p in sorted(parts.items())], F.lit(False))
+
+
 class Hits:
     """One search result. ``lines`` and ``spans`` are DataFrames, built on first use."""
 
@@ -127,6 +153,11 @@ class Hits:
     @cached_property
     def spans(self) -> DataFrame:
         """``(doc_id, line_no, start_pos, end_pos)``, each occurrence once."""
+        return self.placed_spans.select(*SPAN)
+
+    @cached_property
+    def placed_spans(self) -> DataFrame:
+        """Spans, in a stored index with the place of their lines."""
         return self._spans()
 
     @cached_property
@@ -137,14 +168,15 @@ class Hits:
     def lines(self) -> DataFrame:
         """``(doc_id, line_no)``, each matching line once."""
         if not self.line_set.excluded:
-            return self.line_set.keys
-        return self.line_set.restrict_table(line_universe(self.searcher.lines))
+            return self.line_set.keys.select(*LINE_KEY)
+        searchable = self.searcher.line_table.where("searchable")
+        return self.line_set.restrict_table(searchable.select(*line_key(searchable))).select(*LINE_KEY)
 
     @cached_property
     def lines_with_text(self) -> DataFrame:
         """``(doc_id, line_no, line)`` of each matching line."""
-        searchable = self.searcher.lines.where("searchable").select(*LINE_KEY, "line")
-        return self.line_set.restrict_table(searchable)
+        searchable = self.searcher.line_table.where("searchable")
+        return self.line_set.restrict_table(searchable.select(*line_key(searchable), "line")).select(*LINE_KEY, "line")
 
 
 class Searcher:
@@ -155,9 +187,13 @@ class Searcher:
     not in the index and so match nothing.
     """
 
-    def __init__(self, lines: DataFrame, postings: DataFrame, fold_mode: str = "full") -> None:
-        self.lines = lines
-        self.postings = postings
+    def __init__(self, lines: DataFrame, postings: DataFrame, fold_mode: str = "full", stored: bool = False) -> None:
+        self.lines = lines.select(*LINE_KEY, "line", "searchable")
+        self.postings = postings.select("term", *LINE_KEY, "pos")
+        #: the same, in a stored index with places and buckets; there, counting a word's postings is cheap
+        self.line_table = lines if stored else self.lines
+        self.table = postings if stored else self.postings
+        self.stored = stored
         self.fold_mode = fold_mode
 
     def word(self, word: str) -> Hits:
@@ -237,7 +273,7 @@ class Searcher:
         hits = Hits(
             self,
             spans=lambda: _join_adjacent(left, right),
-            line_set=lambda: LineSet(distinct_lines(hits.spans)),
+            line_set=lambda: LineSet(distinct_lines(hits.placed_spans)),
             **described,
         )
         return hits
@@ -253,7 +289,7 @@ class Searcher:
             return self._slot_hits((left.slots[0] | right.slots[0],), **described)
         return Hits(
             self,
-            spans=lambda: _union_spans(left, right, left.spans, right.spans),
+            spans=lambda: _union_spans(left, right, left.placed_spans, right.placed_spans),
             line_set=lambda: left.line_set.union(right.line_set),
             has_not=left.has_not or right.has_not,
             **described,
@@ -262,25 +298,29 @@ class Searcher:
     def _slot_hits(self, slots: tuple[frozenset[str], ...], **described) -> Hits:
         hits = Hits(
             self,
-            spans=lambda: slot_spans(self.postings, slots),
-            line_set=lambda: LineSet(distinct_lines(hits.spans)),
+            spans=lambda: slot_spans(self.table, slots, self.stored),
+            line_set=lambda: LineSet(distinct_lines(hits.placed_spans)),
             slots=slots,
             **described,
         )
         return hits
 
     def _no_spans(self) -> DataFrame:
-        return slot_spans(self.postings, (frozenset(),)).where(F.lit(False))
+        return slot_spans(self.table, (frozenset(),)).where(F.lit(False))
 
     @staticmethod
     def _shared_spans(left: Hits, right: Hits) -> DataFrame:
         """Each side's spans lie on its own lines, so only the other side filters them."""
-        return _union_spans(left, right, right.line_set.restrict(left.spans), left.line_set.restrict(right.spans))
+        return _union_spans(left, right, right.line_set.restrict(left.placed_spans), left.line_set.restrict(right.placed_spans))
 
 
 def with_terms(postings: DataFrame, terms) -> DataFrame:
-    """Postings of the given words; the filter reaches the Parquet scan."""
-    return postings.where(F.col("term").isin(sorted(terms)))
+    """Postings of the given words; the filter reaches the Parquet scan, and that of a stored index opens their buckets only."""
+    found = postings.where(F.col("term").isin(sorted(terms)))
+    if "bucket" in postings.columns and terms:
+        buckets = [F.col("bucket") == F.pmod(F.xxhash64(F.lit(term)), F.col("buckets")) for term in sorted(terms)]
+        found = found.where(reduce(or_, buckets))
+    return found
 
 
 def slot_anchors(postings: DataFrame, slots) -> DataFrame:
@@ -294,26 +334,47 @@ def slot_anchors(postings: DataFrame, slots) -> DataFrame:
         slot = F.coalesce(*fills)
     else:  # some word fills several slots
         slot = F.explode(F.array_compact(F.array(*fills)))
-    rows = with_terms(postings, wanted).select(*LINE_KEY, "pos", "term", slot.alias("slot"))
-    return rows.select(*LINE_KEY, (F.col("pos") - F.col("slot")).alias("anchor"), "slot", "term")
+    key = line_key(postings)
+    rows = with_terms(postings, wanted).select(*key, "pos", "term", slot.alias("slot"))
+    return rows.select(*key, (F.col("pos") - F.col("slot")).alias("anchor"), "slot", "term")
 
 
-def slot_spans(postings: DataFrame, slots) -> DataFrame:
+def slot_spans(postings: DataFrame, slots, measured: bool = False) -> DataFrame:
     """Spans of "a word of slot 0, then a word of slot 1, ...".
 
     A single slot is a filter; any longer phrase takes one grouping, whatever
     its length. Groups hold at most one row per slot, so no word is too common.
+    If the postings are cheap to count, they are ``measured``, and only those at
+    the places of the rarest slot are grouped.
     """
+    key = line_key(postings)
     if len(slots) == 1:
         pos = F.col("pos")
-        return with_terms(postings, slots[0]).select(*LINE_KEY, pos.alias("start_pos"), pos.alias("end_pos"))
+        return with_terms(postings, slots[0]).select(*key, pos.alias("start_pos"), pos.alias("end_pos"))
     bit = F.expr("shiftleft(1L, slot)")
-    complete = slot_anchors(postings, slots).groupBy(*LINE_KEY, "anchor").agg(F.bit_or(bit).alias("seen"))
+    anchors = slot_anchors(postings, slots)
+    if measured:
+        anchors = around_rarest(anchors, len(slots))
+    complete = anchors.groupBy(*key, "anchor").agg(F.bit_or(bit).alias("seen"))
     return complete.where(F.col("seen") == (1 << len(slots)) - 1).select(
-        *LINE_KEY, F.col("anchor").alias("start_pos"), (F.col("anchor") + (len(slots) - 1)).alias("end_pos")
+        *key, F.col("anchor").alias("start_pos"), (F.col("anchor") + (len(slots) - 1)).alias("end_pos")
     )
 
 
+def around_rarest(anchors: DataFrame, n_slots: int) -> DataFrame:
+    """Only the anchors that the rarest slot has too, if those are few enough to be broadcast and much fewer than all."""
+    # One row per slot.
+    found = anchors.groupBy("slot").agg(*measures(anchors)).collect()
+    if len(found) < n_slots:
+        return anchors.where(F.lit(False))
+    rarest = min(found, key=lambda row: (row["n"], row["slot"]))
+    if not fits(rarest) or sum(row["n"] for row in found) < WORTH * rarest["n"]:
+        return anchors
+    place = [*line_key(anchors), "anchor"]
+    places = anchors.where(F.col("slot") == rarest["slot"]).select(*place)
+    return anchors.join(F.broadcast(places), place, "left_semi")
+
+
 def _union_spans(left: Hits, right: Hits, left_spans: DataFrame, right_spans: DataFrame) -> DataFrame:
     """Spans of either side; deduplicated only if the sides can find the same span."""
     both = left_spans.unionByName(right_spans)
@@ -326,8 +387,9 @@ def _join_adjacent(left: Hits, right: Hits) -> DataFrame:
     Where right spans share a start, every end counts. A joined span can occur
     twice only if it can be split at two places.
     """
-    lhs = left.spans.select(*LINE_KEY, "start_pos", (F.col("end_pos") + 1).alias("next_pos"))
-    rhs = right.spans.select(*LINE_KEY, F.col("start_pos").alias("next_pos"), "end_pos")
-    joined = lhs.join(rhs, [*LINE_KEY, "next_pos"]).select(*SPAN)
+    key = line_key(left.placed_spans)
+    lhs = left.placed_spans.select(*key, "start_pos", (F.col("end_pos") + 1).alias("next_pos"))
+    rhs = right.placed_spans.select(*key, F.col("start_pos").alias("next_pos"), "end_pos")
+    joined = lhs.join(rhs, [*key, "next_pos"]).select(*key, "start_pos", "end_pos")
     totals = [a + b for a, b in product(left.lengths, right.lengths)]
     return joined.distinct() if len(totals) != len(set(totals)) else joined

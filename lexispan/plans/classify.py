@@ -20,28 +20,31 @@ def classify(listing: DataFrame, manifest: DataFrame, partial: bool = False) ->
     A document is skipped only if its fingerprint is unchanged *and* its stored
     index is usable (``manifest.usable``, true if there is no such column).
     A ``partial`` listing says nothing about documents it does not mention; it
-    may have a ``deleted`` flag per row.
+    may have a ``deleted`` flag per row. With a ``sequence`` on both sides, a later
+    one counts as updated whatever it says, so that the manifest learns of it.
     """
+    ordered = "sequence" in listing.columns and "sequence" in manifest.columns
     if "deleted" not in listing.columns:
         listing = listing.withColumn("deleted", F.lit(False))
     if "usable" not in manifest.columns:
         manifest = manifest.withColumn("usable", F.lit(True))
     location = [c for c in ("run", "part") if c in manifest.columns]
+    sequence = ["sequence"] if ordered else []
     now = listing.select(
-        "doc_id", F.lit(True).alias("listed"), "deleted", *[F.col(c).alias(f"now_{c}") for c in FINGERPRINT]
+        "doc_id", F.lit(True).alias("listed"), "deleted", *[F.col(c).alias(f"now_{c}") for c in (*FINGERPRINT, *sequence)]
     )
     old = manifest.select(
         "doc_id",
         F.lit(True).alias("stored"),
         "usable",
-        *[F.col(c).alias(f"old_{c}") for c in (*FINGERPRINT, "index_version", *location)],
+        *[F.col(c).alias(f"old_{c}") for c in (*FINGERPRINT, "index_version", *location, *sequence)],
     )
     pairs = now.join(old, "doc_id", "left" if partial else "full_outer")
     gone = F.col("listed").isNull() | F.col("deleted")
     known = F.col("stored").isNotNull()
-    action = (
-        F.when(gone, "deleted").when(~known, "new").when(_unchanged() & F.col("usable"), "skipped").otherwise("updated")
-    )
+    later = F.coalesce(F.col("now_sequence") > F.col("old_sequence"), F.lit(False)) if ordered else F.lit(False)
+    same = _unchanged() & F.col("usable") & ~later
+    action = F.when(gone, "deleted").when(~known, "new").when(same, "skipped").otherwise("updated")
     return pairs.where(~gone | known).select(
         "doc_id",
         action.alias("action"),

@@ -1,23 +1,35 @@
-"""A text index kept as Parquet tables, brought up to date incrementally.
+"""A text index kept as Parquet tables, brought up to date by runs.
 
 Layout below the index folder::
 
-    store/run=K/kind=document/part=P    the manifest: one row per document
-    store/run=K/kind=line/part=P        its lines
-    postings/run=K/part=P               its words, sorted by word in every file
-    commits/run=K                       which (table, run, part) make up the index
-
-All rows of a document lie in one part: what one task (or a few) read is also
-what it wrote, so neither text nor postings are shuffled. Each run writes into
-its own folders and becomes visible with its commit, written last; a run that
-died before that is overwritten by the next. New documents only add parts; a
-part is rewritten when one of its documents was updated or deleted.
+    store/run=K/kind=document/part=P      the manifest: one row per document
+    store/run=K/kind=line/part=P          its lines
+    postings/batch=K/buckets=N/bucket=B   its words, by a hash of the word, sorted by word in every file
+    removed/run=K                         documents of which earlier runs no longer hold
+    commits/run=K                         which of these make up the index
+
+A run writes what is new and names the documents whose earlier rows are void; it
+rewrites nothing. Readers leave void rows out by an anti join with those names.
+When several runs of one size have gathered they are merged into one, so there
+are few of them however many there were, and a row is rewritten only as often as
+its run grows by a factor. A run becomes visible with its commit, written last;
+one that died before that is overwritten by the next, and no folder that a
+commit names is ever written again.
+
+The text of a document is written by the task that read it, into that task's
+part. Only postings are shuffled, once: all rows of a word lie in one bucket, so
+looking a word up opens the files of one bucket per run. A bucket too large for a
+task becomes several files. Postings carry the run and part of their lines, so
+fetching lines opens the parts that have some.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
+from datetime import timedelta
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -25,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispan.functions.stopwords import CORE_STOPWORDS
-from lexispan.operators.keys import broadcast_if_small, is_small
+from lexispan.operators.keys import MAX_BYTES, MAX_ROWS, broadcast_if_small, is_small
 from lexispan.operators.lines import is_searchable, with_line_arrays
 from lexispan.operators.postings import line_postings
 from lexispan.operators.search import Searcher
@@ -33,18 +45,27 @@ from lexispan.plans.classify import INDEX_VERSION, build_summary, classify, name
 from lexispan.sources.corpus import FINGERPRINT, Corpus, one_row_per_name, table_corpus
 
 # Parts per run; bounds what a commit lists and what the driver ever collects.
-# More parts mean less to rewrite when a document changes.
 MAX_PARTS = 16384
 
-# Text per part that compaction aims at.
+# Text per part and per bucket that writing aims at, and the most buckets of a run.
 PART_BYTES = 256 << 20
+BUCKET_BYTES = 4 << 20
+MAX_BUCKETS = 32768
+
+# So many runs of one tier are merged; tiers go by postings, in steps of the same factor.
+FANOUT = 4
+TIER_ROWS = 100_000
 
 STORE = (
     "doc_id string, line_no int, line string, searchable boolean, mtime timestamp, size bigint, "
-    "content_hash bigint, index_version int, run bigint, kind string, part int"
+    "content_hash bigint, sequence bigint, index_version int, run bigint, kind string, part int"
+)
+POSTINGS = (
+    "term string, doc_id string, line_no int, pos int, index_version int, run bigint, part int, "
+    "batch bigint, buckets int, bucket int"
 )
-POSTINGS = "term string, doc_id string, line_no int, pos int, index_version int, run bigint, part int"
-COMMITS = "table string, data_run bigint, data_part int, run bigint"
+REMOVED = "doc_id string, sequence bigint, removed_run bigint, run bigint"
+COMMITS = "item string, data_run bigint, data_part int, folder bigint, n bigint, bytes bigint, run bigint"
 PLAN = "doc_id string, action string, known boolean, mtime timestamp, n bigint, usable boolean, old_run bigint, old_part int"
 
 # What Spark and Parquet say of files that are missing or corrupt, and of those that may not be read.
@@ -59,7 +80,32 @@ DAMAGE = (
 DENIED = ("AccessControlException", "AccessDeniedException", "Permission denied")
 
 Part = tuple[int, int]  # run, part
-TABLES = ("document", "line", "postings")
+
+
+@dataclass(frozen=True)
+class Batch:
+    """Postings of a run: their folder, in how many buckets, and how many they are."""
+
+    folder: int
+    buckets: int
+    n: int
+
+    @property
+    def path(self) -> str:
+        return f"batch={self.folder}/buckets={self.buckets}"
+
+
+@dataclass(frozen=True)
+class State:
+    """What a commit says. Its size goes with the number of live runs, not of documents."""
+
+    run: int = 0
+    #: per live run its postings
+    batches: dict[int, Batch] = field(default_factory=dict)
+    #: folders of removed documents, with rows and bytes
+    removed: dict[int, tuple[int, int]] = field(default_factory=dict)
+    #: parts of live runs that were damaged and do not count
+    dropped: frozenset[Part] = frozenset()
 
 
 class TextIndex:
@@ -84,67 +130,110 @@ class TextIndex:
     @property
     def lines(self) -> DataFrame:
         """``(doc_id, line_no, line, searchable)``"""
-        return self._lines(self._committed()[1])
+        return self.searcher().lines
 
     @property
     def postings(self) -> DataFrame:
         """``(term, doc_id, line_no, pos)``: the merged index of all documents."""
-        return self._postings(self._committed()[1])
+        return self.searcher().postings
 
     @property
     def manifest(self) -> DataFrame:
         """``(doc_id, mtime, size, content_hash, index_version)``; empty before the first build."""
-        return self._read("document", self._committed()[1]["document"]).select("doc_id", *FINGERPRINT, "index_version")
+        return self._live("document", self._state()).select("doc_id", *FINGERPRINT, "index_version")
 
     def searcher(self) -> Searcher:
         """Search over the index as of the last commit; lines and postings are of the same."""
-        _, live = self._committed()
-        return Searcher(self._lines(live), self._postings(live), self.fold_mode)
+        state = self._state()
+        served = (F.col("index_version") == INDEX_VERSION) & F.col("doc_id").isNotNull()
+        lines = self._live("line", state).where(served).select("run", "part", "doc_id", "line_no", "line", "searchable")
+        postings = self._live("postings", state).where(served)
+        columns = ["term", "doc_id", "line_no", "pos", "run", "part", "buckets", "bucket"]
+        return Searcher(lines, postings.select(*columns), self.fold_mode, stored=True)
 
     def actions(self, run: int | None = None) -> DataFrame:
-        """The action log ``(doc_id, action, ...)`` of a run, by default the last."""
-        run = self._committed()[0] if run is None else run
+        """The action log ``(doc_id, action, ...)`` of a run of ``sync``, by default the last."""
+        if run is None:
+            last = self._state().run
+            run = max(r for r in _runs_of(self.spark.read.schema(PLAN).parquet(f"{self.root}/actions")) if r <= last)
         return self.spark.read.schema(PLAN).parquet(f"{self.root}/actions/run={run}")
 
-    def _lines(self, live: dict[str, list[Part]]) -> DataFrame:
-        return self._served("line", live["line"]).select("doc_id", "line_no", "line", "searchable")
-
-    def _postings(self, live: dict[str, list[Part]]) -> DataFrame:
-        return self._served("postings", live["postings"]).select("term", "doc_id", "line_no", "pos")
-
-    def _served(self, table: str, parts: Iterable[Part]) -> DataFrame:
-        rows = self._read(table, parts)
-        return rows.where((F.col("index_version") == INDEX_VERSION) & F.col("doc_id").isNotNull())
-
-    def _committed(self) -> tuple[int, dict[str, list[Part]]]:
-        """The last committed run (0 if none) and the live parts of each table."""
-        parts: dict[str, list[Part]] = {table: [] for table in TABLES}
+    def _state(self) -> State:
+        """The last commit, or an empty one."""
         try:
             commits = self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
         except PySparkException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return 0, parts
-        run = commits.agg(F.max("run")).first()[0]
-        if run is None:
-            return 0, parts
-        # At most MAX_PARTS rows per table and live run.
-        for row in self._commit_rows(run).collect():
-            parts[row["table"]].append((row["data_run"], row["data_part"]))
-        return run, parts
-
-    def _read(self, table: str, parts: Iterable[Part]) -> DataFrame:
-        folder, schema, kind = ("postings", POSTINGS, "") if table == "postings" else ("store", STORE, f"/kind={table}")
-        paths = [f"{self.root}/{folder}/run={run}{kind}/part={part}" for run, part in sorted(parts)]
+            return State()
+        runs = _runs_of(commits)
+        if not runs:
+            return State()
+        rows = commits.where((F.col("run") == max(runs)) & F.col("item").isin("run", "removed", "dropped")).collect()
+        return State(
+            max(runs),
+            {r.data_run: Batch(r.folder, r.data_part, r.n) for r in rows if r.item == "run"},
+            {r.data_run: (r.n, r.bytes) for r in rows if r.item == "removed"},
+            frozenset((r.data_run, r.data_part) for r in rows if r.item == "dropped"),
+        )
+
+    def _committed(self) -> tuple[int, dict[str, list[Part]]]:
+        """The last run, and the live parts of documents and of lines: each run's commit names those it wrote."""
+        state = self._state()
+        parts: dict[str, list[Part]] = {"document": [], "line": []}
+        if state.batches:
+            commits = self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
+            named = commits.where(F.col("run").isin(list(state.batches)) & F.col("item").isin(list(parts)))
+            # At most MAX_PARTS per table and live run.
+            for item, run, part in named.select("item", "data_run", "data_part").collect():
+                if (run, part) not in state.dropped:
+                    parts[item].append((run, part))
+        return state.run, parts
+
+    def _live(self, table: str, state: State, runs: Iterable[int] | None = None, without: Iterable[Part] = ()) -> DataFrame:
+        """Rows of ``runs`` (by default of all live ones) that hold."""
+        runs = sorted(state.batches if runs is None else runs)
+        if table == "postings":
+            folder, schema, paths = "postings", POSTINGS, sorted(state.batches[r].path for r in runs)
+        else:
+            folder, schema, paths = "store", STORE, [f"run={r}" for r in runs]
         if not paths:
             # Known to be empty when planning already.
             return self.spark.createDataFrame([], schema).where(F.lit(False))
-        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{folder}").parquet(*paths)
+        paths = [f"{self.root}/{folder}/{p}" for p in paths]
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/{folder}").parquet(*paths)
+        if folder == "store":
+            rows = rows.where(F.col("kind") == table)
+        for run, part in sorted(state.dropped.union(without)):
+            rows = rows.where((F.col("run") != run) | (F.col("part") != part))
+        return self._without_removed(rows, state)
+
+    def _without_removed(self, rows: DataFrame, state: State) -> DataFrame:
+        """Leave out rows of documents that a later run removed or replaced; how many those are is known."""
+        n, size = (sum(x[i] for x in state.removed.values()) for i in (0, 1))
+        if not n:
+            return rows
+        removed = self._removed(state).select(F.col("doc_id").alias("_gone"), "removed_run")
+        if n <= MAX_ROWS and size + 16 * n <= MAX_BYTES:
+            removed = F.broadcast(removed)
+        return rows.join(removed, (rows["doc_id"] == removed["_gone"]) & (rows["run"] < removed["removed_run"]), "left_anti")
+
+    def _removed(self, state: State) -> DataFrame:
+        """``(doc_id, removed_run, sequence)``: the last removal of each document."""
+        if not state.removed:
+            return self.spark.createDataFrame([], REMOVED).where(F.lit(False)).select("doc_id", "removed_run", "sequence")
+        paths = [f"{self.root}/removed/run={run}" for run in sorted(state.removed)]
+        rows = self.spark.read.schema(REMOVED).option("basePath", f"{self.root}/removed").parquet(*paths)
+        return rows.groupBy("doc_id").agg(F.max("removed_run").alias("removed_run"), F.max("sequence").alias("sequence"))
+
+    def _read_parts(self, table: str, parts: Iterable[Part]) -> DataFrame:
+        paths = [f"{self.root}/store/run={run}/kind={table}/part={part}" for run, part in parts]
+        return self.spark.read.schema(STORE).option("basePath", f"{self.root}/store").parquet(*paths)
 
     def _damaged(self, table: str, parts: Iterable[Part]) -> set[Part]:
         """Parts with missing or corrupt files: none by one job, else by halving where it fails."""
         parts = sorted(parts)
-        if _is_readable(lambda: self._read(table, parts)):
+        if not parts or _is_readable(lambda: self._read_parts(table, parts)):
             return set()
         if len(parts) == 1:
             return set(parts)
@@ -153,10 +242,8 @@ class TextIndex:
 
     def _read_run(self, table: str, run: int) -> DataFrame:
         """What run ``run`` has written so far, committed or not."""
-        folder, schema = ("postings", POSTINGS) if table == "postings" else ("store", STORE)
-        base = f"{self.root}/{folder}"
-        rows = self.spark.read.schema(schema).option("basePath", base).parquet(f"{base}/run={run}")
-        return rows if table == "postings" else rows.where(F.col("kind") == table)
+        base = f"{self.root}/store"
+        return self.spark.read.schema(STORE).option("basePath", base).parquet(f"{base}/run={run}").where(F.col("kind") == table)
 
     # -- writing ----------------------------------------------------------
 
@@ -166,29 +253,27 @@ class TextIndex:
         With ``partial`` the listing only names changes: documents it does not
         mention stay, and those flagged ``deleted`` go.
         """
-        last, live = self._committed()
-        run = last + 1
-        listing = corpus.listing if live["document"] else names_only(corpus.listing)
+        if not partial:
+            self._repair_postings()
+        state = self._state()
+        run = state.run + 1
+        listing = corpus.listing if state.batches else names_only(corpus.listing)
         # Grouping by name leaves the rows where the comparison with the manifest needs them.
         names = self._materialize(one_row_per_name(listing), f"names/run={run}")
         named = names.where(F.col("doc_id").isNotNull()).drop("copies")
         unusable: set[Part] = set()
         if partial:
             # A few changes need no shuffle of the whole manifest.
-            manifest = self._read("document", live["document"])
-            manifest = manifest.join(broadcast_if_small(named.select("doc_id")), "doc_id", "left_semi")
+            manifest = self._live("document", state).join(broadcast_if_small(named.select("doc_id")), "doc_id", "left_semi")
         else:
-            unknown = self._damaged("document", live["document"])
-            known = [part for part in live["document"] if part not in unknown]
-            unusable = unknown | self._damaged("line", live["line"])
+            parts = self._committed()[1]
+            unknown = self._damaged("document", parts["document"])
+            unusable = unknown | self._damaged("line", set(parts["line"]) - unknown)
+            intact = {r for r, _ in set(parts["document"]) - unknown}
             # Nothing of a damaged part stays: its documents are read again, or have failed.
-            live = {table: [part for part in parts if part not in unusable] for table, parts in live.items()}
             at = F.concat_ws(":", "run", "part")
             usable = ~at.isin([f"{r}:{p}" for r, p in unusable]) if unusable else F.lit(True)
-            manifest = self._read("document", known).withColumn("usable", usable)
-            damaged = self._damaged("postings", live["postings"])
-            if damaged:
-                self.rebuild_postings(damaged)
+            manifest = self._live("document", state, intact, unknown).withColumn("usable", usable)
         plan = self._materialize(classify(named, manifest, partial), f"plan/run={run}")
         attempted = F.col("action").isin("new", "updated")
         todo = plan.agg(
@@ -199,6 +284,7 @@ class TextIndex:
         ).first()
 
         indexed = self.spark.createDataFrame([], "doc_id string")
+        wrote: tuple[Batch, list[tuple[str, int]]] | None = None
         if todo.attempted:
             documents = corpus.documents
             if corpus.pruned_by_mtime:
@@ -209,70 +295,185 @@ class TextIndex:
             repeated = names.where((F.col("copies") > 1) & F.col("doc_id").isNotNull()).select("doc_id")
             if not repeated.isEmpty():
                 documents = _without_repeats(documents, repeated)
-            self._index_documents(documents, run)
-            indexed = self._read_run("document", run).select("doc_id")
+            wrote = self._index_documents(documents, run)
+            if wrote is not None:
+                indexed = self._read_run("document", run).select("doc_id")
         settled = settle_failures(plan, indexed).unionByName(surplus_rows(names), allowMissingColumns=True)
         actions = self._materialize(settled, f"actions/run={run}")
 
-        replaced = actions.where(F.col("action").isin("updated", "deleted") & F.col("usable"))
-        # At most as many rows as there are live parts.
-        rewritten = replaced.select(F.col("old_run").alias("data_run"), F.col("old_part").alias("data_part")).distinct()
-        affected = {tuple(row) for row in rewritten.collect()}
-        self._keep_others(live, affected, replaced.select("doc_id"), run, append=bool(todo.attempted))
-        keep = self._commit_rows(last if live["document"] else 0)
-        if affected or unusable:
-            gone = self.spark.createDataFrame(sorted(affected | unusable), "data_run bigint, data_part int")
-            keep = keep.join(broadcast_if_small(gone), ["data_run", "data_part"], "left_anti")
-        self._commit(run, keep, wrote=bool(todo.attempted or affected))
+        replaced = actions.where(F.col("action").isin("updated", "deleted") & F.col("usable")).select("doc_id")
+        void = replaced.withColumn("sequence", F.lit(None).cast("long"))
+        if "sequence" in named.columns:
+            # A deletion is kept with its place in the order of changes, also if there was nothing to delete.
+            deleted = named.where("deleted").select("doc_id", "sequence")
+            void = replaced.join(deleted, "doc_id", "full_outer")
+        removed = {} if void.isEmpty() else self._write_removed(void, run)
+        dropped = state.dropped | unusable
+        batches = dict(state.batches)
+        if unusable:
+            left = {r for r, _ in set(parts["document"]) - unusable}
+            batches = {r: b for r, b in batches.items() if r in left}
+        if wrote is not None:
+            batches[run] = wrote[0]
+        dropped = frozenset((r, p) for r, p in dropped if r in batches)
+        after = State(run, batches, state.removed | removed, dropped)
+        self._commit(after, wrote[1] if wrote else [])
+        self._merge_tiers(after)
         return build_summary(actions)
 
-    def apply_changes(self, changes: DataFrame) -> DataFrame:
-        """Upsert and delete by change rows ``(doc_id, text [, deleted])``, one row per document."""
-        return self.sync(table_corpus(changes), partial=True)
+    def apply_changes(self, changes: DataFrame, order: Column | None = None) -> DataFrame:
+        """Upsert and delete by change rows ``(doc_id, text [, deleted])``.
 
-    def rebuild_postings(self, parts: Iterable[Part] | None = None) -> None:
-        """Write the postings of ``parts`` again, by default of all, from the stored lines.
-
-        Other parts are not touched, so their readers see no change.
+        With ``order``, a whole number or a time, the last row of each document
+        counts, and only if the index knows none of later order; deletions are
+        remembered for that. Without, there is one row per document.
+        """
+        if order is None:
+            return self.sync(table_corpus(changes), partial=True)
+        latest = latest_rows(changes.withColumn("sequence", _as_long(changes, order)), F.col("sequence"))
+        state = self._state()
+        stored = self._live("document", state).select("doc_id", "sequence")
+        known = stored.unionByName(self._removed(state).select("doc_id", "sequence")).where("sequence IS NOT NULL")
+        named = latest.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("sequence").alias("_sequence"))
+        known = known.join(broadcast_if_small(named), "doc_id").where("sequence > _sequence").select("doc_id")
+        late = self._materialize(known.distinct(), f"late/run={state.run + 1}")
+        current = latest.withColumn("doc_id", F.col("doc_id").cast("string"))
+        return self.sync(table_corpus(current.join(broadcast_if_small(late), "doc_id", "left_anti")), partial=True)
+
+    def rebuild_postings(self, runs: Iterable[int] | None = None) -> None:
+        """Write the postings of ``runs`` again, by default of all, from the stored lines.
+
+        They go to new folders; readers of the last commit see no change.
         """
-        live = self._committed()[1]["line"]
-        lines = self._served("line", live if parts is None else set(parts).intersection(live))
-        rows = self._postings_of(lines, "run", "part")
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        with _files_at_once(self.spark):
-            writer.partitionBy("run", "part").parquet(f"{self.root}/postings")
+        state = self._state()
+        batches, last = dict(state.batches), state.run
+        for run in sorted(batches if runs is None else set(runs).intersection(batches)):
+            last += 1
+            lines = self._live("line", state, [run]).where((F.col("index_version") == INDEX_VERSION) & F.col("doc_id").isNotNull())
+            batches[run] = self._write_postings(self._postings_of(lines), last, self._text_size(state, [run]))
+        if last > state.run:
+            self._commit(State(last, batches, state.removed, state.dropped), [])
+
+    def _repair_postings(self) -> None:
+        """Rebuild postings that are missing, corrupt or fewer than were written."""
+        state = self._state()
+        if not state.batches:
+            return
+        expected = sum(batch.n for batch in state.batches.values())
+        rows = lambda runs: lambda: self._read_batches(state, runs)
+        if _is_readable(rows(state.batches), expected):
+            return
+        damaged = [r for r, batch in state.batches.items() if not _is_readable(rows([r]), batch.n)]
+        self.rebuild_postings(damaged)
+
+    def _read_batches(self, state: State, runs: Iterable[int]) -> DataFrame:
+        paths = [f"{self.root}/postings/{state.batches[r].path}" for r in runs]
+        return self.spark.read.schema(POSTINGS).option("basePath", f"{self.root}/postings").parquet(*paths)
 
     def compact(self) -> None:
-        """Gather the parts of all runs into one run, for an index grown by many small ones."""
-        last, live = self._committed()
-        everything = set(live["document"])
-        total = self.manifest.agg(F.sum("size")).first()[0] or 0
-        parts = min(MAX_PARTS, 1 + total // PART_BYTES)
-        nothing = self.spark.createDataFrame([], "doc_id string")
-        self._keep_others(live, everything, nothing, last + 1, append=False, gather_into=parts)
-        self._commit(last + 1, self._commit_rows(0), wrote=bool(everything))
+        """Gather the parts of all runs into one run, without any row that no longer holds."""
+        state = self._state()
+        if state.batches:
+            self._merge(state, list(state.batches))
+
+    def purge(self, unused_for: timedelta = timedelta(days=7)) -> None:
+        """Remove the rows of deleted and replaced documents from the disk.
+
+        Runs with such rows are written again without them. Folders that the last
+        commit does not name are removed once they have been unused for the given
+        time; readers of older commits have so long to finish. Work tables and
+        folders that an unfinished run may still write are kept as long.
+        """
+        state = self._state()
+        affected = self._void_runs(state)
+        if affected:
+            state = self._merge(state, affected)
+        named = {
+            "store": {f"run={r}" for r in state.batches},
+            "postings": {f"batch={batch.folder}" for batch in state.batches.values()},
+            "removed": {f"run={r}" for r in state.removed},
+            "commits": {f"run={r}" for r in (*state.batches, state.run)},
+            "names": set(), "plan": set(), "late": set(),
+        }
+        jvm = self.spark._jvm
+        top = jvm.org.apache.hadoop.fs.Path(self.root)
+        files = top.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        before = jvm.java.lang.System.currentTimeMillis() - int(unused_for.total_seconds() * 1000)
+        for table, used in named.items():
+            # One status per run.
+            for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(top, f"{table}/*")) or []:
+                name = status.getPath().getName()
+                if name not in used and status.getModificationTime() <= before and int(name.split("=")[1]) <= state.run:
+                    files.delete(status.getPath(), True)
+
+    def _void_runs(self, state: State) -> list[int]:
+        """Runs with rows that no longer hold, or with dropped parts."""
+        whole = self._live("document", State(state.run, state.batches, {}, state.dropped))
+        removed = self._removed(state).select("doc_id", "removed_run")
+        void = whole.join(broadcast_if_small(removed), "doc_id").where("run < removed_run") if state.removed else None
+        # At most one row per live run.
+        found = {r.run for r in void.select("run").distinct().collect()} if void is not None else set()
+        return sorted(found | {r for r, _ in state.dropped})
+
+    def _merge_tiers(self, state: State) -> None:
+        """Merge runs of one tier when there are ``FANOUT`` of them."""
+        while True:
+            tiers: dict[int, list[int]] = {}
+            for run, batch in state.batches.items():
+                tier = 0
+                while batch.n >= TIER_ROWS * FANOUT**tier:
+                    tier += 1
+                tiers.setdefault(tier, []).append(run)
+            full = [runs for runs in tiers.values() if len(runs) >= FANOUT]
+            if not full:
+                return
+            state = self._merge(state, full[0])
+
+    def _merge(self, state: State, runs: list[int]) -> State:
+        """Write what holds of ``runs`` as one new run."""
+        run = state.run + 1
+        size = self._text_size(state, runs)
+        parts = min(MAX_PARTS, 1 + size // PART_BYTES)
+        place = F.pmod(F.xxhash64("run", "part"), F.lit(parts)).cast("int")
+        tables = [self._live(t, state, runs).withColumn("part", place).drop("run") for t in ("document", "line")]
+        self._overwrite(tables[0].unionByName(tables[1]).hint("rebalance", "kind", "part"), f"{self.root}/store/run={run}", "kind", "part")
+        postings = self._live("postings", state, runs).where(F.col("run").isin(runs)).withColumn("part", place).withColumn("run", F.lit(run).cast("long"))
+        batches = {r: b for r, b in state.batches.items() if r not in runs} | {run: self._write_postings(postings, run, size)}
+        # A removal matters while an earlier run is left, or for the order of changes to come.
+        earliest = min(batches)
+        left = self._removed(state).where((F.col("removed_run") > earliest) | F.col("sequence").isNotNull()) if state.removed else None
+        removed = self._write_removed(left, run) if left is not None else {}
+        after = State(run, batches, removed, frozenset(p for p in state.dropped if p[0] in batches))
+        self._commit(after, self._written_parts(run))
+        return after
+
+    def _text_size(self, state: State, runs: Iterable[int]) -> int:
+        return self._live("document", state, runs).agg(F.sum("size")).first()[0] or 0
 
     def _materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Write a table of the run and read it back: later steps see one fixed state."""
         self._overwrite(df, f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
-    def _overwrite(self, df: DataFrame, path: str, *partitions: str, append: bool = False) -> None:
-        writer = df.write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "static")
+    def _overwrite(self, df: DataFrame, path: str, *partitions: str) -> None:
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partitions:
             writer = writer.partitionBy(*partitions)
         with _files_at_once(df.sparkSession):
             writer.parquet(path)
 
-    def _index_documents(self, documents: DataFrame, run: int) -> None:
-        """Lines and postings of the readable documents, each text read once."""
+    def _index_documents(self, documents: DataFrame, run: int) -> tuple[Batch, list[tuple[str, int]]] | None:
+        """Lines and postings of the readable documents, each text read once; the postings' place, and the parts. None if there are no such documents."""
         readable = documents.where(F.col("text").isNotNull())
+        if "sequence" not in readable.columns:
+            readable = readable.withColumn("sequence", F.lit(None).cast("long"))
+        about = [*FINGERPRINT, "sequence"]
         arrays = with_line_arrays(readable, self.split_mode, self.fold_mode)
         # Element 0 stands for the document itself, which so exists even without lines.
         elements = F.concat(F.array(F.lit(None).cast("string")), "_lines")
         rows = arrays.select(
             "doc_id",
-            *FINGERPRINT,
+            *about,
             (F.spark_partition_id() % MAX_PARTS).alias("part"),
             "_start",
             "_end",
@@ -284,67 +485,79 @@ class TextIndex:
             "line_no",
             "line",
             (~is_document & is_searchable(F.col("line_no"))).alias("searchable"),
-            *[F.when(is_document, F.col(c)).alias(c) for c in FINGERPRINT],
+            *[F.when(is_document, F.col(c)).alias(c) for c in about],
             F.lit(INDEX_VERSION).alias("index_version"),
             F.when(is_document, "document").otherwise("line").alias("kind"),
             "part",
         )
         self._overwrite(stored, f"{self.root}/store/run={run}", "kind", "part")
-        fresh = self._postings_of(self._read_run("line", run), "part")
-        self._overwrite(fresh, f"{self.root}/postings/run={run}", "part")
-
-    def _postings_of(self, lines: DataFrame, *location: str) -> DataFrame:
-        lines = lines.select("doc_id", "line_no", "line", "searchable", "index_version", *location)
-        return _by_term(line_postings(lines, self.fold_mode, self.stopwords))
-
-    def _keep_others(
-        self,
-        live: dict[str, list[Part]],
-        affected: set[Part],
-        replaced: DataFrame,
-        run: int,
-        append: bool,
-        gather_into: int = 0,
-    ) -> None:
-        """Carry the rows of all other documents of the affected parts over to ``run``.
-
-        Rows stay where they are read, unless they are to be gathered into fewer parts.
-        """
-        if not affected:
-            return
-        replaced = broadcast_if_small(replaced)
-        for table, folder, partitions in (
-            ("document", "store", ("kind", "part")),
-            ("line", "store", ("kind", "part")),
-            ("postings", "postings", ("part",)),
-        ):
-            kept = self._read(table, affected.intersection(live[table])).join(replaced, "doc_id", "left_anti")
-            if gather_into:
-                part = F.pmod(F.xxhash64("run", "part"), F.lit(gather_into)).cast("int")
-                kept = kept.withColumn("part", part).hint("rebalance", "part")
-            kept = kept.drop("run")
-            if table == "postings":
-                kept = _by_term(kept)
-            # The lines join the documents' folder; otherwise a run starts afresh.
-            self._overwrite(kept, f"{self.root}/{folder}/run={run}", *partitions, append=append or table == "line")
-
-    def _commit(self, run: int, keep: DataFrame, wrote: bool) -> None:
-        """Publish ``run``: the kept rows of the last commit and the parts written since."""
-        location = ["table", "data_run", "data_part"]
-        # A row of NULLs, so that an empty index has a commit as well.
-        rows = self.spark.range(1).selectExpr("cast(NULL AS string)", "cast(NULL AS bigint)", "cast(NULL AS int)")
-        rows = rows.toDF(*location).unionByName(keep.select(*location))
-        for table in TABLES if wrote else ():
-            written = self._read_run(table, run).select(F.lit(table), F.col("run"), F.col("part")).distinct()
-            rows = rows.unionByName(written.toDF(*location))
-        self._overwrite(rows.coalesce(1), f"{self.root}/commits/run={run}")
-
-    def _commit_rows(self, run: int) -> DataFrame:
-        """Live parts as of a commit: ``(table, data_run, data_part)``."""
-        if run == 0:
-            return self.spark.createDataFrame([], COMMITS)
-        commits = self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
-        return commits.where((F.col("run") == run) & F.col("table").isNotNull())
+        parts = self._written_parts(run)
+        if not parts:
+            return None
+        size = self._read_run("document", run).agg(F.sum("size")).first()[0] or 0
+        return self._write_postings(self._postings_of(self._read_run("line", run)), run, size), parts
+
+    def _written_parts(self, run: int) -> list[tuple[str, int]]:
+        """``(table, part)`` of what a run has written, by the names of its folders."""
+        base = f"{self.root}/store/run={run}"
+        files = self.spark.read.schema(STORE).option("basePath", f"{self.root}/store").parquet(base).inputFiles()
+        return sorted({(t, int(n)) for f in files for t, n in re.findall(r"/kind=(\w+)/part=(\d+)/", f)})
+
+    def _postings_of(self, lines: DataFrame) -> DataFrame:
+        lines = lines.select("doc_id", "line_no", "line", "searchable", "index_version", "run", "part")
+        return line_postings(lines, self.fold_mode, self.stopwords)
+
+    def _write_postings(self, postings: DataFrame, folder: int, text_size: int) -> Batch:
+        """Write postings by bucket; the one shuffle of a build."""
+        buckets = 1
+        while buckets * BUCKET_BYTES < text_size and buckets < MAX_BUCKETS:
+            buckets *= 2
+        columns = ["term", "doc_id", "line_no", "pos", "index_version", "run", "part"]
+        bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+        rows = postings.select(*columns, bucket.alias("bucket"))
+        # Small buckets share a task and a bucket with a common word is split over several, both at run time.
+        rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
+        batch = Batch(folder, buckets, 0)
+        path = f"{self.root}/postings/{batch.path}"
+        self._overwrite(rows, path, "bucket")
+        written = self.spark.read.schema(POSTINGS).option("basePath", f"{self.root}/postings").parquet(path)
+        return replace(batch, n=written.count())
+
+    def _write_removed(self, void: DataFrame, run: int) -> dict[int, tuple[int, int]]:
+        """Keep ``(doc_id, sequence)`` as removed by ``run``, unless the rows say by which; how many and how long they are."""
+        by = F.col("removed_run") if "removed_run" in void.columns else F.lit(run).cast("long")
+        rows = self._materialize(void.select("doc_id", "sequence", by.alias("removed_run")), f"removed/run={run}")
+        found = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("doc_id")).alias("bytes")).first()
+        return {run: (found.n, found.bytes or 0)} if found.n else {}
+
+    def _commit(self, state: State, parts: list[tuple[str, int]]) -> None:
+        """Publish ``state`` and the parts that its run wrote."""
+        rows: list[tuple] = [(None,) * 6]  # so that an empty index has a commit as well
+        rows += [("run", r, b.buckets, b.folder, b.n, None) for r, b in state.batches.items()]
+        rows += [("removed", r, None, None, n, size) for r, (n, size) in state.removed.items()]
+        rows += [("dropped", r, p, None, None, None) for r, p in state.dropped]
+        rows += [(table, state.run, p, None, None, None) for table, p in parts]
+        schema = COMMITS.removesuffix(", run bigint")
+        self._overwrite(self.spark.createDataFrame(rows, schema).coalesce(1), f"{self.root}/commits/run={state.run}")
+
+
+def _runs_of(table: DataFrame) -> list[int]:
+    """Runs with a folder, by the names of their files; reads none."""
+    return sorted({int(n) for f in table.inputFiles() for n in re.findall(r"/run=(\d+)/[^/]*$", f)})
+
+
+def latest_rows(changes: DataFrame, order: Column) -> DataFrame:
+    """The last row of each document; a plain aggregate, so map-side combined."""
+    rest = [c for c in changes.columns if c != "doc_id"]
+    latest = changes.groupBy("doc_id").agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    return latest.select("doc_id", *[F.col(f"_row.{c}").alias(c) for c in rest])
+
+
+def _as_long(changes: DataFrame, order: Column) -> Column:
+    kind = changes.select(order.alias("_order")).schema["_order"].dataType.simpleString()
+    if kind == "date":
+        order, kind = order.cast("timestamp"), "timestamp"
+    return F.unix_micros(order.cast("timestamp")) if kind.startswith("timestamp") else order.cast("long")
 
 
 def _without_skipped(documents: DataFrame, plan: DataFrame, attempted: Column) -> DataFrame:
@@ -356,11 +569,6 @@ def _without_skipped(documents: DataFrame, plan: DataFrame, attempted: Column) -
     return documents.join(broadcast_if_small(changed), "doc_id", "left_semi")
 
 
-def _by_term(postings: DataFrame) -> DataFrame:
-    """Sort the rows of each file by word, so a lookup skips row groups; no shuffle."""
-    return postings.sortWithinPartitions("term")
-
-
 @contextmanager
 def _files_at_once(spark: SparkSession) -> Iterator[None]:
     """Let a task write its few parts side by side, instead of sorting all its rows by part first.
@@ -384,17 +592,17 @@ def _without_repeats(documents: DataFrame, repeated: DataFrame) -> DataFrame:
     return once.unionByName(chosen)
 
 
-def _is_readable(open_table: Callable[[], DataFrame]) -> bool:
-    """Are all files there and intact? Counting rows reads file footers only.
+def _is_readable(open_table: Callable[[], DataFrame], expected: int | None = None) -> bool:
+    """Are all files there and intact, with as many rows as expected? Counting rows reads file footers only.
 
     Any error but that of missing or corrupt files is raised: a lost executor
     or a denied read is no damage.
     """
     try:
-        open_table().agg(F.count(F.lit(1))).first()
+        found = open_table().agg(F.count(F.lit(1))).first()[0]
     except (PySparkException, Py4JJavaError) as error:
         message = str(error)
         if any(sign in message for sign in DENIED) or not any(sign in message for sign in DAMAGE):
             raise
         return False
-    return True
+    return expected is None or found == expected

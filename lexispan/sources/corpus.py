@@ -43,7 +43,8 @@ def table_corpus(docs: DataFrame, verify_content: bool = True) -> Corpus:
 
     The fingerprint is the size and a hash of the content, plus ``mtime`` if the
     table has one; with ``verify_content=False`` it is ``mtime`` alone, so that a
-    comparison reads no text. Rows of a change table may be flagged ``deleted``.
+    comparison reads no text. Rows of a change table may be flagged ``deleted``
+    and have a ``sequence``, their place in the order of changes.
     Rows without ``doc_id`` are listed, and so count as failed, but not read.
     """
     if not verify_content and "mtime" not in docs.columns:
@@ -52,6 +53,7 @@ def table_corpus(docs: DataFrame, verify_content: bool = True) -> Corpus:
     raw = F.col("content" if is_binary else "text")
     mtime = F.col("mtime") if "mtime" in docs.columns else F.lit(None)
     deleted = F.coalesce("deleted", F.lit(False)) if "deleted" in docs.columns else F.lit(False)
+    sequence = ["sequence"] if "sequence" in docs.columns else []
     documents = docs.select(
         F.col("doc_id").cast("string").alias("doc_id"),
         valid_text(raw, is_binary).alias("text"),
@@ -59,11 +61,12 @@ def table_corpus(docs: DataFrame, verify_content: bool = True) -> Corpus:
         F.octet_length(raw).cast("long").alias("size"),
         F.xxhash64(raw).alias("content_hash"),
         deleted.alias("deleted"),
+        *sequence,
     )
     unread = [F.lit(None).cast("long").alias(c) for c in ("size", "content_hash")]
     compared = FINGERPRINT if verify_content else ["mtime", *unread]
     present = documents.where(~F.col("deleted") & F.col("doc_id").isNotNull()).drop("deleted")
-    return Corpus(documents.select("doc_id", *compared, "deleted"), present)
+    return Corpus(documents.select("doc_id", *compared, "deleted", *sequence), present)
 
 
 def text_tree(spark: SparkSession, root: str, verify_content: bool = False) -> Corpus:

@@ -28,9 +28,9 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL: dict[str, str] = {}
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
+def materialized(df: DataFrame, **options: str) -> DataFrame:
+    """``df`` written to the shared folder (with these Parquet options) and read back: computed once, safe from lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lexispan/{spark.sparkContext.applicationId}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from lexispan.plans.index import TextIndex
@@ -14,18 +13,13 @@ def index_stream(changes: DataFrame, index: TextIndex, checkpoint: str, order: C
 
     Returns the writer, so the caller picks the trigger and starts it. A batch
     that is replayed after a failure finds its documents unchanged and skips
-    them. If a document may occur twice in a batch, ``order`` says which row is
-    the latest.
+    them. If a document may occur more than once, ``order`` (a whole number or a
+    time) says which row is the latest, within a batch and across all of them: a
+    row that comes after one of later order is left out, also if that one was a
+    deletion.
     """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        index.apply_changes(latest_rows(batch, order) if order is not None else batch).collect()
+        index.apply_changes(batch, order).collect()
 
     return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-
-
-def latest_rows(changes: DataFrame, order: Column) -> DataFrame:
-    """The last row of each document; a plain aggregate, so map-side combined."""
-    rest = [c for c in changes.columns if c != "doc_id"]
-    latest = changes.groupBy("doc_id").agg(F.max_by(F.struct(*rest), order).alias("_row"))
-    return latest.select("doc_id", *[F.col(f"_row.{c}").alias(c) for c in rest])

@@ -144,7 +144,7 @@ def test_table_corpus_against_a_fresh_build(spark, index, tmp_path):
 def test_first_build_hashes_nothing_to_compare(spark, index, tmp_path):
     spark.createDataFrame([("a", "red")], "doc_id string, text string").write.parquet(str(tmp_path / "docs"))
     listing = table_corpus(spark.read.parquet(str(tmp_path / "docs"))).listing
-    plan = classify(names_only(listing), index._read("document", []))._jdf.queryExecution().executedPlan().toString()
+    plan = classify(names_only(listing), index._live("document", index._state()))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:string>" in plan and "Join" not in plan
 
 
