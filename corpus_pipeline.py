@@ -22,10 +22,16 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; a text without letters is rejected, and so is all text if none has a label."""
+    """Documents in which a language is found, by all rows with a label; a null text or one without letters is rejected.
+
+    Without any label there is no language to find: then texts with letters stay.
+    """
     known_to_workers(spark)
-    model = language_id.fit(docs.where(~language_id.is_held_out("doc_id", 4, 2)))
-    return language_id.identify(docs, model).where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    model = language_id.fit(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language_id.identify(docs.select(F.struct("*").alias("_document"), F.col("text").alias("_text")), model, "_text")
+    return found.where(F.size("lang_spans") > 0).select("_document.*")
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
