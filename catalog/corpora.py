@@ -52,6 +52,23 @@ def later_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", text.alias("text")).unionByName(pages(spark, sf_dir))
 
 
+def ordered_changes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three waves of ``(doc_id, text, deleted, version)``: every document, then later and late ones, then late ones of deleted documents.
+
+    In the end Spanish documents are edited, French ones deleted, and all others as they were.
+    """
+    docs = named_documents(spark, sf_dir)
+    edited = F.concat("text", F.lit(APPENDIX)).alias("text")
+
+    def rows(lang: str | None, text, version: int, deleted: bool = False) -> DataFrame:
+        some = docs if lang is None else docs.where(F.col("lang") == lang)
+        return some.select("doc_id", text, F.lit(deleted).alias("deleted"), F.lit(version).alias("version"))
+
+    text, nothing = F.col("text"), F.lit(None).cast("string").alias("text")
+    second = rows("de", edited, 1).unionByName(rows("fr", nothing, 3, True)).unionByName(rows("es", edited, 3))
+    return [rows(None, text, 2), second, rows("fr", edited, 2)]
+
+
 def damaged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second state in which German documents are edited and French ones are not valid UTF-8."""
     docs = named_documents(spark, sf_dir)

@@ -31,6 +31,8 @@ PAGES = "SELECT 'p' || page_id AS doc_id, html AS text FROM pages"
 EDITED = f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id,
     CASE WHEN lang = 'de' THEN text || {literal(APPENDIX)} ELSE text END AS text FROM documents"""
 LATER = f"{EDITED} UNION ALL {PAGES}"
+IN_ORDER = f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN lang = 'es' THEN text || {literal(APPENDIX)} ELSE text END AS text
+    FROM documents WHERE lang IS DISTINCT FROM 'fr'"""
 
 
 def line_ctes(docs: str) -> str:
@@ -200,6 +202,7 @@ ORACLES: dict[str, str] = {
         FROM postings GROUP BY doc_id, term"""
     ),
     "master_index": search("SELECT DISTINCT term, doc_id, line_no, pos FROM postings"),
+    "merged_indexes": f"WITH {posting_ctes(NATIVE_DOCUMENTS)} SELECT term, doc_id, line_no, pos FROM postings",
     "term_frequency": search("SELECT doc_id, term, count(*) AS tf FROM postings GROUP BY doc_id, term"),
     "term_totals": search(TOTALS),
     "line_difference": search(f"({de.lines}) EXCEPT ({la.lines})"),
@@ -261,6 +264,9 @@ ORACLES: dict[str, str] = {
     "rebuilt_postings": search(TOTALS, LATER),
     "compacted_index": search(TOTALS, LATER),
     "streamed_arrivals": search(TOTALS),
+    "late_change": f"WITH {line_ctes(IN_ORDER)} SELECT doc_id, line_no, line FROM lines",
+    "streamed_changes": search(TOTALS, IN_ORDER),
+    "deleted_documents": "SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM documents WHERE lang IS DISTINCT FROM 'fr'",
     "text_files": f"WITH {line_ctes(TREE)} SELECT doc_id, line_no, line FROM lines",
     "fingerprints": f"SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size, CAST(2 AS BIGINT) AS index_version FROM ({TREE})",
     "repeated_names": """WITH numbered AS (SELECT doc_id AS arrival, source, row_number() OVER (ORDER BY doc_id) AS n,

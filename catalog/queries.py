@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,7 +131,13 @@ def document_index(spark, sf_dir):
 
 @query
 def master_index(spark, sf_dir):
-    return wide(P.master_index(P.document_index(corpora.searcher(spark, sf_dir).postings)))
+    """The stored table of all words, by bucket of the word; what merging the indexes of documents gives."""
+    return wide(corpora.searcher(spark, sf_dir).table.select("term", "doc_id", "line_no", "pos"))
+
+
+@query
+def merged_indexes(spark, sf_dir):
+    return wide(P.master_index(P.document_index(line_postings(document_text_lines(spark, sf_dir)))))
 
 
 @query
@@ -274,7 +281,7 @@ def report(spark, sf_dir):
     """All a search shows: statistics, the summary, and the listing in order."""
     hits = group_query(spark, sf_dir)
     shown = search_report(hits)
-    listing = with_rank(results.result_lines(hits), results.name_order(), "ordinal")
+    listing = with_rank(results.result_lines(shown.hits), results.name_order(), "ordinal")
     statistics = shown.statistics.select("section", F.col("ordinal").cast("bigint").alias("ordinal"), "text")
     message = shown.summary.select(F.lit("summary").alias("section"), F.col("occurrences").alias("ordinal"), F.col("message").alias("text"))
     found = listing.select(F.lit("line").alias("section"), "ordinal", F.col("result").alias("text"))
@@ -374,6 +381,48 @@ def streamed_arrivals(spark, sf_dir):
     return P.term_totals(index.postings)
 
 
+def changed_in_order(spark, sf_dir, name: str) -> TextIndex:
+    """An index after waves of changes, some of which come too late."""
+    index = corpora.stored_index(spark, sf_dir, name)
+    if index.manifest.isEmpty():
+        for wave in corpora.ordered_changes(spark, sf_dir):
+            index.apply_changes(wave, F.col("version"))
+    return index
+
+
+@query
+def late_change(spark, sf_dir):
+    return wide(changed_in_order(spark, sf_dir, "ordered").lines.select("doc_id", "line_no", "line"))
+
+
+@query
+def streamed_changes(spark, sf_dir):
+    """The same waves as a stream: new, changed, deleted and late documents."""
+    index = corpora.stored_index(spark, sf_dir, "streamed_changes")
+    arriving = corpora.scratch(spark, sf_dir, "waves")
+    progress = corpora.scratch(spark, sf_dir, "waves_progress")
+    if index.manifest.isEmpty():
+        for wave in corpora.ordered_changes(spark, sf_dir):
+            wave.write.mode("append").parquet(arriving)
+            changes = spark.readStream.schema(wave.schema).parquet(arriving)
+            stream = index_stream(changes, index, progress, order=F.col("version"))
+            stream.trigger(availableNow=True).start().awaitTermination()
+    return P.term_totals(index.postings)
+
+
+@query
+def deleted_documents(spark, sf_dir):
+    """Documents of which anything is left on the disk after some were deleted and purged."""
+    index = corpora.stored_index(spark, sf_dir, "purged")
+    if index.manifest.isEmpty():
+        docs = corpora.named_documents(spark, sf_dir)
+        index.sync(table_corpus(docs.select("doc_id", "text")))
+        index.apply_changes(docs.where(F.col("lang") == "fr").select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(True).alias("deleted")))
+        index.purge(timedelta(0))
+    tables = [spark.read.parquet(f"{index.root}/{folder}").select("doc_id") for folder in ("store", "postings")]
+    return tables[0].unionByName(tables[1]).distinct()
+
+
 @query
 def text_files(spark, sf_dir):
     """Documents written as .txt files, one each, then read back as a tree."""

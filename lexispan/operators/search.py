@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexispan.operators.keys import fits, is_small, measures
+from lexispan.sources.workspace import materialized
 
 LINE_KEY = ["doc_id", "line_no"]
 SPAN = ["doc_id", "line_no", "start_pos", "end_pos"]
@@ -119,10 +120,13 @@ class Hits:
         lengths: frozenset[int],
         alternatives: Callable[[], tuple[tuple[str, ...], ...]],
         phrases: Callable[[], tuple[tuple[str, ...], ...]],
+        again: Callable[[Searcher], Hits],
         has_not: bool = False,
         slots: tuple[frozenset[str], ...] | None = None,
     ) -> None:
         self.searcher = searcher
+        #: the same search by another searcher
+        self.on = again
         self._spans = spans
         self._line_set = line_set
         self._alternatives = alternatives
@@ -164,6 +168,18 @@ class Hits:
     def line_set(self) -> LineSet:
         return self._line_set()
 
+    def settled(self) -> Hits:
+        """The same search with all it needs written once: its words' postings, its spans and its line keys.
+
+        For several looks at one result: none of them reads the index again, but for the text of lines.
+        """
+        searcher = self.searcher
+        postings = materialized(with_terms(searcher.table, self.words).drop("buckets", "bucket"))
+        hits = self.on(Searcher(searcher.line_table, postings, searcher.fold_mode, searcher.stored))
+        hits.placed_spans = materialized(hits.placed_spans)
+        hits.line_set = LineSet(materialized(hits.line_set.keys), hits.line_set.excluded)
+        return hits
+
     @cached_property
     def lines(self) -> DataFrame:
         """``(doc_id, line_no)``, each matching line once."""
@@ -204,6 +220,7 @@ class Searcher:
             lengths=frozenset([1]),
             alternatives=lambda: ((term,),),
             phrases=tuple,
+            again=lambda searcher: searcher.word(word),
         )
 
     def adjacent(self, *parts: Hits | str) -> Hits:
@@ -228,6 +245,7 @@ class Searcher:
             lengths=frozenset(),
             alternatives=tuple,
             phrases=lambda: inner.phrases,
+            again=lambda searcher: searcher.none_of(inner.on(searcher)),
             has_not=True,
         )
 
@@ -240,6 +258,7 @@ class Searcher:
             line_set=lambda: left.line_set.intersect(right.line_set),
             has_not=left.has_not or right.has_not,
             lengths=left.lengths | right.lengths,
+            again=lambda searcher: searcher.both_lines(left.on(searcher), right.on(searcher)),
             **self._paired(left, right),
         )
 
@@ -266,7 +285,7 @@ class Searcher:
     def _adjacent(self, left: Hits, right: Hits) -> Hits:
         if left.has_not or right.has_not:
             return self.both_lines(left, right)
-        described = self._paired(left, right)
+        described = self._paired(left, right) | {"again": lambda searcher: searcher.adjacent(left.on(searcher), right.on(searcher))}
         described["lengths"] = frozenset(a + b for a, b in product(left.lengths, right.lengths))
         if left.slots and right.slots and len(left.slots) + len(right.slots) <= MAX_SLOTS:
             return self._slot_hits(left.slots + right.slots, **described)
@@ -284,6 +303,7 @@ class Searcher:
             "lengths": left.lengths | right.lengths,
             "alternatives": lambda: left.alternatives + right.alternatives,
             "phrases": lambda: left.phrases + right.phrases,
+            "again": lambda searcher: searcher.any_of(left.on(searcher), right.on(searcher)),
         }
         if left.slots and right.slots and len(left.slots) == len(right.slots) == 1:
             return self._slot_hits((left.slots[0] | right.slots[0],), **described)

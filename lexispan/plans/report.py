@@ -20,6 +20,8 @@ class SearchReport:
     summary: DataFrame
     #: ``(doc_id, line_no, line, result)`` in display order
     lines: DataFrame
+    #: the search itself, read from what was written for the report
+    hits: Hits
 
 
 def statistics(hits: Hits) -> DataFrame:
@@ -30,7 +32,8 @@ def statistics(hits: Hits) -> DataFrame:
     )
 
 
-def summary(hits: Hits) -> DataFrame:
+def summary(hits: Hits, query: str | None = None) -> DataFrame:
+    """One row; a search without a match is named by ``query``, if that is given."""
     spans = hits.spans.select(F.lit(1).alias("span"), F.lit(0).alias("line"))
     lines = hits.lines.select(F.lit(0).alias("span"), F.lit(1).alias("line"))
     totals = spans.unionByName(lines).agg(
@@ -38,9 +41,12 @@ def summary(hits: Hits) -> DataFrame:
         F.coalesce(F.sum("line"), F.lit(0)).alias("matching_lines"),
     )
     found = F.format_string("Found %d matching line(s).", "matching_lines")
-    message = F.when(F.col("matching_lines") > 0, found).otherwise("No results found.")
+    nothing = "No results found." if query is None else f"No results found for: {query}"
+    message = F.when(F.col("matching_lines") > 0, found).otherwise(nothing)
     return totals.withColumn("message", message)
 
 
-def search_report(hits: Hits) -> SearchReport:
-    return SearchReport(statistics(hits), summary(hits), results.ordered_results(hits))
+def search_report(hits: Hits, query: str | None = None) -> SearchReport:
+    """Every section of one search, from one scan of the index."""
+    hits = hits.settled()
+    return SearchReport(statistics(hits), summary(hits, query), results.ordered_results(hits), hits)

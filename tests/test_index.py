@@ -1,6 +1,6 @@
 import os
 import shutil
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -405,3 +405,153 @@ def test_an_oversize_file_fails_alone(spark, tree, index, verify):
     finally:
         spark.conf.unset(name)
     assert set(texts(index)) == set(PEOPLE)
+
+
+# -- runs, buckets and places ---------------------------------------------------
+
+
+def scans(df):
+    """The file scans of a plan, run without adaptive execution, by the folder they read."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = df.select("*")
+        rows = df.collect()
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+        found = []
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            if "FileSourceScan" in leaf.getClass().getSimpleName():
+                files = leaf.metrics().get("numFiles").get().value()
+                found.append((leaf.relation().location().rootPaths().apply(0).toString(), files, leaf.verboseStringWithOperatorId()))
+        return rows, found
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def size_of(folder, *names):
+    return sum(f.stat().st_size for name in names for f in Path(folder).glob(f"{name}/**/*.parquet"))
+
+
+def many_texts(n):
+    return {f"d{i}": "\n".join(f"red w{i} x{i * 7 % 50} common{i % 10} tail{j}" for j in range(20)) for i in range(n)}
+
+
+def test_a_word_opens_one_bucket_per_run(spark, index, monkeypatch):
+    monkeypatch.setattr("lexispan.plans.index.BUCKET_BYTES", 20_000)
+    index.sync(corpus_of(spark, many_texts(300)))
+    (batch,) = index._state().batches.values()
+    assert batch.buckets >= 8
+    rows, ((folder, files, plan),) = scans(index.searcher().word("w17").spans)
+    assert len(rows) == 20 and "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters")[1].split("\n")[0]
+    assert files <= max(1, len(list(Path(index.root).glob("postings/**/*.parquet"))) // 4)
+    # However many small runs there were, few are left to open.
+    for i in range(5):
+        index.apply_changes(spark.createDataFrame([(f"new{i}", "red w17")], "doc_id string, text string"))
+    rows, found = scans(index.searcher().word("w17").spans)
+    assert len(rows) == 25 and len(index._state().batches) <= 4
+    assert sum(n for folder, n, _ in found if "postings" in folder) <= 4 + files
+
+
+def test_an_edit_writes_what_changed(spark, index):
+    texts_ = many_texts(1000)
+    index.sync(corpus_of(spark, texts_))
+    first = size_of(index.root, "store", "postings")
+    assert summary(index.sync(corpus_of(spark, texts_ | {"d5": texts_["d5"] + "\nand more"}))) == {"updated": 1, "skipped": 999}
+    assert size_of(index.root, "store", "postings", "removed") - first < 0.05 * first
+    assert texts(index)["d5"][-1] == "and more" and len(texts(index)) == 1000
+    assert len(spans(index.searcher().word("w5"))) == 20
+
+
+def test_text_is_fetched_from_the_parts_with_a_hit(spark, index):
+    rows = [(k, v) for k, v in many_texts(80).items()]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(8)
+    index.sync(table_corpus(docs))
+    parts = len(index._committed()[1]["line"])
+    assert parts >= 6
+    found, read = scans(index.searcher().adjacent("red", "w17").lines_with_text)
+    assert len(found) == 20
+    lines_read = [(files, plan) for folder, files, plan in read if "store" in folder]
+    assert [files for files, _ in lines_read] == [1]
+    assert "part" in lines_read[0][1].split("PartitionFilters")[1].split("\n")[0]
+    everything, _ = scans(index.searcher().none_of("w17").lines_with_text)
+    assert len(everything) == 79 * 20
+
+
+def test_a_phrase_follows_its_rarest_word(spark, index):
+    index.sync(corpus_of(spark, many_texts(120) | {"odd": "zebra red\nred zebra"}))
+    s = index.searcher()
+    rare = s.adjacent("zebra", "red")
+    assert spans(rare) == {("odd", 1, 0, 1)}
+    assert "LeftSemi" in rare.spans._jdf.queryExecution().optimizedPlan().toString()
+    common = s.adjacent("red", s.any_of(*[f"w{i}" for i in range(120)]))
+    assert "LeftSemi" not in common.spans._jdf.queryExecution().optimizedPlan().toString()
+    assert len(spans(common)) == 120 * 20
+    assert spans(s.adjacent("red", "nowhere")) == set() == lines(s.adjacent("nowhere", "red"))
+
+
+def test_late_rows_do_not_win(spark, index):
+    """The same document on two days, the earlier day last."""
+    schema = "doc_id string, text string, deleted boolean, day timestamp"
+
+    def arrive(*rows):
+        return summary(index.apply_changes(spark.createDataFrame([(d, t, x, datetime(2026, 1, day)) for d, t, x, day in rows], schema), F.col("day")))
+
+    assert arrive(("a", "second day", False, 2)) == {"new": 1}
+    assert arrive(("a", "first day", False, 1)) == {}
+    assert texts(index) == {"a": ["second day"]}
+    assert arrive(("a", None, True, 3), ("b", None, True, 5)) == {"deleted": 1}
+    assert arrive(("a", "too late", False, 2), ("b", "too late", False, 4)) == {}
+    assert texts(index) == {}
+    assert arrive(("a", "again", False, 4), ("b", "again", False, 6), ("b", "not this", False, 5)) == {"new": 2}
+    assert texts(index) == {"a": ["again"], "b": ["again"]}
+    # The same text on a later day: an earlier change is still too late.
+    assert arrive(("a", "again", False, 9)) == {"updated": 1}
+    assert arrive(("a", "between", False, 7)) == {}
+    index.compact()
+    assert arrive(("a", "between", False, 8), ("b", None, True, 6)) == {"deleted": 1}
+    assert texts(index) == {"a": ["again"]}
+    assert arrive(("b", "older", False, 5)) == {}
+
+
+def test_purged_documents_leave_the_disk(spark, index):
+    def stored(word):
+        read = [spark.read.parquet(f"{index.root}/store").where(F.col("line").contains(word)), spark.read.parquet(f"{index.root}/postings").where(F.col("term") == word)]
+        return [df.count() for df in read]
+
+    index.sync(corpus_of(spark, {"a": "secret red", "b": "blue", "c": "secret too"}))
+    index.sync(corpus_of(spark, {"a": "public red", "b": "blue", "d": "gold"}))
+    assert stored("secret") == [2, 2]
+    before = index.searcher()
+    old = before.word("blue")
+    index.purge(timedelta(days=1))
+    # Readers of the last commit are not disturbed while its folders are young.
+    assert spans(old) == {("b", 1, 0, 0)} and stored("secret") == [2, 2]
+    index.purge(timedelta(0))
+    assert stored("secret") == [0, 0]
+    assert texts(index) == {"a": ["public red"], "b": ["blue"], "d": ["gold"]}
+    assert {r.action for r in index.actions(2).collect()} == {"updated", "skipped", "deleted", "new"}
+    assert summary(index.sync(corpus_of(spark, {"a": "public red", "b": "blue", "d": "gold"}))) == {"skipped": 3}
+    index.purge(timedelta(0))
+    assert {f.name for f in Path(index.root).glob("store/run=*")} == {f"run={r}" for r in index._state().batches}
+
+
+def test_rebuilding_leaves_committed_folders_alone(spark, index):
+    index.sync(corpus_of(spark, {"a": "red blue", "b": "red"}))
+    before = {f: f.stat().st_mtime_ns for f in Path(index.root).glob("postings/**/*.parquet")}
+    old, expected = index.searcher(), postings(index)
+    index.rebuild_postings()
+    assert {f: f.stat().st_mtime_ns for f in before} == before and len(spans(old.word("red"))) == 2
+    assert postings(index) == expected and len(index._state().batches) == 1
+
+
+def test_runs_are_merged_by_tiers(spark, index):
+    state = {}
+    for i in range(6):
+        state[f"d{i}"] = f"red {i}"
+        state["d0"] = f"red again {i}"
+        index.sync(corpus_of(spark, state))
+    assert len(index._state().batches) < 4
+    assert texts(index) == {k: [v] for k, v in state.items()}
+    assert {r.doc_id for r in index.manifest.collect()} == set(state)
+    assert len(spans(index.searcher().word("red"))) == 6
