@@ -13,10 +13,17 @@
 4. Texts look their units up. Units up to ``HEAD`` and ``HEAD_IDS``, by frequency,
    are held by every task as sorted hashes and ids; texts with rarer ones get
    theirs by a join.
+
+A lattice of a unit has its length times the longest piece as edges, so units of
+more than ``LONGEST_UNIT`` characters (runs of letters without a space) do not
+become lattices: the task that meets one applies the merges with a heap, in
+memory of the unit's size. So it does with units whose hash another unit shares.
 """
 
 from __future__ import annotations
 
+import heapq
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -27,9 +34,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexispan.llm.textbytes import _letters, _powers, mixed, utf8_slices
+from lexispan.llm.textbytes import _letters, code_run_hashes, utf8_slices
 from lexispan.llm.workers import lean
-from lexispan.sources.workspace import materialized
+from lexispan.sources.workspace import materialized, shared_folder
 
 # Units that every task holds, some 20 bytes each without their ids, and the ids of all of them, four bytes each.
 HEAD = 4_000_000
@@ -40,8 +47,11 @@ UNITS_PER_TASK = 20_000
 # Fixed value: how a model writes a space.
 MARK = "▁"
 
-# Up to this many characters, boundaries between symbols are bits of a BIGINT.
-LONGEST_MASK = 60
+# The dictionary reaches the driver in so many pieces, one after another.
+SLICES = 8
+
+# Up to this many characters a unit is a lattice; boundaries between symbols are bits of a BIGINT.
+LONGEST_UNIT = 60
 
 
 @dataclass(frozen=True)
@@ -120,20 +130,18 @@ def _unit_batches(column: pa.Array, prefix: bool) -> Iterator[tuple]:
             codes = np.insert(codes, places[:-1][some], np.uint32(ord(MARK)))
             places = places + np.concatenate([[0], np.cumsum(np.diff(places) > 0)])
         begin, stop = unit_bounds(codes, places)
-        power, inverse = _powers(1 << max(20, (max(len(codes), 1) - 1).bit_length()))
-        total = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(mixed(codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * power[: len(codes)], out=total[1:])
-        hashes = mixed((total[stop] - total[begin]) * inverse[begin] + (stop - begin).astype(np.uint64))
-        yield first, codes, begin, stop, hashes, np.searchsorted(begin, places)
+        yield first, codes, begin, stop, code_run_hashes(codes, begin, stop), np.searchsorted(begin, places)
 
 
 def distinct_units(texts: DataFrame, prefix: bool) -> DataFrame:
-    """``(unit, h, n)``: every distinct unit of ``texts._text`` with its hash and number of occurrences."""
+    """``(unit, h, n)``: every distinct unit of ``texts._text``, but for long ones, with its hash and number of occurrences."""
 
     def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, codes, begin, stop, hashes, _ in _unit_batches(batch["_text"], prefix):
-                once, at, n = np.unique(hashes, return_index=True, return_counts=True)
+                short = np.flatnonzero(stop - begin <= LONGEST_UNIT)
+                once, at, n = np.unique(hashes[short], return_index=True, return_counts=True)
+                at = short[at]
                 text = codes.tobytes().decode("utf-32-le")
                 units = [text[a:b] for a, b in zip(begin[at].tolist(), stop[at].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(once.view(np.int64)), pa.array(n.astype(np.int64))], names=["unit", "h", "n"])
@@ -162,7 +170,7 @@ def encoded_units(units: DataFrame, model: PieceTable) -> DataFrame:
     pieces = F.broadcast(model.table(units.sparkSession))
     edges = substrings.join(pieces, "piece", "left").where(F.col("id").isNotNull() | (F.col("length") == 1))
     unknown = -1 - F.ascii("piece")
-    # The boundaries an edge covers, and those at its ends, as bits; of use for units up to LONGEST_MASK.
+    # The boundaries an edge covers, and those at its ends, as bits.
     one = F.lit(1).cast("long")
     covers = _shift("shiftleft", _shift("shiftleft", one, F.col("length") + 1) - 1, F.col("start"))
     ends = _shift("shiftleft", _shift("shiftleft", one, F.col("length")) + 1, F.col("start"))
@@ -174,8 +182,7 @@ def encoded_units(units: DataFrame, model: PieceTable) -> DataFrame:
     lattices = edges.groupBy("h").agg(*kept, F.sort_array(F.collect_list(edge)).alias("edges")).withColumn("size", size)
     if not model.merges:
         return lattices.select(*units.columns, viterbi_ids(F.col("edges"), F.col("size")).alias("ids"))
-    ids = F.when(F.col("size") <= LONGEST_MASK, merged_ids(F.col("edges"), F.col("size"))).otherwise(merged_long_ids(F.col("edges"), F.col("size")))
-    return lattices.select(*units.columns, ids.alias("ids"))
+    return lattices.select(*units.columns, merged_ids(F.col("edges"), F.col("size")).alias("ids"))
 
 
 def _shift(way: str, value: Column, by: Column) -> Column:
@@ -201,23 +208,6 @@ def merged_ids(edges: Column, size: Column) -> Column:
     return F.element_at(F.transform(F.array(mask), final), 1)
 
 
-def merged_long_ids(edges: Column, size: Column) -> Column:
-    """The same for units of any length: a character per boundary, in one string."""
-    def window(marks: Column, e: Column) -> Column:
-        return F.substring(marks, e["start"] + 1, e["length"] + 1)
-
-    def spans(marks: Column, e: Column, inner: int) -> Column:
-        seen = window(marks, e)
-        return (F.replace(seen, F.lit("0"), F.lit("")) == "1" * (inner + 2)) & seen.startswith("1") & seen.endswith("1")
-
-    def joins(marks: Column, e: Column) -> Column:
-        joined = F.overlay(marks, F.repeat(F.lit("0"), e["length"] - 1), e["start"] + 2, e["length"] - 1)
-        return F.when((e["length"] > 1) & spans(marks, e, 1), joined).otherwise(marks)
-
-    marks = F.aggregate(edges, F.repeat(F.lit("1"), size + 1), joins)
-    return F.element_at(F.transform(F.array(marks), lambda m: _ids_by_start(edges, lambda e: spans(m, e, 0))), 1)
-
-
 def viterbi_ids(edges: Column, size: Column) -> Column:
     """The path of least cost; of equal ones, the one whose last pieces are shorter.
 
@@ -244,25 +234,90 @@ def viterbi_ids(edges: Column, size: Column) -> Column:
     return F.element_at(F.aggregate(by_end, begin, extend), size + 1)["ids"]
 
 
+# -- units that are no lattices -----------------------------------------------
+
+
+class UnitEncoder:
+    """Ids of single units, in memory of the unit's size; those of the lattice's fold."""
+
+    def __init__(self, model: PieceTable) -> None:
+        self.model = model
+        self.known = {piece: (score, i) for piece, i, score in model.pieces}
+
+    def ids(self, unit: str) -> list[int]:
+        """An id below 0 stands for a character without a piece: -1 less its code point."""
+        return self._merged(unit) if self.model.merges else self._best_path(unit)
+
+    def _merged(self, unit: str) -> list[int]:
+        """Join neighbours in order of rank, leftmost first, in a linked list of symbols."""
+        n = len(unit)
+        stop = list(range(1, n + 1))  # where the symbol that begins here ends; 0 once it is part of another
+        before = list(range(-1, n - 1))
+        waiting: list[tuple[float, int, int]] = []
+
+        def propose(a: int) -> None:
+            b = stop[a]
+            if b < n and (found := self.known.get(unit[a : stop[b]])):
+                heapq.heappush(waiting, (-found[0], a, stop[b]))
+
+        for a in range(n - 1):
+            propose(a)
+        while waiting:
+            _, a, end = heapq.heappop(waiting)
+            b = stop[a]
+            if not b or b >= n or stop[b] != end:
+                continue
+            stop[a], stop[b] = end, 0
+            if end < n:
+                before[end] = a
+            propose(a)
+            if before[a] >= 0:
+                propose(before[a])
+        return [self.known[unit[a : stop[a]]][1] if unit[a : stop[a]] in self.known else -1 - ord(unit[a]) for a in range(n) if stop[a]]
+
+    def _best_path(self, unit: str) -> list[int]:
+        """The path of least cost, as :func:`viterbi_ids` finds it."""
+        best: list[tuple[float, int, int]] = [(0.0, 0, 0)]
+        for stop in range(1, len(unit) + 1):
+            found: tuple[float, int, int] | None = None
+            for length in range(1, min(self.model.longest, stop) + 1):
+                piece = unit[stop - length : stop]
+                score, i = self.known.get(piece, (None, -1 - ord(piece[0])))
+                if score is None and length > 1:
+                    continue
+                cost = best[stop - length][0] + (1e6 if score is None else -score)
+                if found is None or cost < found[0]:
+                    found = (cost, length, i)
+            best.append(found)
+        ids, at = [], len(unit)
+        while at:
+            ids.append(best[at][2])
+            at -= best[at][1]
+        return ids[::-1]
+
+
 # -- texts -------------------------------------------------------------------
 
 
 class _Dictionary:
-    """Sorted hashes of units and, flat, the ids of each."""
-
-    def __init__(self, hashes: np.ndarray, ids: list | pa.Array, model: PieceTable) -> None:
-        lists = pa.array(ids, pa.list_(pa.int32())) if isinstance(ids, list) else ids
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        flat = lists.values.to_numpy()[offsets[0] : offsets[-1]] if len(lists) else np.zeros(0, np.int32)
-        offsets = offsets - (offsets[0] if len(offsets) else 0)
-        if (flat < 0).any():
-            flat, offsets = _with_bytes(flat, offsets, model)
-        order = np.argsort(hashes, kind="stable")
-        sizes = np.diff(offsets)[order]
-        self.hashes = hashes[order]
+    """Sorted hashes of units and, flat, the ids of each, from tables ``(h, ids)`` that come one after another."""
+
+    def __init__(self, tables: Iterable[tuple[np.ndarray, pa.Array]], model: PieceTable) -> None:
         # As narrow as the numbers allow: every task holds these arrays.
         narrow = lambda a: a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
-        self.starts, self.sizes, self.flat = narrow(offsets[:-1][order]), narrow(sizes), narrow(flat)
+        parts = []
+        for hashes, lists in tables:
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            flat = lists.values.to_numpy()[offsets[0] : offsets[-1]] if len(lists) else np.zeros(0, np.int32)
+            offsets = offsets - (offsets[0] if len(offsets) else 0)
+            if (flat < 0).any():
+                flat, offsets = _with_bytes(flat, offsets, model)
+            parts.append((hashes, narrow(np.diff(offsets)), narrow(flat)))
+        hashes, sizes, flat = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.uint64) for i in range(3))
+        del parts
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.starts, self.sizes, self.flat = hashes[order], narrow(starts[order]), narrow(sizes[order]), narrow(flat)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The row of each hash, or -1."""
@@ -330,48 +385,87 @@ def _lookup(docs: DataFrame, model: PieceTable, text_column: str, head: int):
     text = F.coalesce(F.col("_row").getField(text_column), F.lit("")).alias("_text")
     packed = docs.select(F.struct("*").alias("_row"))
     distinct = materialized(distinct_units(packed.select(text), model.prefix))
-    if distinct.groupBy("h").agg(F.count("*").alias("units")).where("units > 1").limit(1).count():
-        raise ValueError("two units have the same hash")
-    units = materialized(encoded_units(distinct, model))
+    several = distinct.groupBy("h").agg(F.count("*").alias("units")).where("units > 1").select("h")
+    # Of n different units, some n * n / 2 ** 65 share their hash with another.
+    shared_hashes = np.array([r.h for r in several.collect()], np.int64).view(np.uint64)
+    if len(shared_hashes):
+        distinct = distinct.join(F.broadcast(several), "h", "left_anti")
+    folder = f"{shared_folder(spark)}/lexispan/{spark.sparkContext.applicationId}/tables/{uuid.uuid4().hex}"
+    sliced = encoded_units(distinct, model).withColumn("slice", F.pmod("h", F.lit(SLICES)).cast("int"))
+    sliced.select("h", "n", "ids", "slice").write.partitionBy("slice").parquet(folder)
+    units = spark.read.schema("h long, n long, ids array<int>, slice int").parquet(folder)
     total, ids = units.agg(F.count("*"), F.sum(F.size("ids"))).first()
     least = _least_count(units, head) if total > head or total and ids > HEAD_IDS else 1
-    common = units.where(F.col("n") >= least).select("h", "ids").toArrow().combine_chunks()
-    lists = common["ids"].combine_chunks() if total else pa.array([], pa.list_(pa.int32()))
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
-    dictionary = _Dictionary(common["h"].to_numpy().view(np.uint64), lists if len(common) else [], model)
-    shared = spark.sparkContext.broadcast((dictionary, model))
+    dictionary = _Dictionary(_tables(units.where(F.col("n") >= least)), model)
+    shared = spark.sparkContext.broadcast((dictionary, model, shared_hashes))
     if least > 1:
         packed = _with_rare_units(packed.select("_row", text), units.where(F.col("n") < least).select("h", "ids"), model.prefix).select("_row", "_rare")
 
     def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
-        known, table = shared.value
+        known, table, shared_by_units = shared.value
+        direct = UnitEncoder(table)
         for batch in batches:
             rows = batch["_row"]
-            for first, _, _, _, hashes, bounds in _unit_batches(rows.field(text_column), table.prefix):
+            for first, codes, begin, stop, hashes, bounds in _unit_batches(rows.field(text_column), table.prefix):
                 n = len(bounds) - 1
-                once, back = np.unique(hashes, return_inverse=True)
+                once, at, back = np.unique(hashes, return_index=True, return_inverse=True)
                 found = known.find(once)
-                if (found < 0).any():
-                    tokens, edges = _with_rare(known, once, found, back, batch["_rare"].slice(first, n).flatten(), table)
-                else:
-                    tokens, edges = known.ids(found[back])
+                alone = stop - begin > LONGEST_UNIT
+                if len(shared_by_units):
+                    alone |= np.isin(hashes, shared_by_units)
+                missing = (found < 0) & ~alone[at]
+                extra = [known]
+                if missing.any():
+                    extra.append(_rare(once[missing], batch["_rare"].slice(first, n).flatten(), table))
+                    found[missing] = len(known.hashes) + extra[-1].find(once[missing])
+                rows_of_units = found[back]
+                if alone.any():
+                    places = np.flatnonzero(alone)
+                    texts = [codes[a:b].tobytes().decode("utf-32-le") for a, b in zip(begin[places].tolist(), stop[places].tolist())]
+                    own = _Dictionary([(np.arange(len(texts), dtype=np.uint64), pa.array([direct.ids(t) for t in texts], pa.list_(pa.int32())))], table)
+                    rows_of_units[places] = sum(len(d.hashes) for d in extra) + np.arange(len(texts))
+                    extra.append(own)
+                tokens, edges = _ids_of(extra, rows_of_units)
                 yield rows.slice(first, n), pa.ListArray.from_arrays(pa.array(edges[bounds].astype(np.int32)), pa.array(tokens.astype(np.int32)))
 
     return packed, look_up
 
 
-def _with_rare(known: _Dictionary, once: np.ndarray, found: np.ndarray, back: np.ndarray, listed: pa.Array, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of units of which some are in the texts' own lists."""
+def _tables(units: DataFrame) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """``(hashes, ids)`` of the slices, one collected after another."""
+    for i in range(SLICES):
+        table = units.where(F.col("slice") == i).select("h", "ids").toArrow().combine_chunks()
+        if len(table):
+            lists = table["ids"].combine_chunks()
+            yield table["h"].to_numpy().view(np.uint64), lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+
+
+def _ids_of(dictionaries: list[_Dictionary], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of rows of these dictionaries, numbered through."""
+    if len(dictionaries) == 1:
+        return dictionaries[0].ids(rows)
+    starts, sizes = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+    flats, base, length = [], 0, 0
+    for d in dictionaries:
+        here = np.flatnonzero((rows >= base) & (rows < base + len(d.hashes)))
+        sizes[here] = d.sizes[rows[here] - base]
+        once, back = np.unique(rows[here], return_inverse=True)
+        # Only what the rows need, not the whole dictionary.
+        flat, bounds = d.ids(once - base)
+        starts[here] = length + bounds[:-1][back]
+        flats.append(flat)
+        length += len(flat)
+        base += len(d.hashes)
+    return ragged(np.concatenate(flats), starts, sizes)
+
+
+def _rare(wanted: np.ndarray, listed: pa.Array, table: PieceTable) -> _Dictionary:
+    """The units that are in the texts' own lists, all ``wanted`` ones among them."""
     h, at = np.unique(listed.field("h").to_numpy().view(np.uint64), return_index=True)
-    rare = _Dictionary(h, listed.field("ids").take(pa.array(at)), table)
-    missing = found < 0
-    own = rare.find(once[missing])
-    if (own < 0).any():
+    rare = _Dictionary([(h, listed.field("ids").take(pa.array(at)))], table)
+    if (rare.find(wanted) < 0).any():
         raise ValueError("a unit was not encoded")
-    starts, sizes = np.zeros(len(once), np.int64), np.zeros(len(once), np.int64)
-    starts[~missing], sizes[~missing] = known.starts[found[~missing]], known.sizes[found[~missing]]
-    starts[missing], sizes[missing] = len(known.flat) + rare.starts[own].astype(np.int64), rare.sizes[own]
-    return ragged(np.concatenate([known.flat, rare.flat]), starts[back], sizes[back])
+    return rare
 
 
 def _least_count(units: DataFrame, head: int) -> int:

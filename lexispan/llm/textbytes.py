@@ -6,6 +6,7 @@ memory does not depend on the batch size; a longer text is a slice by itself.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -58,20 +59,54 @@ def seeded(n: int, seed: int) -> np.ndarray:
     return mixed((np.arange(1, n + 1, dtype=U64) + U64(seed * 1_000_003)) * _ODD)
 
 
-@lru_cache(maxsize=8)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and of its inverse."""
-    base = int(_ODD) | 1
-    steps = np.full(n, base, U64), np.full(n, pow(base, -1, 1 << 64), U64)
-    for step in steps:
-        step[:1] = 1
-    return np.cumprod(steps[0], dtype=U64), np.cumprod(steps[1], dtype=U64)
+# Runs with more numbers of 64 bits than this are hashed one by one.
+LONGEST_RUN = 32
+
+
+def byte_run_hashes(data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each run ``[begin, stop)``."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    # The eight bytes from each place on, as one number.
+    blocks = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    return _run_hashes(blocks, 8, 8, begin, stop, lambda a, b: data[a:b].tobytes())
+
+
+def code_run_hashes(codes: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A hash of the code points of each run ``[begin, stop)``."""
+    codes = codes.astype(U64, copy=False)
+    blocks = codes.copy()
+    blocks[:-1] |= codes[1:] << U64(21)
+    blocks[:-2] |= codes[2:] << U64(42)
+    return _run_hashes(blocks, 3, 21, begin, stop, lambda a, b: codes[a:b].astype("<u4").tobytes())
+
+
+def _run_hashes(blocks: np.ndarray, size: int, bits: int, begin: np.ndarray, stop: np.ndarray, whole) -> np.ndarray:
+    """Mix the numbers of each run one after another; ``size`` elements of ``bits`` bits are a number.
+
+    Each step is one-to-one in the number it takes in, and nothing of the sums
+    and powers by which rolling hashes fall for regular words. A long run has the
+    digest of its bytes.
+    """
+    masks = np.array([(1 << (bits * n)) - 1 for n in range(size)] + [(1 << 64) - 1], U64)
+    h = mixed((stop - begin).astype(U64) * _ODD + _MIX_1)
+    long = np.flatnonzero(stop - begin > LONGEST_RUN * size)
+    active = np.flatnonzero(stop - begin <= LONGEST_RUN * size) if len(long) else np.arange(len(begin))
+    at, left = begin[active], (stop - begin)[active]
+    some = left > 0
+    active, at, left = active[some], at[some], left[some]
+    while len(active):
+        h[active] = mixed(h[active] ^ (blocks[at] & masks[np.minimum(left, size)])) + _ODD
+        more = left > size
+        active, at, left = active[more], at[more] + size, left[more] - size
+    for i in long.tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(whole(begin[i], stop[i]), digest_size=8).digest(), "little")
+    return h
 
 
 @lru_cache(maxsize=1)
 def _byte_values() -> tuple[np.ndarray, np.ndarray]:
-    """A number per byte with A-Z as a-z, and which bytes separate words."""
-    values = seeded(256, 11)
+    """Each byte with A-Z as a-z, and which bytes separate words."""
+    values = np.arange(256, dtype=np.uint8)
     values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
     separates = np.zeros(256, bool)
     separates[[0x20, *range(0x09, 0x0E)]] = True
@@ -97,12 +132,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     ends_of_texts = offsets[1:][offsets[1:] > 0] - 1
     stops[ends_of_texts] = inside[ends_of_texts]
     begin, stop = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    size = 1 << max(20, (n - 1).bit_length())
-    power, inverse = _powers(size)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(values[data] * power[:n], out=total[1:])
-    hashes = (total[stop] - total[begin]) * inverse[begin]
-    return mixed(hashes), np.searchsorted(begin, offsets)
+    return byte_run_hashes(values[data], begin, stop), np.searchsorted(begin, offsets)
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,8 +206,4 @@ def letter_runs(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 def letter_word_hashes(runs: dict[str, np.ndarray]) -> np.ndarray:
     """A hash per word of :func:`letter_runs`."""
-    n = len(runs["chars"])
-    power, inverse = _powers(1 << max(20, (max(n, 1) - 1).bit_length()))
-    total = np.zeros(n + 1, U64)
-    np.cumsum(mixed(runs["chars"] + _ODD) * power[:n], out=total[1:])
-    return mixed((total[runs["stop"]] - total[runs["begin"]]) * inverse[runs["begin"]])
+    return code_run_hashes(runs["chars"], runs["begin"], runs["stop"])

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -38,7 +39,7 @@ def test_what_tasks_hold_is_bounded_by_ids_too(spark, model, monkeypatch):
     monkeypatch.setattr(S, "HEAD_IDS", 50, raising=False)
     joined = []
     monkeypatch.setattr(S, "_with_rare_units", lambda *args, join=S._with_rare_units: joined.append(args[1].count()) or join(*args))
-    texts = ["the the the cat", "日本語テキスト" * 40, "x" * 500 + " the"]
+    texts = ["the the the cat", "日本語テキスト" * 8, "x" * 55 + " the"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     found = {r.doc_id: r.token_ids for r in S.encode(docs, model).collect()}
@@ -94,3 +95,50 @@ def test_viterbi_for_unigram_models(spark):
 def test_pieces_across_units_are_refused():
     with pytest.raises(ValueError, match="across"):
         S.PieceTable((("a.", 1, -1.0),), None, 0, merges=True)
+
+
+def test_units_too_long_for_a_lattice(spark, model):
+    rnd = random.Random(12)
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    direct = S.UnitEncoder(model)
+    word = "".join(rnd.choice("etaoinshrdlu") for _ in range(100_000))
+    start = time.process_time()
+    ids = direct.ids("▁" + word)
+    assert time.process_time() - start < 10
+    assert ids == library.encode(word)
+    texts = [word, "a " + word[:61] + " b", word[:60], "語" * 3000, "=" * 2000 + " " * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in S.encode(docs, model, verify=True).collect():
+        assert r.token_ids == library.encode(texts[r.doc_id]) and r.round_trip
+
+
+def test_single_units_as_lattices_have_them(model):
+    rnd = random.Random(13)
+    names = sorted({"".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 4))) for _ in range(25)} - {"c"})
+    table = tuple((p, i + 1, -rnd.random() * 9 - 0.5) for i, p in enumerate(names))
+    unigram = S.PieceTable(table, None, 0, merges=False, prefix=False)
+    scores = {p: s for p, _, s in table}
+    for _ in range(60):
+        text = "".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 10)))
+        cost = sum(1e6 if i < 0 else -table[i - 1][2] for i in S.UnitEncoder(unigram).ids(text))
+        assert cost == pytest.approx(best_paths(text, scores))
+
+
+@pytest.mark.parametrize("bits", [10, 12])
+def test_words_that_rolling_hashes_confuse(spark, model, bits):
+    word = "".join("ab"[i.bit_count() % 2] for i in range(1 << bits))
+    texts = [word, word.translate(str.maketrans("ab", "ba"))]
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    found = S.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+    assert {r.doc_id: r.token_ids for r in found.collect()} == {i: library.encode(t) for i, t in enumerate(texts)}
+
+
+def test_units_that_share_a_hash(spark, model, monkeypatch):
+    """As if another unit had the hash of a known one: both are encoded where they stand."""
+    known = S.distinct_units
+    twin = lambda *args: (lambda d: d.unionByName(d.where("unit = '▁cat'").selectExpr("'▁dog' AS unit", "h", "n")))(known(*args))
+    monkeypatch.setattr(S, "distinct_units", twin)
+    texts = ["the cat sat", "a cat", "no such word"]
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    found = S.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+    assert {r.doc_id: r.token_ids for r in found.collect()} == {i: library.encode(t) for i, t in enumerate(texts)}
