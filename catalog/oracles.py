@@ -249,6 +249,24 @@ ORACLES: dict[str, str] = {
         found AS (SELECT first, second, sum(n) AS n, count(*) AS n_lines FROM pairs GROUP BY first, second)
         SELECT query_id, CAST(coalesce(n, 0) AS BIGINT) AS occurrences, CAST(coalesce(n_lines, 0) AS BIGINT) AS matching_lines
         FROM saved LEFT JOIN found ON saved.first = found.first AND saved.second = found.second""",
+    "saved_exclusions": f"""WITH {posting_ctes()},
+        item_docs AS (SELECT item_id, string_split(regexp_replace(text, '{BREAKS}', chr(10), 'g'), chr(10)) AS l FROM benchmark),
+        item_lines AS (SELECT item_id, unnest(range(1, len(l) + 1)) AS line_no, unnest(l) AS line FROM item_docs),
+        item_lists AS (SELECT item_id, line_no, regexp_extract_all({fold('line')}, '[0-9a-z가-힣]+') AS t FROM item_lines),
+        item_words AS (SELECT item_id, line_no, unnest(range(0, len(t))) AS pos, unnest(t) AS term FROM item_lists),
+        kept AS (SELECT *, first_value(term) OVER (PARTITION BY item_id, line_no ORDER BY pos) AS c
+            FROM item_words WHERE term NOT IN {words_in(CORE_STOPWORDS)}),
+        saved AS (SELECT a.item_id || ':' || a.line_no || ':' || a.pos AS query_id, a.term AS a, b.term AS b, a.c AS c
+            FROM kept a JOIN kept b ON a.item_id = b.item_id AND a.line_no = b.line_no AND a.pos + 1 = b.pos),
+        pairs AS (SELECT DISTINCT a.term AS x, b.term AS y, a.doc_id, a.line_no FROM postings a JOIN postings b
+            ON a.doc_id = b.doc_id AND a.line_no = b.line_no AND a.pos + 1 = b.pos),
+        words AS (SELECT DISTINCT term, doc_id, line_no FROM postings),
+        found AS (SELECT query_id, p.doc_id, p.line_no FROM saved JOIN pairs p ON p.x = a AND p.y = b
+                ANTI JOIN words w ON w.term = c AND w.doc_id = p.doc_id AND w.line_no = p.line_no
+            UNION SELECT query_id, p.doc_id, p.line_no FROM saved JOIN pairs p ON p.y = a AND p.x IN (a, b)),
+        barred AS (SELECT query_id, count(*) AS n FROM saved JOIN pairs p ON p.x = a AND p.y = b GROUP BY query_id)
+        SELECT s.query_id, count(f.doc_id) AS matching_lines FROM saved s LEFT JOIN found f ON f.query_id = s.query_id GROUP BY s.query_id
+        UNION ALL SELECT s.query_id || ':not', (SELECT count(*) FROM lines) - coalesce(n, 0) FROM saved s LEFT JOIN barred b ON b.query_id = s.query_id""",
     "snapshot_diff": f"WITH {STATES} SELECT doc_id, action, known FROM actions",
     "build_summary": f"""WITH {STATES} SELECT count(*) FILTER (WHERE action = 'new') AS new,
         count(*) FILTER (WHERE action = 'updated') AS updated, count(*) FILTER (WHERE action = 'skipped') AS skipped,

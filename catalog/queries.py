@@ -19,6 +19,7 @@ from lexispan.operators import postings as P
 from lexispan.operators.ranking import with_rank
 from lexispan.plans import classify
 from lexispan.plans.saved import saved_search_counts
+from lexispan.plans.saved_boolean import saved_boolean_counts
 from lexispan.sources.naming import unique_names
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,6 +301,34 @@ def saved_searches(spark, sf_dir):
     return saved_search_counts(saved, corpora.searcher(spark, sf_dir).postings)
 
 
+@query
+def saved_exclusions(spark, sf_dir):
+    """Saved searches with phrases, alternatives and exclusions, made of the benchmark texts.
+
+    For each word a and its direct follower b, on a line that begins with c: "a b" without c, or
+    "a" or "b" directly before "a"; and, as a search of its own, everything without "a b".
+    """
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("doc_id"), "text")
+    words = line_postings(document_lines(items))
+    firsts = words.groupBy("doc_id", "line_no").agg(F.min_by("term", "pos").alias("c"))
+    after = words.select("doc_id", "line_no", (F.col("pos") - 1).alias("pos"), F.col("term").alias("b"))
+    pairs = words.withColumnRenamed("term", "a").join(after, ["doc_id", "line_no", "pos"]).join(firsts, ["doc_id", "line_no"])
+    name = F.format_string("%d:%d:%d", "doc_id", "line_no", "pos")
+
+    def row(query_id, option: int, clause: int, excluded: bool, slot: int, word: str):
+        values = zip(("option", "clause", "excluded", "slot"), (option, clause, excluded, slot))
+        return F.struct(query_id.alias("query_id"), *[F.lit(v).alias(k) for k, v in values], F.col(word).alias("term"))
+
+    without = F.concat(name, F.lit(":not"))
+    rows = [
+        row(name, 0, 0, False, 0, "a"), row(name, 0, 0, False, 1, "b"), row(name, 0, 1, True, 0, "c"),
+        row(name, 1, 0, False, 0, "a"), row(name, 1, 0, False, 0, "b"), row(name, 1, 0, False, 1, "a"),
+        row(without, 0, 0, True, 0, "a"), row(without, 0, 0, True, 1, "b"),
+    ]
+    saved = pairs.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return saved_boolean_counts(saved, corpora.searcher(spark, sf_dir))
+
+
 # -- maintenance ------------------------------------------------------------
 
 

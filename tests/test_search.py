@@ -234,3 +234,33 @@ def test_saved_searches_follow_the_word_rules(spark, people, monkeypatch, small)
 def test_rank_is_global(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     assert {(r.v, r.rank) for r in with_rank(df, [F.col("v")]).collect()} == {(v, v + 1) for v in range(1000)}
+
+
+def test_saved_searches_with_exclusions(spark, people):
+    """Random searches in options of phrases, against the same search composed by calls."""
+    from functools import reduce
+
+    from lexispan.plans.saved_boolean import saved_boolean_counts, saved_boolean_lines
+
+    rnd = random.Random(21)
+    vocabulary = ["lincoln", "abe", "abraham", "george", "grew", "up", "Washington", "nowhere", "링컨"]
+    s, rows, expected = people, [], {}
+    for q in range(25):
+        options = []
+        for o in range(rnd.randrange(1, 3)):
+            wanted, barred = [], []
+            for c in range(rnd.randrange(1, 4)):
+                excluded = rnd.random() < 0.4
+                slots = [rnd.sample(vocabulary, rnd.randrange(1, 3)) for _ in range(rnd.randrange(1, 4))]
+                rows += [(f"q{q}", o, c, excluded or None, i, w) for i, words in enumerate(slots) for w in words]
+                clause = s.adjacent(*[s.any_of(*words) for words in slots])
+                (barred if excluded else wanted).append(lines(clause))
+            everything = {(r.doc_id, r.line_no) for r in s.lines.where("searchable").collect()}
+            options.append(reduce(set.intersection, wanted, everything) - set().union(*barred))
+        expected[f"q{q}"] = len(set().union(*options))
+    rows += [("gap", 0, 0, False, 0, "lincoln"), ("gap", 0, 0, False, 2, "abe"), ("null", 0, 0, False, 0, None), ("half", 0, 0, False, 0, "lincoln"), ("half", 0, 0, False, 1, None)]
+    expected |= {"gap": 0, "null": 0, "half": 0}
+    saved = spark.createDataFrame(rows, "query_id string, option int, clause int, excluded boolean, slot int, term string")
+    assert {r.query_id: r.matching_lines for r in saved_boolean_counts(saved, s).collect()} == expected
+    nothing = saved_boolean_lines(saved.limit(0), s)
+    assert nothing.lines.count() == nothing.all_but.count() == nothing.queries.count() == 0
