@@ -282,6 +282,9 @@ ORACLES: dict[str, str] = {
     "rebuilt_postings": search(TOTALS, LATER),
     "compacted_index": search(TOTALS, LATER),
     "streamed_arrivals": search(TOTALS),
+    "mixed_versions": f"""WITH {line_ctes(DOCUMENTS)}, counted AS (SELECT doc_id, count(*) AS n_lines FROM lines GROUP BY doc_id)
+        SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, CASE WHEN lang = 'fr' THEN 'updated' ELSE 'skipped' END AS action, true AS known,
+            coalesce(n_lines, 0) AS n_lines FROM documents d LEFT JOIN counted c ON c.doc_id = CAST(d.doc_id AS VARCHAR)""",
     "late_change": f"WITH {line_ctes(IN_ORDER)} SELECT doc_id, line_no, line FROM lines",
     "streamed_changes": search(TOTALS, IN_ORDER),
     "deleted_documents": "SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM documents WHERE lang IS DISTINCT FROM 'fr'",

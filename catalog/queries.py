@@ -410,6 +410,27 @@ def streamed_arrivals(spark, sf_dir):
     return P.term_totals(index.postings)
 
 
+def mixed_index(spark, sf_dir) -> TextIndex:
+    """French documents by an earlier version of the rules beside others by the current one, then all brought up to date."""
+    index = corpora.stored_index(spark, sf_dir, "mixed")
+    if index.manifest.isEmpty():
+        docs = corpora.named_documents(spark, sf_dir)
+        earlier = TextIndex(spark, index.root, version=classify.INDEX_VERSION - 1)
+        earlier.sync(table_corpus(docs.where(F.col("lang") == "fr").select("doc_id", "text")))
+        index.apply_changes(docs.where(~F.col("lang").eqNullSafe("fr")).select("doc_id", "text"))
+        index.sync(table_corpus(docs.select("doc_id", "text")))
+    return index
+
+
+@query
+def mixed_versions(spark, sf_dir):
+    """What the last of these runs did, with the number of lines served of each document."""
+    index = mixed_index(spark, sf_dir)
+    served = index.lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"))
+    actions = index.actions().select("doc_id", "action", "known")
+    return actions.join(served, "doc_id", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
+
+
 def changed_in_order(spark, sf_dir, name: str) -> TextIndex:
     """An index after waves of changes, some of which come too late."""
     index = corpora.stored_index(spark, sf_dir, name)

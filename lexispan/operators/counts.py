@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from math import prod
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexispan.operators.search import LINE_KEY, Hits, slot_anchors, with_terms
+from lexispan.operators.ranking import with_rank
+from lexispan.operators.search import Hits, line_key, with_terms
+
+# A search lists so many exact phrases whether they occur or not.
+LISTED = 10_000
 
 
 def occurrence_count(hits: Hits) -> DataFrame:
@@ -49,22 +55,42 @@ def word_counts(hits: Hits) -> DataFrame:
 def phrase_counts(hits: Hits) -> DataFrame:
     """``(ordinal, label, n)`` per exact phrase that any adjacency inside stands for.
 
-    All phrases of one length are counted in a single pass: a position holds one
-    word, so the words found at an anchor name the phrase they form.
+    Alternatives multiply: up to ``LISTED`` phrases are all listed, in order, with
+    0 for those that do not occur. Of more, those that occur are listed, by label.
     """
+    found = found_phrases(hits)
+    if sum(prod(map(len, pattern)) for pattern in hits.phrase_patterns) > LISTED:
+        return with_rank(found, [F.col("label")], "ordinal").select(F.col("ordinal").cast("int").alias("ordinal"), "label", "n")
     phrases = list(hits.phrases)
-    counted = hits.searcher.postings.select(F.lit("").alias("key"), F.lit(0).cast("long").alias("n")).where(F.lit(False))
-    keys: dict[tuple[str, ...], str] = {}
-    for length in sorted({len(p) for p in phrases}):
-        same_length = [p for p in phrases if len(p) == length]
-        slots = tuple(frozenset(p[i] for p in same_length) for i in range(length))
-        listed = [sorted(words) for words in slots]
-        # Words as their numbers in the slot: fixed-width values keep the grouping a hash aggregate.
-        numbers = [F.array_position(F.array(*map(F.lit, words)), F.col("term")) for words in listed]
-        at_slot = [F.max(F.when(F.col("slot") == i, n)).alias(f"w{i}") for i, n in enumerate(numbers)]
-        formed = slot_anchors(hits.searcher.table, slots).groupBy(*LINE_KEY, "anchor").agg(*at_slot)
-        columns = [f"w{i}" for i in range(length)]
-        whole = formed.dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias("n"))
-        counted = counted.unionByName(whole.select(F.concat_ws(",", *columns).alias("key"), "n"))
-        keys |= {p: ",".join(str(listed[i].index(w) + 1) for i, w in enumerate(p)) for p in same_length}
-    return _with_zeros(_labelled(hits, phrases, [keys[p] for p in phrases]), counted)
+    keys = [" && ".join(words) for words in phrases]
+    return _with_zeros(_labelled(hits, phrases, keys), found.withColumnRenamed("label", "key"))
+
+
+def found_phrases(hits: Hits) -> DataFrame:
+    """``(label, n)`` of the exact phrases that occur, of those any adjacency inside stands for.
+
+    One pass over the postings of all words, for phrases of every length: a
+    posting goes to each slot that its word may fill, and as a position holds one
+    word, the words found at an anchor name the phrase they form. Alternatives are
+    never multiplied out.
+    """
+    patterns = hits.phrase_patterns
+    table = hits.searcher.table
+    slots = [(p, i, len(pattern), word, n) for p, pattern in enumerate(patterns) for i, words in enumerate(pattern) for n, word in enumerate(words, 1)]
+    # As many rows as the search has words.
+    known = F.broadcast(table.sparkSession.createDataFrame(slots, "pattern int, slot int, size int, term string, choice int"))
+    rows = with_terms(table, {word for *_, word, _ in slots}).join(known, "term")
+    key = [*line_key(table), "anchor", "pattern", "size"]
+    longest = max(map(len, patterns), default=0)
+    columns = [f"w{i}" for i in range(longest)]
+    # Words as their numbers in the slot: fixed-width values keep the grouping a hash aggregate.
+    at_slot = [F.max(F.when(F.col("slot") == i, F.col("choice"))).alias(c) for i, c in enumerate(columns)]
+    formed = rows.withColumn("anchor", F.col("pos") - F.col("slot")).groupBy(*key).agg(F.count("*").alias("filled"), *at_slot)
+    counted = formed.where("filled = size").groupBy("pattern", *columns).agg(F.count("*").alias("n"))
+    spelled = F.array(*[F.array(*[F.array(*map(F.lit, words)) for words in pattern]) for pattern in patterns]) if patterns else F.array()
+    own = F.element_at(spelled, F.col("pattern") + 1)
+    words = [F.when(F.col(c).isNotNull(), F.element_at(F.element_at(own, i + 1), F.col(c))) for i, c in enumerate(columns)]
+    label = F.concat_ws(" && ", *words) if words else F.lit("")
+    # Two patterns may stand for one phrase.
+    return counted.select(label.alias("label"), "n").groupBy("label").agg(F.max("n").alias("n"))
+

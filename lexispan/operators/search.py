@@ -25,6 +25,9 @@ SPAN = ["doc_id", "line_no", "start_pos", "end_pos"]
 # Where a stored index keeps a document's lines: columns of its postings, folders of its lines.
 PLACE = ["run", "part"]
 
+# Per slot of a phrase the words that may fill it.
+Pattern = tuple[tuple[str, ...], ...]
+
 # So many times more postings than those of its rarest word must a phrase have to look them up first.
 WORTH = 4
 
@@ -120,6 +123,8 @@ class Hits:
         lengths: frozenset[int],
         alternatives: Callable[[], tuple[tuple[str, ...], ...]],
         phrases: Callable[[], tuple[tuple[str, ...], ...]],
+        patterns: tuple[Pattern, ...],
+        phrase_patterns: tuple[Pattern, ...],
         again: Callable[[Searcher], Hits],
         has_not: bool = False,
         slots: tuple[frozenset[str], ...] | None = None,
@@ -131,6 +136,9 @@ class Hits:
         self._line_set = line_set
         self._alternatives = alternatives
         self._phrases = phrases
+        #: the same as ``alternatives`` and ``phrases``, but words that may stand for each other are not multiplied out
+        self.patterns = tuple(dict.fromkeys(patterns))
+        self.phrase_patterns = tuple(dict.fromkeys(phrase_patterns))
         #: query words in order of first mention
         self.words = tuple(dict.fromkeys(words))
         #: how many words a span can have
@@ -220,6 +228,8 @@ class Searcher:
             lengths=frozenset([1]),
             alternatives=lambda: ((term,),),
             phrases=tuple,
+            patterns=(((term,),),),
+            phrase_patterns=(),
             again=lambda searcher: searcher.word(word),
         )
 
@@ -245,6 +255,8 @@ class Searcher:
             lengths=frozenset(),
             alternatives=tuple,
             phrases=lambda: inner.phrases,
+            patterns=(),
+            phrase_patterns=inner.phrase_patterns,
             again=lambda searcher: searcher.none_of(inner.on(searcher)),
             has_not=True,
         )
@@ -276,10 +288,13 @@ class Searcher:
         def alternatives() -> tuple[tuple[str, ...], ...]:
             return tuple(a + b for a, b in product(left.alternatives, right.alternatives))
 
+        patterns = tuple(a + b for a, b in product(left.patterns, right.patterns))
         return {
             "words": left.words + right.words,
             "alternatives": alternatives,
             "phrases": lambda: left.phrases + right.phrases + alternatives(),
+            "patterns": patterns,
+            "phrase_patterns": left.phrase_patterns + right.phrase_patterns + patterns,
         }
 
     def _adjacent(self, left: Hits, right: Hits) -> Hits:
@@ -303,6 +318,8 @@ class Searcher:
             "lengths": left.lengths | right.lengths,
             "alternatives": lambda: left.alternatives + right.alternatives,
             "phrases": lambda: left.phrases + right.phrases,
+            "patterns": _either_pattern(left.patterns, right.patterns),
+            "phrase_patterns": left.phrase_patterns + right.phrase_patterns,
             "again": lambda searcher: searcher.any_of(left.on(searcher), right.on(searcher)),
         }
         if left.slots and right.slots and len(left.slots) == len(right.slots) == 1:
@@ -334,6 +351,15 @@ class Searcher:
         return _union_spans(left, right, right.line_set.restrict(left.placed_spans), left.line_set.restrict(right.placed_spans))
 
 
+def _either_pattern(left: tuple[Pattern, ...], right: tuple[Pattern, ...]) -> tuple[Pattern, ...]:
+    """Both; single words together are one slot."""
+    both = left + right
+    if all(len(pattern) == 1 for pattern in both):
+        words = tuple(dict.fromkeys(word for pattern in both for word in pattern[0]))
+        return ((words,),) if words else ()
+    return both
+
+
 def with_terms(postings: DataFrame, terms) -> DataFrame:
     """Postings of the given words; the filter reaches the Parquet scan, and that of a stored index opens their buckets only."""
     found = postings.where(F.col("term").isin(sorted(terms)))

@@ -14,11 +14,12 @@ INDEX_VERSION = 2
 ACTIONS = ["new", "updated", "skipped", "deleted", "failed"]
 
 
-def classify(listing: DataFrame, manifest: DataFrame, partial: bool = False) -> DataFrame:
+def classify(listing: DataFrame, manifest: DataFrame, partial: bool = False, version: int | None = None) -> DataFrame:
     """``(doc_id, action, known, mtime, n, usable, ...)`` with the old location; ``n`` is 1.
 
     A document is skipped only if its fingerprint is unchanged *and* its stored
-    index is usable (``manifest.usable``, true if there is no such column).
+    index is of the given version (by default the current one) and usable
+    (``manifest.usable``, true if there is no such column).
     A ``partial`` listing says nothing about documents it does not mention; it
     may have a ``deleted`` flag per row. With a ``sequence`` on both sides, a later
     one counts as updated whatever it says, so that the manifest learns of it.
@@ -43,7 +44,7 @@ def classify(listing: DataFrame, manifest: DataFrame, partial: bool = False) ->
     gone = F.col("listed").isNull() | F.col("deleted")
     known = F.col("stored").isNotNull()
     later = F.coalesce(F.col("now_sequence") > F.col("old_sequence"), F.lit(False)) if ordered else F.lit(False)
-    same = _unchanged() & F.col("usable") & ~later
+    same = _unchanged(INDEX_VERSION if version is None else version) & F.col("usable") & ~later
     action = F.when(gone, "deleted").when(~known, "new").when(same, "skipped").otherwise("updated")
     return pairs.where(~gone | known).select(
         "doc_id",
@@ -56,9 +57,9 @@ def classify(listing: DataFrame, manifest: DataFrame, partial: bool = False) ->
     )
 
 
-def _unchanged() -> Column:
+def _unchanged(version: int) -> Column:
     """Equal fingerprints, as far as the listing knows them without reading content."""
-    same = F.col("now_mtime").eqNullSafe(F.col("old_mtime")) & (F.col("old_index_version") == INDEX_VERSION)
+    same = F.col("now_mtime").eqNullSafe(F.col("old_mtime")) & (F.col("old_index_version") == version)
     for name in ("size", "content_hash"):
         same = same & (F.col(f"now_{name}").isNull() | F.col(f"now_{name}").eqNullSafe(F.col(f"old_{name}")))
     return same

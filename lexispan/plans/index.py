@@ -118,12 +118,19 @@ class TextIndex:
         split_mode: str = "core",
         fold_mode: str = "full",
         stopwords: Iterable[str] = CORE_STOPWORDS,
+        version: int | None = None,
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.split_mode = split_mode
         self.fold_mode = fold_mode
         self.stopwords = list(stopwords)
+        self._version = version
+
+    @property
+    def version(self) -> int:
+        """The version of the text rules. Rows of other versions stay side by side, are not read, and count as changed."""
+        return INDEX_VERSION if self._version is None else self._version
 
     # -- reading ----------------------------------------------------------
 
@@ -145,7 +152,7 @@ class TextIndex:
     def searcher(self) -> Searcher:
         """Search over the index as of the last commit; lines and postings are of the same."""
         state = self._state()
-        served = (F.col("index_version") == INDEX_VERSION) & F.col("doc_id").isNotNull()
+        served = (F.col("index_version") == self.version) & F.col("doc_id").isNotNull()
         lines = self._live("line", state).where(served).select("run", "part", "doc_id", "line_no", "line", "searchable")
         postings = self._live("postings", state).where(served)
         columns = ["term", "doc_id", "line_no", "pos", "run", "part", "buckets", "bucket"]
@@ -274,7 +281,7 @@ class TextIndex:
             at = F.concat_ws(":", "run", "part")
             usable = ~at.isin([f"{r}:{p}" for r, p in unusable]) if unusable else F.lit(True)
             manifest = self._live("document", state, intact, unknown).withColumn("usable", usable)
-        plan = self._materialize(classify(named, manifest, partial), f"plan/run={run}")
+        plan = self._materialize(classify(named, manifest, partial, self.version), f"plan/run={run}")
         attempted = F.col("action").isin("new", "updated")
         todo = plan.agg(
             F.count_if(attempted).alias("attempted"),
@@ -349,7 +356,7 @@ class TextIndex:
         batches, last = dict(state.batches), state.run
         for run in sorted(batches if runs is None else set(runs).intersection(batches)):
             last += 1
-            lines = self._live("line", state, [run]).where((F.col("index_version") == INDEX_VERSION) & F.col("doc_id").isNotNull())
+            lines = self._live("line", state, [run]).where((F.col("index_version") == self.version) & F.col("doc_id").isNotNull())
             batches[run] = self._write_postings(self._postings_of(lines), last, self._text_size(state, [run]))
         if last > state.run:
             self._commit(State(last, batches, state.removed, state.dropped), [])
@@ -486,7 +493,7 @@ class TextIndex:
             "line",
             (~is_document & is_searchable(F.col("line_no"))).alias("searchable"),
             *[F.when(is_document, F.col(c)).alias(c) for c in about],
-            F.lit(INDEX_VERSION).alias("index_version"),
+            F.lit(self.version).alias("index_version"),
             F.when(is_document, "document").otherwise("line").alias("kind"),
             "part",
         )

@@ -555,3 +555,13 @@ def test_runs_are_merged_by_tiers(spark, index):
     assert texts(index) == {k: [v] for k, v in state.items()}
     assert {r.doc_id for r in index.manifest.collect()} == set(state)
     assert len(spans(index.searcher().word("red"))) == 6
+
+
+def test_rows_of_two_versions(spark, index):
+    earlier = TextIndex(spark, index.root, version=INDEX_VERSION - 1)
+    earlier.sync(corpus_of(spark, {"a": "red", "b": "blue"}))
+    assert texts(earlier) == {"a": ["red"], "b": ["blue"]} and texts(index) == {}
+    assert summary(index.apply_changes(spark.createDataFrame([("c", "gold")], "doc_id string, text string"))) == {"new": 1}
+    assert texts(index) == {"c": ["gold"]} and texts(earlier) == {"a": ["red"], "b": ["blue"]}
+    assert summary(index.sync(corpus_of(spark, {"a": "red", "b": b"\xff", "c": "gold"}))) == {"updated": 1, "failed": 1, "skipped": 1}
+    assert texts(index) == {"a": ["red"], "c": ["gold"]} and texts(earlier) == {"b": ["blue"]}

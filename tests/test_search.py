@@ -264,3 +264,23 @@ def test_saved_searches_with_exclusions(spark, people):
     assert {r.query_id: r.matching_lines for r in saved_boolean_counts(saved, s).collect()} == expected
     nothing = saved_boolean_lines(saved.limit(0), s)
     assert nothing.lines.count() == nothing.all_but.count() == nothing.queries.count() == 0
+
+
+def test_alternatives_are_not_multiplied_out(spark):
+    """Twelve slots of eight words are too many phrases to list; those that occur are counted in one pass."""
+    from collections import Counter
+
+    rnd = random.Random(31)
+    slots = [[f"s{i}w{k}" for k in range(8)] for i in range(12)]
+    found = [" ".join(rnd.choice(words[:2]) for words in slots) for _ in range(40)]
+    broken = [" ".join(t.split()[:11]) for t in found[:5]]
+    s = searcher_over(spark, {"d": "\n".join(found + broken), "e": f"x {found[0]} y {found[0]}"})
+    hits = s.adjacent(*[s.any_of(*words) for words in slots])
+    counted = counts.phrase_counts(hits)
+    # Beginnings of the phrase are adjacencies inside it.
+    expected = Counter(" && ".join(t.split()[:n]) for t in [*found, *broken, found[0], found[0]] for n in range(2, len(t.split()) + 1))
+    assert {r.label: r.n for r in counted.collect()} == expected
+    assert sorted(r.ordinal for r in counted.collect()) == list(range(1, len(expected) + 1))
+    mixed = s.adjacent(s.any_of("s0w0", s.adjacent("s0w0", "s1w0")), s.any_of("s1w0", "s2w0"))
+    plan = counts.found_phrases(mixed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2
