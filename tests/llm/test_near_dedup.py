@@ -71,11 +71,12 @@ def test_against_all_pairs(spark, seed, width):
     assert found == brute(rows, width)
 
 
-@pytest.mark.parametrize("held,streamed", [(2048, 8192), (2, 3)])
-def test_links_that_no_centre_shows(spark, monkeypatch, held, streamed):
+@pytest.mark.parametrize("held,streamed,chunk", [(2048, 8192, 1 << 24), (2, 3, 2500)])
+def test_links_that_no_centre_shows(spark, monkeypatch, held, streamed, chunk):
     """A chain of edits whose ends are unlike: only its steps are links."""
     monkeypatch.setattr(near_dedup, "HELD", held)
     monkeypatch.setattr(near_dedup, "STREAMED", streamed)
+    monkeypatch.setattr(near_dedup, "CHUNK_BYTES", chunk)
     base = [f"c{i}" for i in range(100)]
     chain = []
     for i in range(8):
@@ -107,11 +108,8 @@ def test_bits_of_sketches_are_counted_as_unsigned():
         texts = [" ".join(w[cut:]) for w in words]
         sketched = pa.Table.from_batches(near_dedup._sketcher(1)([pa.RecordBatch.from_pydict({"_id": list(range(200)), "_text": texts})]))
         planes = sketched["planes"].to_pylist()
-        keys = [[7, *range(1000 * (200 * cut + i), 1000 * (200 * cut + i) + near_dedup.BANDS - 1)] for i in range(200)]
-        sides.append((planes, pa.RecordBatch.from_pydict({
-            "node": list(range(200)), "root": [cut * 1000 + i for i in range(200)], "planes": planes, "keys": keys,
-            "order": pa.array([None] * 200, pa.int64()) if cut else pa.array(range(200), pa.int64()),
-        })))
+        roots = [cut * 1000 + i for i in range(200)]
+        sides.append((planes, pa.RecordBatch.from_pydict({"root": roots, "number": roots, "planes": planes})))
     (a, own), (b, other) = sides
     most, size = near_dedup.most_different(80), near_dedup.WORDS
 
@@ -121,7 +119,7 @@ def test_bits_of_sketches_are_counted_as_unsigned():
 
     expected = {(i, j) for i in range(200) for j in range(200) if differing(a[i], b[j]) <= most}
     assert {(i, i) for i in range(200)} <= expected
-    x, y = near_dedup._alike(near_dedup._sketch_rows(own), near_dedup._sketch_rows(other), 7, most)
+    x, y = near_dedup._alike(near_dedup._sketch_rows(own), near_dedup._sketch_rows(other), most)
     assert set(zip(x.tolist(), y.tolist())) == expected
 
 
@@ -164,7 +162,10 @@ def test_estimate_is_close(spark):
         assert abs(r.e - r.true) < 0.12
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few,hubs", [(500_000, 100_000), (0, 20)])
+def test_components(spark, monkeypatch, few, hubs):
+    monkeypatch.setattr("lexispan.llm.components.FEW_EDGES", few)
+    monkeypatch.setattr("lexispan.llm.components.MOST_HUBS", hubs)
     rnd = random.Random(4)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(180)] + [(500, 500 + i) for i in range(50)] + [(600 + i, 601 + i) for i in range(40)]
     root = {x: x for e in edges for x in e}
@@ -180,3 +181,39 @@ def test_components(spark):
     expected = {x: find(x) for x in root if find(x) != x}
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert {n: r for n, r in found.items() if n != r} == expected
+
+
+def test_rows_made_of_a_group_of_unlike_members(spark):
+    """Members of one bucket that no link joins: each pair is looked at, but few become rows."""
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(60)]
+    texts = []
+    for i in range(500):
+        words = list(base)
+        for k in rnd.sample(range(60), 5):
+            words[k] = f"n{i}.{k}"
+        texts.append(" ".join(words))
+    texts += [t + " and some more" for t in texts[:50]]
+    nodes = spark.createDataFrame(list(enumerate(texts)), "_id long, _text string").repartition(3)
+    sketches = nodes.mapInArrow(near_dedup._sketcher(1), "_id long, n_shingles long, s1 long, s2 long, keys array<long>, planes array<long>")
+    node = F.struct(F.col("_id").alias("rep"), F.lit(0).cast("long").alias("var"))
+    sketched = sketches.select(node.alias("node"), "s1", "s2", "n_shingles", "keys", "planes").cache()
+    tied = near_dedup._tied(sketched.select("node", "keys"))
+    roots = spark.createDataFrame([], "node struct<rep:long,var:long>, root struct<rep:long,var:long>")
+    made = near_dedup._candidates(tied, roots, sketched, 80).count()
+    assert made <= 64 * len(texts)
+    found = {r.doc_id: r.component_id for r in near_duplicates(nodes.withColumnsRenamed({"_id": "doc_id", "_text": "text"}), 1).collect()}
+    assert all(found[500 + i] == found[i] for i in range(50))
+
+
+def thue_morse(bits: int) -> tuple[str, str]:
+    """Two words of 2 ** ``bits`` letters whose rolling hashes by powers are equal modulo 2 ** 64."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(1 << bits))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("bits", [10, 12])
+def test_words_that_rolling_hashes_confuse(spark, bits):
+    rows = list(enumerate([w for w in thue_morse(bits)] + [f"x {w} y z" for w in thue_morse(bits)]))
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1).collect()
+    assert [(r.doc_id, r.component_id) for r in found if r.doc_id != r.component_id] == []
