@@ -121,3 +121,29 @@ def test_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.materialized(stage(spark, docs, ""))
     assert docs.collect() == []
+
+
+def test_labels_that_are_missing_or_odd(spark):
+    """Without labels all texts with letters stay; a label that says "und" is one like any other."""
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    rows = [(i, text, None, "a", 0) for i, text in enumerate(["some words", "日本語", "12 34", None, "", "x"])]
+    assert {r.doc_id for r in stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()} == {0, 1, 5}
+    rows = [(i, text, "und", "a", 0) for i, (_, text, *_) in enumerate(rows)]
+    assert {r.doc_id for r in stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()} == {0, 1, 5}
+    # The only label is on a row that op5 would hold out.
+    rows = [(2, "das ist gut", "de", "a", 0), (3, "und das", None, "a", 0)]
+    assert {r.doc_id for r in stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()} == {2, 3}
+
+
+def test_odd_ids_and_clashing_names(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, text, "en", "a", 1, "t", 5, "g"), (7, text, "en", "a", 1, "u", 6, "h"), (7, text, "en", "a", 1, "u", 6, "h"), (8, text + " x", None, None, 1, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", token_ids string, copies int, _gone string")
+    sizes = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.materialized(stage(spark, docs, ""))
+        sizes.append(docs.count())
+        if name != "sentencepiece":
+            assert docs.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
+    # A null id is nobody's copy; rows of one id are one document; the rest are its copies.
+    assert sizes[:3] == [4, 3, 3] and docs.columns == ["doc_id", "lang", "source", "token_ids", "n_tokens", "round_trip"]
