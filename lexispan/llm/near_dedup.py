@@ -558,3 +558,37 @@ def _set_sums(s: np.ndarray) -> tuple[int, int]:
     other = seeded(BANDS, 7)[0]
     sums = np.array([mixed(s).sum(dtype=np.uint64), mixed(s ^ other).sum(dtype=np.uint64)], np.uint64)
     return tuple(mixed(sums).view(np.int64).tolist())
+
+
+# -- the same in SQL -----------------------------------------------------------
+
+
+def oracle() -> str:
+    """Whole sets of four-word shingles, joined on every shingle they share; links closed step by step."""
+    return r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingled AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+    FROM worded
+), sets AS (
+    SELECT dense_rank() OVER (ORDER BY list_sort(s)) AS class, doc_id, len(s) AS n FROM shingled WHERE len(s) > 0
+), classes AS (
+    SELECT class, min(doc_id) AS doc_id, any_value(n) AS n FROM sets GROUP BY class
+), elements AS (
+    SELECT class, n, unnest(s) AS shingle FROM classes JOIN shingled USING (doc_id)
+), shared AS (
+    SELECT a.class AS a, b.class AS b, any_value(a.n + b.n) AS total, count(*) AS n FROM elements a JOIN elements b ON a.shingle = b.shingle AND a.class < b.class
+    WHERE 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) GROUP BY a.class, b.class
+), links AS (
+    SELECT a, b FROM shared WHERE 100 * n >= 80 * (total - n) UNION ALL SELECT b, a FROM shared WHERE 100 * n >= 80 * (total - n)
+), reached AS (
+    SELECT class AS a, class AS b FROM classes UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), components AS (
+    SELECT a AS class, min(c.doc_id) AS component_id FROM reached JOIN classes c ON c.class = b GROUP BY a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM shingled LEFT JOIN sets USING (doc_id) LEFT JOIN components USING (class)
+"""

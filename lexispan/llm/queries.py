@@ -134,6 +134,8 @@ LLM_QUERIES: dict[str, Query] = {
 
 LLM_ORACLES: dict[str, str] = {
     "op1_mixing": mixing.oracle(),
+    "op4_near_dedup": near_dedup.oracle(),
+    "op6_suffix_dedup": suffix_dedup.oracle(),
     "op7_warc": warc.oracle(),
     "op12_prefix_trie": prefix_trie.oracle(),
 }

@@ -504,3 +504,25 @@ def _common_windows(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     later = windows.join(earliest, same).where("place <> earliest")
     start = F.col("place.pos") - F.col("back")
     return later.select(*[F.col(f"place.{c}").alias(c) for c in KEY], start.alias("start"), (start + length).alias("stop"))
+
+
+# -- the same in SQL -----------------------------------------------------------
+
+
+def oracle() -> str:
+    """Every window of 100 bytes, two hexadecimal digits a byte; all but the first of equal ones cover what goes."""
+    return """
+WITH hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(n - 99)) AS i FROM hexed WHERE n >= 100),
+windows AS (SELECT doc_id, i, sha256(substr(h, 2 * i + 1, 200)) AS w FROM starts),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1),
+islands AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS island FROM (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM again)),
+spans AS (SELECT doc_id, island, min(i) AS a, max(i) + 100 AS b FROM islands GROUP BY doc_id, island),
+gaps AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+    UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS k FROM gaps JOIN hexed USING (doc_id) GROUP BY doc_id),
+counted AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM hexed LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
