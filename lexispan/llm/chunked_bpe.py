@@ -487,7 +487,7 @@ def _encoded(docs: DataFrame, tokenizer_json: str, text_column: str, sizes: tupl
             keys = [pa.array([t[i] for t in texts], pa.int64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*keys, *finish(bpe, ids)], names=["t1", "t2", *names])
 
-    notes = materialized(packed.mapInArrow(lean(note), f"_row {row_type}, {NOTE}"))
+    notes = materialized(packed.mapInArrow(lean(note), f"_row {row_type}, {NOTE}"), compression="zstd")
     waiting = notes.where("seq IS NULL").select("_row", "t1", "t2")
     references = notes.where("seq IS NOT NULL")
     chunks = references.where("data IS NOT NULL").groupBy("h1", "h2").agg(F.first("data").alias("data"))
