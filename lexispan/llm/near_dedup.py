@@ -98,8 +98,11 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` without the rows whose id is not the smallest of its component; columns and other rows stay."""
     found = near_duplicates(docs, width, percent, id_column, text_column)
-    gone = found.where(~F.col("kept")).select(F.col(id_column).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
+    name = "_gone"
+    while name in docs.columns:
+        name += "_"
+    gone = found.where(~F.col("kept")).select(F.col(id_column).alias(name)).distinct()
+    return docs.join(gone, F.col(id_column) == F.col(name), "left_anti")
 
 
 # -- sketches ----------------------------------------------------------------
