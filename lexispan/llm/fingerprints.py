@@ -101,17 +101,21 @@ def with_next(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     Ids are whole numbers. Null ids come first; equal ids go by their texts, and
     rows equal in both are interchangeable. Ids are cut into ranges of some
     ``BUCKET_ROWS`` documents, so each text is shuffled once; the first document
-    of a range is also put behind the range before.
+    of a range is also put behind the range before. Ranges come from cells of equal
+    width, and a cell with too many documents is cut again between its own least
+    and greatest id, so ids may lie as unevenly as they like. Rows that share one
+    id, or have none, are not cut.
     """
     plain = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     ends = plain.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).first()
     low, high = ends["low"] or 0, ends["high"] or 0
     cell = F.coalesce(F.floor((F.col("id").cast("decimal(20,0)") - F.lit(low)) * CELLS / (high - low + 1)), F.lit(0)).cast("int")
-    plain = plain.withColumn("cell", cell)
-    # At most CELLS rows, so one task orders them and every task may hold them.
+    limit = max(BUCKET_ROWS, ends["n"] // CELLS)
+    plain = _cut_again(plain.withColumn("cell", F.array(cell)), 2 * limit)
+    # At most CELLS rows per level, so one task orders them and every task may hold them.
     counted = plain.groupBy("cell").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    ranges = counted.select("cell", F.floor(before / max(BUCKET_ROWS, ends["n"] // CELLS)).alias("bucket"))
+    ranges = counted.select("cell", F.floor(before / limit).alias("bucket"))
     plain = plain.join(F.broadcast(ranges), "cell").drop("cell")
     narrow = plain.groupBy("bucket").agg(F.min(F.struct(F.col("id").isNotNull().alias("known"), "id")).alias("first"))
     by_bucket = Window.orderBy("bucket")
@@ -125,6 +129,22 @@ def with_next(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return both.where("behind = 0").drop("behind", "bucket")
 
 
+def _cut_again(plain: DataFrame, limit: int) -> DataFrame:
+    """Cells of more than ``limit`` documents cut by their own ids, until none is left or its ids are all equal."""
+    # Each level cuts the width of a cell to half at least; few are ever needed.
+    while True:
+        sizes = plain.groupBy("cell").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+        large = sizes.where((F.col("n") > limit) & (F.col("low") < F.col("high"))).select("cell", "low", "high")
+        n_large = large.count()
+        if not n_large:
+            return plain
+        offset = F.col("id").cast("decimal(20,0)") - F.col("low").cast("decimal(20,0)")
+        width = F.col("high").cast("decimal(20,0)") - F.col("low").cast("decimal(20,0)") + 1
+        inner = F.coalesce(F.floor(offset * max(2, CELLS // n_large) / width), F.lit(0)).cast("int")
+        cut = F.when(F.col("low").isNotNull(), F.concat("cell", F.array(inner))).otherwise(F.col("cell"))
+        plain = plain.join(F.broadcast(large), "cell", "left").withColumn("cell", cut).drop("low", "high")
+
+
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_shingles, in_edited)``.
 

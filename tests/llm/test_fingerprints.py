@@ -67,3 +67,21 @@ def test_odd_rows(spark):
     digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert sorted(r.edited_sha256 for r in found) == sorted(map(digest, ["a b e f", "e f i j", "i i", "i k", "k a"]))
     assert P.fingerprints(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("ids", ["outlying", "clustered", "null"])
+def test_ids_that_lie_unevenly(spark, monkeypatch, ids):
+    monkeypatch.setattr(P, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(P, "CELLS", 64)
+    numbers = {
+        "outlying": [*range(400), 10**9, 10**15, -(2**62)],
+        "clustered": [base + i for base in (0, 10**6, 10**6 + 500, 2**60) for i in range(100)],
+        "null": [None] * 30 + [5] * 30 + list(range(100, 300)),
+    }[ids]
+    rows = [(n, f"text {i}") for i, n in enumerate(numbers)]
+    found = P.with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    order = [t for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))]
+    assert {r.text: r.next_text for r in found.collect()} == dict(zip(order, order[1:] + order[:1]))
+    plain = spark.createDataFrame(rows, "id long, text string").withColumn("cell", F.array(F.lit(0)))
+    sizes = [r["count"] for r in P._cut_again(plain, 40).groupBy("cell").count().collect()]
+    assert max(sizes) <= (60 if ids == "null" else 40) and sum(sizes) == len(rows)
