@@ -1,4 +1,6 @@
+import base64
 import gzip
+import hashlib
 
 import duckdb
 import pytest
@@ -38,7 +40,7 @@ def test_round_trip(spark, tmp_path):
 
 def test_a_changed_payload_is_noticed(spark, tmp_path):
     write_archive(pages(spark, ROWS[:1]), str(tmp_path / "w"))
-    file = next((tmp_path / "w").glob("*.gz"))
+    file = next((tmp_path / "w").rglob("*.gz"))
     data = gzip.decompress(file.read_bytes())
     assert len(list(archive_records(gzip.compress(data)))) == 1
     with pytest.raises(ValueError, match="digest"):
@@ -54,3 +56,54 @@ def test_odd_rows(spark, tmp_path):
         ("1", "response", None), ("1", "response", None), (None, "revisit", "1"), (None, "response", None), (None, "response", None)]))
     write_archive(pages(spark, ROWS).limit(0), str(tmp_path / "none"))
     assert read_archive(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_records_byte_for_byte(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE", 1500)
+    monkeypatch.setattr(warc, "NAMED_PER_TASK", 1)
+    write_archive(pages(spark), str(tmp_path / "w"))
+    found: dict[str, bytes] = {}
+    for r in restored(read_archive(spark, str(tmp_path / "w"))).orderBy("file", "at").collect():
+        assert bytes(r.record).startswith(bytes(r.headers) + bytes(r.http_head))
+        found[r.file] = found.get(r.file, b"") + bytes(r.record) + b"\r\n\r\n"
+    files = {str(f): gzip.decompress(f.read_bytes()) for f in (tmp_path / "w").rglob("*.gz")}
+    files = {name: data for name, data in files.items() if data}
+    assert {name.split(":", 1)[1].replace("//", ""): data for name, data in found.items()} == files
+    assert any("files=small" in name for name in files) and any("files=small" not in name for name in files)
+
+
+def record(kind, block, *fields):
+    lines = ["WARC/1.1", f"warc-type: {kind}", f"CONTENT-LENGTH: {len(block)}", *fields]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    http, page = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n", b"<p>page</p>\r\n\r\n"
+    sha1 = base64.b32encode(hashlib.sha1(page).digest()).decode()
+    response = ("Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{sha1}", "WARC-Record-ID: <urn:uuid:1>")
+    records = [
+        record("warcinfo", b"software: x"),
+        record("response", http + page, *response),
+        record("revisit", http, f"WARC-Payload-Digest: sha1:{sha1}"),
+        record("revisit", http, f"WARC-Payload-Digest: sha256:{hashlib.sha256(page).hexdigest()}"),
+        record("response", b"no head", "Content-Type: application/http"),
+        record("resource", b""),
+    ]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    back = restored(read_archive(spark, str(tmp_path / "w"))).orderBy("at").collect()
+    assert [r.html for r in back] == ["software: x", page.decode(), None, page.decode(), "", ""]
+    assert [bytes(r.record) + b"\r\n\r\n" for r in back] == records
+    with pytest.raises(ValueError, match="digest"):
+        list(archive_records(gzip.compress(record("response", http + page + b"!", *response))))
+
+
+def test_large_records_and_cut_files(monkeypatch):
+    monkeypatch.setattr(warc, "INFLATED", 1000)
+    payloads = [b"ab" * n for n in (0, 1, 499, 500, 501, 300_000)] + [b"\r\n\r\n" * 2000]
+    data = b"".join(record("resource", p) for p in payloads)
+    content = gzip.compress(data)
+    assert [r[-1] for r in archive_records(content)] == payloads
+    for wrong in (gzip.compress(data[:-1]), gzip.compress(data[:-20]), content[:-20], gzip.compress(b"x" + data)):
+        with pytest.raises(ValueError):
+            list(archive_records(wrong))
