@@ -1,12 +1,15 @@
 """Mixing sources to target weights, in equal blocks of words.
 
 Blocks are given to sources by highest quotients (Sainte-Lague), and those of a
-source to its shards in the same way, so every shard has an integer quota. A
-shard's documents stand in seeded order; its words are cut into blocks, and the
-quota takes whole passes over the shard plus the blocks of least seeded hash.
-
-Everything is DataFrame code. Shards hold about ``SHARD_WORDS`` words, however
-large a source is, and every seeded choice is a hash, so reruns agree.
+source to its groups of shards and then its shards in the same way, so every
+shard has an integer quota. A shard's documents stand in seeded order; its words
+are cut into blocks, and the quota takes whole passes over the shard plus the
+blocks of least seeded hash. A source of small target has smaller blocks, down
+to one word, so that the words taken come near any target.
+
+Everything is DataFrame code. Shards hold about ``SHARD_WORDS`` words and groups
+about ``SHARDS_PER_GROUP`` shards, however large a source is, and every seeded
+choice is a hash, so reruns agree.
 """
 
 from __future__ import annotations
@@ -21,13 +24,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Weights of the sources in order of their names, repeating.
 WEIGHTS = [5, 2, 1]
 
-# Words per block at most; small mixes take smaller blocks, so that the smallest target still has many.
+# Words per block at most; sources of small targets have smaller blocks, so that each still has many.
 BLOCK_WORDS = 64
-LEAST_BLOCK_WORDS = 8
 BLOCKS_PER_TARGET = 256
 
 SHARD_WORDS = 1_000_000
-MAX_SHARDS = 10_000
+SHARDS_PER_GROUP = 10_000
 
 SEED = "mix"
 
@@ -109,19 +111,26 @@ def source_targets(sized: DataFrame, share: float, most: int, weights: list[int]
     target = F.coalesce(F.least(F.col("limit").cast("double"), final * F.col("weight")), F.col("limit").cast("double"))
     targets = levels.withColumn("target", target)
     least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(every)
-    block = F.coalesce(F.greatest(F.lit(LEAST_BLOCK_WORDS), F.least(F.lit(BLOCK_WORDS), F.floor(least / BLOCKS_PER_TARGET))), F.lit(BLOCK_WORDS))
-    n_shards = F.least(F.lit(MAX_SHARDS), F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_WORDS)))
-    targets = targets.withColumns({"block": block.cast("long"), "n_shards": n_shards.cast("long")})
-    seats = F.floor(F.sum("target").over(every) / F.col("block") + 0.5).cast("long")
-    allocated = sainte_lague(targets.withColumn("seats", seats), [], ["source"], "target", "seats", "blocks")
-    return allocated.select("source", "source_size", "target", "block", "n_shards", "blocks")
+    sized_for = lambda words: F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.floor(words / BLOCKS_PER_TARGET))).cast("long")
+    # Sources compete for blocks of one size, the smallest's; within a source they are put together to its own.
+    units = {"unit": F.coalesce(sized_for(least), F.lit(BLOCK_WORDS)), "block": sized_for(F.col("target"))}
+    n_shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_WORDS))
+    targets = targets.withColumns(units | {"n_shards": n_shards.cast("long")})
+    seats = F.floor(F.sum("target").over(every) / F.col("unit") + 0.5).cast("long")
+    allocated = sainte_lague(targets.withColumn("seats", seats), [], ["source"], "target", "seats", "won")
+    blocks = F.floor(F.col("won") * F.col("unit") / F.col("block") + 0.5).cast("long").alias("blocks")
+    return allocated.select("source", "source_size", "target", "block", "n_shards", blocks)
 
 
 def shard_quotas(sized: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
-    """``(source, shard, shard_size, quota)``: the source's blocks shared out by shard size."""
+    """``(source, shard, shard_size, quota)``: the source's blocks shared out by size, to groups of shards, then within them."""
     shards = _sharded(sized, targets, seed).groupBy("source", "shard", "blocks").agg(F.sum("size").alias("shard_size"))
-    # At most MAX_SHARDS rows per source.
-    return sainte_lague(shards, ["source"], ["shard"], "shard_size", "blocks", "quota").select("source", "shard", "shard_size", "quota")
+    shards = shards.withColumn("part", F.floor(F.col("shard") / SHARDS_PER_GROUP))
+    parts = shards.groupBy("source", "part", "blocks").agg(F.sum("shard_size").alias("part_size"))
+    parts = sainte_lague(parts, ["source"], ["part"], "part_size", "blocks", "part_blocks").drop("blocks", "part_size")
+    shards = _with_source(shards.drop("blocks"), parts, "part")
+    quotas = sainte_lague(shards, ["source", "part"], ["shard"], "shard_size", "part_blocks", "quota")
+    return quotas.select("source", "shard", "shard_size", "quota")
 
 
 def sainte_lague(parties: DataFrame, within: list[str], party: list[str], votes: str, seats: str, name: str) -> DataFrame:
@@ -232,20 +241,28 @@ def oracle() -> str:
     aimed AS (
       SELECT *, coalesce(least(most::DOUBLE, first_value(CASE WHEN most / weight > level THEN level END IGNORE NULLS) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) * weight), most::DOUBLE) AS target FROM levels),
     blocked AS (
-      SELECT *, coalesce(greatest({LEAST_BLOCK_WORDS}, least({BLOCK_WORDS}, floor(min(CASE WHEN target > 0 THEN target END) OVER () / {BLOCKS_PER_TARGET}))), {BLOCK_WORDS})::BIGINT AS block,
-        least({MAX_SHARDS}, greatest(1, ceil(source_size / {SHARD_WORDS})))::BIGINT AS n_shards
+      SELECT *, CASE WHEN max(target) OVER () > 0 THEN greatest(1, least({BLOCK_WORDS}, floor(min(CASE WHEN target > 0 THEN target END) OVER () / {BLOCKS_PER_TARGET})))
+          ELSE {BLOCK_WORDS} END::BIGINT AS unit,
+        greatest(1, least({BLOCK_WORDS}, floor(target / {BLOCKS_PER_TARGET})))::BIGINT AS block,
+        greatest(1, ceil(source_size / {SHARD_WORDS}))::BIGINT AS n_shards
       FROM aimed),
-    seated AS (SELECT *, floor(sum(target) OVER () / block + 0.5)::BIGINT AS seats FROM blocked),
+    seated AS (SELECT *, floor(sum(target) OVER () / unit + 0.5)::BIGINT AS seats FROM blocked),
     {seats("seated", "", "source", "target", "seats", "s")},
     targets AS (
       SELECT source, any_value(source_size) AS source_size, any_value(target) AS target, any_value(block) AS block,
-        any_value(n_shards) AS n_shards, any_value(certain) + sum(won)::BIGINT AS blocks
+        any_value(n_shards) AS n_shards, floor((any_value(certain) + sum(won)::BIGINT) * any_value(unit) / any_value(block) + 0.5)::BIGINT AS blocks
       FROM s_won GROUP BY source),
     sharded AS (
       SELECT z.*, source_size, target, block, n_shards, blocks, {digest(f"'{SEED}'", text("id"), text("size"))} % n_shards AS shard
       FROM sized z JOIN targets t ON z.source IS NOT DISTINCT FROM t.source),
-    shards AS (SELECT source, shard, blocks, sum(size)::BIGINT AS shard_size FROM sharded GROUP BY ALL),
-    {seats("shards", "source", "shard", "shard_size", "blocks", "q")},
+    divided AS (SELECT source, shard, blocks, shard // {SHARDS_PER_GROUP} AS part, sum(size)::BIGINT AS shard_size FROM sharded GROUP BY ALL),
+    parts AS (SELECT source, part, blocks, sum(shard_size)::BIGINT AS part_size FROM divided GROUP BY ALL),
+    {seats("parts", "source", "part", "part_size", "blocks", "p")},
+    parted AS (SELECT source, part, any_value(certain) + sum(won)::BIGINT AS part_blocks FROM p_won GROUP BY source, part),
+    shards AS (
+      SELECT d.source, d.part, shard, shard_size, part_blocks
+      FROM divided d JOIN parted p ON d.source IS NOT DISTINCT FROM p.source AND d.part = p.part),
+    {seats("shards", "source, part", "shard", "shard_size", "part_blocks", "q")},
     quotas AS (SELECT source, shard, shard_size, any_value(certain) + sum(won)::BIGINT AS quota FROM q_won GROUP BY source, shard, shard_size),
     placed AS (
       SELECT *, row_number() OVER w AS place, sum(size) OVER (w ROWS UNBOUNDED PRECEDING) AS stop

@@ -35,7 +35,8 @@ def test_seats_go_by_highest_quotients(spark, seats):
 
 
 def test_equals_sql_and_keeps_its_limits(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "SHARD_WORDS", 3000)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 700)
+    monkeypatch.setattr(mixing, "SHARDS_PER_GROUP", 4)
     rows = []
     for i in range(400):
         source = ["big", "big", "b", None, "tiny" if i % 40 == 0 else "c"][i % 5]
@@ -59,3 +60,13 @@ def test_empty_tables(spark):
     assert mixed_documents(docs).collect() == []
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert {(r.doc_id, r.target, r.taken) for r in mixed_documents(blank).collect()} == {(1, 0.0, 0), (2, 0.0, 0)}
+
+
+def test_small_sources_come_near_their_targets(spark):
+    words = lambda n: " ".join(["w"] * n)
+    rows = [(i, words(500), "a") for i in range(60)] + [(100, words(3), "b"), (101, words(29), "c"), (102, words(1), "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixed_documents(docs)
+    assert rows_of(mix) == sql_rows(docs.toArrow())
+    found = mix.groupBy("source").agg({"taken": "sum", "target": "max"}).toDF("source", "taken", "target").collect()
+    assert len(found) == 4 and all(abs(r.taken - r.target) <= max(1, 0.02 * r.target) for r in found), found
