@@ -284,3 +284,27 @@ def test_alternatives_are_not_multiplied_out(spark):
     mixed = s.adjacent(s.any_of("s0w0", s.adjacent("s0w0", "s1w0")), s.any_of("s1w0", "s2w0"))
     plan = counts.found_phrases(mixed)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2
+
+
+def test_saved_searches_that_share_a_common_word(spark, monkeypatch):
+    """Searches that exclude, or continue with, one very common word do not each meet all of its lines."""
+    from lexispan.plans import saved, saved_boolean
+
+    n, lines_with = 40, 300
+    s = searcher_over(spark, {"d": "\n".join(["common word"] * lines_with + [f"rare{i} word common" for i in range(n)] + [f"rare{i} word" for i in range(n)])})
+    rows = []
+    for i in range(n):
+        rows += [(f"q{i}", 0, 0, False, 0, f"rare{i}"), (f"q{i}", 0, 1, True, 0, "common")]
+        rows += [(f"p{i}", 0, 0, False, 0, "common"), (f"p{i}", 0, 0, False, 1, f"rare{i}"), (f"p{i}", 0, 0, False, 1, "nowhere")]
+    sizes = []
+
+    def counted(df, **options):
+        out = saved.materialized(df, **options)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(saved_boolean, "materialized", counted)
+    searches = spark.createDataFrame(rows, "query_id string, option int, clause int, excluded boolean, slot int, term string")
+    found = {r.query_id: r.matching_lines for r in saved_boolean.saved_boolean_counts(searches, s).collect()}
+    assert found == {f"q{i}": 1 for i in range(n)} | {f"p{i}": 0 for i in range(n)}
+    assert max(sizes) <= 2 * (lines_with + 3 * n)
