@@ -565,3 +565,15 @@ def test_rows_of_two_versions(spark, index):
     assert texts(index) == {"c": ["gold"]} and texts(earlier) == {"a": ["red"], "b": ["blue"]}
     assert summary(index.sync(corpus_of(spark, {"a": "red", "b": b"\xff", "c": "gold"}))) == {"updated": 1, "failed": 1, "skipped": 1}
     assert texts(index) == {"a": ["red"], "c": ["gold"]} and texts(earlier) == {"b": ["blue"]}
+
+
+def test_document_index_collects_after_the_shuffle(spark):
+    from lexispan.operators.postings import document_index
+
+    rows = [("x", "a", 2**31 - 1, 2**31 - 1), ("x", "a", 1, 5), ("x", "a", 1, 0), ("x", "b", 0, 2), ("y", "a", 3, 1)]
+    nested = document_index(spark.createDataFrame(rows, "term string, doc_id string, line_no int, pos int"))
+    assert {(r.doc_id, r.term): [tuple(e) for e in r.entries] for r in nested.collect()} == {
+        ("a", "x"): [(1, 0), (1, 5), (2**31 - 1, 2**31 - 1)], ("b", "x"): [(0, 2)], ("a", "y"): [(3, 1)],
+    }
+    plan = nested._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [doc_id" in plan
