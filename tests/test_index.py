@@ -577,3 +577,25 @@ def test_document_index_collects_after_the_shuffle(spark):
     }
     plan = nested._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [doc_id" in plan
+
+
+def test_postings_are_packed_and_sorted_before_they_are_moved(spark, tmp_path, monkeypatch):
+    index = TextIndex(spark, str(tmp_path / "index"))
+    written = []
+    overwrite = TextIndex._overwrite
+
+    def kept(self, df, path, *partitions, **options):
+        if "/postings/" in path:
+            written.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return overwrite(self, df, path, *partitions, **options)
+
+    monkeypatch.setattr(TextIndex, "_overwrite", kept)
+    docs = spark.createDataFrame([("a", "ci n ci\nde\nci la"), ("b", "la ci")], "doc_id string, text string")
+    index.sync(table_corpus(docs))
+    (plan,) = written
+    after, moved = plan.split("RebalancePartitions")
+    assert "Sort" in after and "Sort" in moved
+    shuffled = moved.split("Project [", 1)[1].split("]", 1)[0]
+    assert "AS place" in shuffled and not any(name in shuffled for name in ("index_version", "run#"))
+    found = {(r.term, r.doc_id, r.line_no, r.pos) for r in index.postings.collect()}
+    assert found == {("ci", "a", 1, 0), ("n", "a", 1, 1), ("ci", "a", 1, 2), ("de", "a", 2, 0), ("ci", "a", 3, 0), ("la", "a", 3, 1), ("la", "b", 1, 0), ("ci", "b", 1, 1)}
