@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexispan.operators.ranking import with_rank
-from lexispan.operators.search import Hits, line_key, with_terms
+from lexispan.operators.search import Hits, apart, line_key, with_terms
 
 # A search lists so many exact phrases whether they occur or not.
 LISTED = 10_000
@@ -85,7 +85,10 @@ def found_phrases(hits: Hits) -> DataFrame:
     columns = [f"w{i}" for i in range(longest)]
     # Words as their numbers in the slot: fixed-width values keep the grouping a hash aggregate.
     at_slot = [F.max(F.when(F.col("slot") == i, F.col("choice"))).alias(c) for i, c in enumerate(columns)]
-    formed = rows.withColumn("anchor", F.col("pos") - F.col("slot")).groupBy(*key).agg(F.count("*").alias("filled"), *at_slot)
+    anchors = rows.withColumn("anchor", F.col("pos") - F.col("slot"))
+    if hits.searcher.stored:
+        anchors = apart(anchors, key, rows.count())
+    formed = anchors.groupBy(*key).agg(F.count("*").alias("filled"), *at_slot)
     counted = formed.where("filled = size").groupBy("pattern", *columns).agg(F.count("*").alias("n"))
     spelled = F.array(*[F.array(*[F.array(*map(F.lit, words)) for words in pattern]) for pattern in patterns]) if patterns else F.array()
     own = F.element_at(spelled, F.col("pattern") + 1)

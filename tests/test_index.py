@@ -599,3 +599,17 @@ def test_postings_are_packed_and_sorted_before_they_are_moved(spark, tmp_path, m
     assert "AS place" in shuffled and not any(name in shuffled for name in ("index_version", "run#"))
     found = {(r.term, r.doc_id, r.line_no, r.pos) for r in index.postings.collect()}
     assert found == {("ci", "a", 1, 0), ("n", "a", 1, 1), ("ci", "a", 1, 2), ("de", "a", 2, 0), ("ci", "a", 3, 0), ("la", "a", 3, 1), ("la", "b", 1, 0), ("ci", "b", 1, 1)}
+
+
+def test_common_words_are_grouped_over_many_tasks(spark, tmp_path, monkeypatch):
+    from lexispan.operators import counts, search
+
+    index = TextIndex(spark, str(tmp_path / "index"))
+    index.sync(table_corpus(spark.createDataFrame([(f"d{i}", "de de la\nde") for i in range(30)], "doc_id string, text string")))
+    s = index.searcher()
+    compose = lambda: [s.adjacent("de", "de").spans, s.word("de").lines, counts.phrase_counts(s.adjacent("de", s.any_of("de", "la")))]
+    whole = [sorted(map(str, df.collect())) for df in compose()]
+    monkeypatch.setattr(search, "GROUPED_ROWS", 20)
+    for df, rows in zip(compose(), whole):
+        assert sorted(map(str, df.collect())) == rows
+        assert "RepartitionByExpression" in df._jdf.queryExecution().optimizedPlan().toString()
