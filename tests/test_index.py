@@ -596,7 +596,7 @@ def test_postings_are_packed_and_sorted_before_they_are_moved(spark, tmp_path, m
     after, moved = plan.split("RebalancePartitions")
     assert "Sort" in after and "Sort" in moved
     shuffled = moved.split("Project [", 1)[1].split("]", 1)[0]
-    assert "AS place" in shuffled and not any(name in shuffled for name in ("index_version", "run#"))
+    assert "place#" in shuffled and not any(name in shuffled for name in ("index_version", "run#"))
     found = {(r.term, r.doc_id, r.line_no, r.pos) for r in index.postings.collect()}
     assert found == {("ci", "a", 1, 0), ("n", "a", 1, 1), ("ci", "a", 1, 2), ("de", "a", 2, 0), ("ci", "a", 3, 0), ("la", "a", 3, 1), ("la", "b", 1, 0), ("ci", "b", 1, 1)}
 
@@ -613,3 +613,22 @@ def test_common_words_are_grouped_over_many_tasks(spark, tmp_path, monkeypatch):
     for df, rows in zip(compose(), whole):
         assert sorted(map(str, df.collect())) == rows
         assert "RepartitionByExpression" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """A tree of many folders; Spark by itself would start a task for each."""
+    for i in range(60):
+        (tmp_path / f"doc={i}").mkdir()
+        (tmp_path / f"doc={i}" / "a.txt").write_text("x")
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        assert text_tree(spark, str(tmp_path)).listing.select("doc_id").distinct().count() == 60
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+        sizes = [s.numTasks for s in stages if s]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(name) == before
+    assert sizes and max(sizes) < 60
