@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -52,6 +53,59 @@ def test_words_are_tokenised_as_in_their_texts(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+MIXED = st.text(
+    st.one_of(
+        st.sampled_from("a Z é É ß ÿ × ÷ Þ 0 9 . , - | _ < > ' s ¿ » ª µ ² \u00a0 \u0085 \u00ad \u0301 İ Σ — 漢 \t \n \x0b \x1c \x7f".split(" ") + [" "]),
+        st.characters(max_codepoint=0x17F, codec="utf-8"),
+    ),
+    max_size=60,
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(MIXED, min_size=1, max_size=8))
+def test_pieces_are_cut_as_the_rules_cut_them(texts):
+    own = word_tokenizer(open(PATH, encoding="utf-8").read())
+    plain = Tokenizer.from_file(PATH)
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("at_once", [1, 50, 1 << 22])
+def test_every_character_below_1000_among_others(monkeypatch, at_once):
+    monkeypatch.setattr(token_files, "BYTES_TOGETHER", at_once)
+    texts = [t for c in map(chr, range(1000)) for t in (c, f"Ab{c}Cd {c}1{c} é{c}E. {c}{c}")]
+    own = token_files.WordTokenizer(open(PATH, encoding="utf-8").read())
+    plain = Tokenizer.from_file(PATH)
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_that_differ_in_case_and_marks_are_tokenised_once():
+    own = token_files.WordTokenizer(open(PATH, encoding="utf-8").read())
+    marks = ["", ".", ",", "!", "?", ";", ":", ")", "...", "!!"]
+    own.encode([f"{a}{word}{b}" for word in ("unionlang", "Unionlang", "UNIONLANG") for a in marks for b in marks])
+    assert len(own.known) == len(marks)
+
+
+def test_forgotten_and_long_pieces(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 20)
+    own = token_files.WordTokenizer(open(PATH, encoding="utf-8").read())
+    plain = Tokenizer.from_file(PATH)
+    for i in range(6):
+        texts = [f"word{'abcdef'[i]}{chr(97 + j)} {'y' * 70} {i * j}" for j in range(15)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert "y" * 70 not in own.known and len(own.known) <= 20 + 15 + 10
+
+
+def test_rules_that_are_not_known_go_through_the_library():
+    description = json.loads(open(PATH, encoding="utf-8").read())
+    description["normalizer"]["normalizers"].pop()
+    own = token_files.WordTokenizer(json.dumps(description))
+    plain = Tokenizer.from_str(json.dumps(description))
+    texts = [*ODD, "It's NOT lower-cased, Ünder 12 rules."]
+    assert own.letters is None
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("block_ids", [1 << 20, 50])
 def test_files_against_direct_encoding(spark, tmp_path, monkeypatch, block_ids):
     monkeypatch.setattr(token_files, "BLOCK_IDS", block_ids)
