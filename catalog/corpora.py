@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,12 +104,66 @@ def text_files(spark: SparkSession, sf_dir: str) -> str:
     """A folder with each document as a ``.txt`` file, written once per session."""
     root = scratch(spark, sf_dir, "tree")
     if root not in _WRITTEN:
-        docs = documents(spark, sf_dir).select("text", "lang", F.col("doc_id").alias("doc"))
-        docs.write.mode("overwrite").partitionBy("lang", "doc").text(root)
+        write_text_files(documents(spark, sf_dir).select("lang", F.col("doc_id").alias("doc"), "text"), root)
         _WRITTEN.add(root)
     return root
 
 
+def write_text_files(docs: DataFrame, root: str) -> None:
+    """``docs(lang, doc, text)`` as ``.txt`` files below ``root``, by language, each text followed by a newline.
+
+    Hadoop's local file system, without its native library, starts a process
+    for the permissions of every file and folder it makes. So tasks write local
+    files themselves, and only other file systems get them from Spark's writer.
+    """
+    spark = docs.sparkSession
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.getUri().getScheme() != "file":
+        docs.write.mode("overwrite").partitionBy("lang", "doc").text(root)
+        return
+    files.delete(top, True)
+    keys = [F.col(c).cast("string").alias(c) for c in ("lang", "doc")]
+    rows = docs.sortWithinPartitions("lang", "doc").select(*keys, F.col("text").cast("binary").alias("text"))
+    rows.mapInArrow(_local_writer(top.toUri().getPath()), "n long").agg(F.sum("n")).collect()
+
+
+def _local_writer(root: str) -> Callable[[Iterator], Iterator]:
+    """A function for ``mapInArrow`` that writes rows sorted by name, and counts the files.
+
+    Names are those of Spark's partition folders, and a file has the number of
+    its task, so a task that runs again writes the same files. Workers need not
+    be able to import this module.
+    """
+    default = "__HIVE_DEFAULT_PARTITION__"
+    escapes = {c: f"%{c:02X}" for c in (*range(1, 32), 127, *map(ord, "\"#%'*/:=?\\{[]^"))}
+
+    def write(batches):
+        import os
+        from itertools import groupby
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        folders, n = set(), 0
+        rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns), strict=True))
+        for names, texts in groupby(rows, key=lambda row: row[:2]):
+            lang, doc = ((name or default).translate(escapes) for name in names)
+            folder = f"{root}/lang={lang}"
+            if folder not in folders:
+                os.makedirs(folder, exist_ok=True)
+                folders.add(folder)
+            unfinished = f"{folder}/.{task.taskAttemptId()}"
+            with open(unfinished, "wb") as file:
+                file.writelines((text or b"") + b"\n" for *_, text in texts)
+            os.replace(unfinished, f"{folder}/doc={doc}.part-{task.partitionId():05d}.txt")
+            n += 1
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return write
+
+
 def stored_index(spark: SparkSession, sf_dir: str, name: str) -> TextIndex:
     return TextIndex(spark, scratch(spark, sf_dir, name))
 

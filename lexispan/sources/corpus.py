@@ -25,6 +25,10 @@ MAX_FILE_BYTES = 2**31 - 1
 # Folders are listed by so many tasks per core; Spark's own number, 10,000, is a task for every few folders.
 LISTING_TASKS = 4
 
+# Small files that a task reads, and partitions of Spark's plan it takes for them at most: by itself Spark plans a task per 32.
+FILES_PER_TASK = 1000
+MERGED_PARTITIONS = 32
+
 
 @dataclass(frozen=True)
 class Corpus:
@@ -89,7 +93,7 @@ def text_tree(spark: SparkSession, root: str, verify_content: bool = False) -> C
     name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     tasks = min(int(spark.conf.get(name)), LISTING_TASKS * spark.sparkContext.defaultParallelism)
     with settings(spark, {name: str(tasks)}):
-        files = _text_files(spark.read).load([root, *folders])
+        files = _in_few_tasks(_text_files(spark.read).load([root, *folders]))
     refused = [(p, s) for p, s in hidden if s.isFile() and p.lower().endswith(".txt")]
     if refused:
         files = files.unionByName(_copied(spark, refused))
@@ -140,6 +144,20 @@ def _text_files(reader):
     return reader.format("binaryFile").options(**options)
 
 
+def _in_few_tasks(files: DataFrame) -> DataFrame:
+    """The same scan with more files to a task if most of what Spark counts is the cost of opening them."""
+    spark = files.sparkSession
+    size_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    opening, most = (size_of(spark.conf.get(f"spark.sql.files.{name}")) for name in ("openCostInBytes", "maxPartitionBytes"))
+    # Both are known from the listing; the names stay in the JVM.
+    n = len(files._jdf.inputFiles())
+    size = int(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if n * opening <= size:
+        return files
+    planned = (size + n * opening) // most
+    return files.coalesce(max(spark.sparkContext.defaultParallelism, n // FILES_PER_TASK, size // most, planned // MERGED_PARTITIONS))
+
+
 def _hidden(spark: SparkSession, root: str) -> list[tuple[str, object]]:
     """``(path, status)`` of what Spark's listing leaves out below ``root`` because of its own name, in any depth."""
     jvm = spark._jvm
