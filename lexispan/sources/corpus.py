@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,8 +86,9 @@ def text_tree(spark: SparkSession, root: str, verify_content: bool = False) -> C
     so counts as failed.
 
     Names that begin with ``_`` or ``.``, which Spark's listing leaves out, are
-    found through the Hadoop file system: such folders are given to the reader
-    one by one, such files are copied to the shared folder and read from there.
+    found by walking a local tree, else through the Hadoop file system: such
+    folders are given to the reader one by one, such files are copied to the
+    shared folder and read from there.
     """
     hidden = _hidden(spark, root)
     folders = [_literal(path) for path, status in hidden if status.isDirectory()]
@@ -164,6 +166,10 @@ def _hidden(spark: SparkSession, root: str) -> list[tuple[str, object]]:
     at = jvm.org.apache.hadoop.fs.Path(root)
     fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     left_out = jvm.org.apache.spark.util.HadoopFSUtils.shouldFilterOutPathName
+    if fs.getUri().getScheme() == "file":
+        paths = _local_names(fs.makeQualified(at).toUri().getPath(), left_out)
+        found = [s for p in paths for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(_literal(p))) or []]
+        return [(status.getPath().toString(), status) for status in found]
     level, found = _literal(root.rstrip("/")), []
     # Level by level, so that only what may be hidden passes from the JVM.
     while len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{level}/*")) or []):
@@ -174,6 +180,22 @@ def _hidden(spark: SparkSession, root: str) -> list[tuple[str, object]]:
     return list(dict(found).items())
 
 
+def _local_names(root: str, left_out: Callable[[str], bool]) -> list[str]:
+    """Paths with a name that is left out, by one walk; the Hadoop file system takes a status of every file, several times."""
+    found = []
+    for folder, *names in os.walk(root, followlinks=True):
+        for name in (x for kind in names for x in kind):
+            # Hadoop hides its own checksums, and Java cannot open what is not UTF-8.
+            odd = name[0] in "._" or name.endswith("._COPYING_")
+            if odd and not (name[0] == "." and name.endswith(".crc")) and _is_utf8(f"{folder}/{name}") and left_out(name):
+                found.append(f"{folder}/{name}")
+    return found
+
+
+def _is_utf8(name: str) -> bool:
+    return not re.search("[\ud800-\udfff]", name)
+
+
 def _literal(path: str) -> str:
     """A pattern for this path alone."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
